@@ -109,26 +109,36 @@ def fact_order_sales(
     )
 
 
-def fact_payments(
-    payments: DataFrame,
-    customers: DataFrame,
-    loaded_at: Column,
-    keys: KeyScheme = DEFAULT_KEYS,
-) -> DataFrame:
-    """One row per payment of a known customer."""
-    payers = customers.select("customer_number", "sales_rep_employee_number")
-    return payments.join(payers, "customer_number").select(
+def payers(customers: DataFrame) -> DataFrame:
+    return customers.select("customer_number", "sales_rep_employee_number")
+
+
+def payment_columns(loaded_at: Column, keys: KeyScheme = DEFAULT_KEYS) -> list[Column]:
+    """The payments fact as columns over payments joined with their payers."""
+    return [
         F.concat(
             F.col("customer_number").cast("string"), F.lit("-"), F.col("check_number")
         ).alias("payment_id"),
-        "customer_number",
-        "check_number",
+        F.col("customer_number"),
+        F.col("check_number"),
         hash_key(F.col("customer_number"), keys).alias("customer_key"),
         nullable_hash_key(F.col("sales_rep_employee_number"), keys).alias(
             "sales_rep_employee_key"
         ),
         date_key(F.col("payment_date")).alias("payment_date_key"),
-        "payment_date",
+        F.col("payment_date"),
         F.col("amount").cast(AMOUNT).alias("payment_amount"),
         loaded_at.alias("etl_loaded_at"),
+    ]
+
+
+def fact_payments(
+    payments: DataFrame,
+    customers: DataFrame,
+    loaded_at: Column,
+    keys: KeyScheme = DEFAULT_KEYS,
+) -> DataFrame:
+    """One row per payment of a known customer."""
+    return payments.join(payers(customers), "customer_number").select(
+        *payment_columns(loaded_at, keys)
     )

@@ -8,7 +8,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 PUBLISHED = "run_id string, published_at timestamp, table_name string, path string, row_count bigint"
 
@@ -23,6 +22,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        # An empty list makes the folder a warehouse; an existing one stays as it is.
+        spark.createDataFrame([], PUBLISHED).write.mode("ignore").parquet(self._list_path)
 
     @property
     def _list_path(self) -> str:
@@ -51,12 +52,7 @@ class Warehouse:
 
     def versions(self) -> DataFrame:
         """Every published version of every table."""
-        try:
-            return self.spark.read.schema(PUBLISHED).parquet(self._list_path)
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], PUBLISHED)
+        return self.spark.read.schema(PUBLISHED).parquet(self._list_path)
 
     def tables(self) -> DataFrame:
         """The current version of every table."""

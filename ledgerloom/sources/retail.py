@@ -114,12 +114,13 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def orders(spark: SparkSession, folder: str) -> DataFrame:
+def orders_from(raw_orders: DataFrame) -> DataFrame:
+    """Orders role of raw order rows."""
     day = F.col("o_orderdate").cast("date")
     key = F.col("o_orderkey")
     status = F.col("o_orderstatus")
     named = F.coalesce(*[F.when(status == k, F.lit(v)) for k, v in STATUS_NAMES.items()])
-    return _raw(spark, folder, "orders").select(
+    return raw_orders.select(
         key.alias("order_number"),
         day.alias("order_date"),
         F.date_add(day, (7 + key % 4).cast("int")).alias("required_date"),
@@ -129,6 +130,10 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def orders(spark: SparkSession, folder: str) -> DataFrame:
+    return orders_from(_raw(spark, folder, "orders"))
+
+
 def orderdetails(spark: SparkSession, folder: str) -> DataFrame:
     return _raw(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_number"),

@@ -10,10 +10,14 @@ FILES_PER_BATCH = 1_000
 def table_stream(
     spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Stream of a parquet table's files, each once, with the schema the table has now."""
+    """Stream of a parquet table's files, each once, with the schema the table has now.
+
+    The path goes in as a glob for itself: a file stream takes a plain path for a folder
+    only, and a table may be one file.
+    """
     schema = spark.read.parquet(path).schema
     return (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(path)
+        .parquet(f"{path[:-1]}[{path[-1]}]")
     )

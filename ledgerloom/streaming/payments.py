@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.functions import KeyScheme
-from ledgerloom.operators.facts import fact_payments
+from ledgerloom.operators.facts import payers, payment_columns
 from ledgerloom.operators.sync import latest_per_key
 
 PAYMENT_KEY = ("customer_number", "check_number")
@@ -17,9 +18,9 @@ class PaymentsFeed:
     """Appends each payment once, however often and however late its row is delivered.
 
     Copies collapse within a micro-batch before the shuffle and are matched by key against
-    what earlier batches wrote, so no lateness bound exists that could lose a payment, and no
-    state grows in memory. A batch that runs again overwrites its own folder only.
-    Payments of customers not known yet wait in ``pending`` for the next batch.
+    what earlier batches wrote, so there is no lateness bound that could lose a payment and
+    no state held in memory. A batch that runs again overwrites its own folder only.
+    A payment of a customer not known yet waits and is tried again with the next batch.
     """
 
     def __init__(
@@ -36,23 +37,35 @@ class PaymentsFeed:
         self.loaded_at = loaded_at
         self.keys = keys
 
-    def _batch(self, kind: str, batch_id: int) -> str:
-        return f"{self.folder}/{kind}/batch_id={batch_id}"
+    def _rows(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/rows")
+
+    @staticmethod
+    def _waiting(rows: DataFrame, batch_id: int) -> DataFrame:
+        return rows.where((F.col("batch_id") == batch_id) & ~F.col("known")).select(
+            *PAYMENT_KEY, "payment_date", F.col("payment_amount").alias("amount")
+        )
 
     def _load(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        customers = self.customers()
-        if batch_id > 0:
-            waiting = spark.read.parquet(self._batch("pending", batch_id - 1))
-            batch = batch.unionByName(waiting)
-        fresh = latest_per_key(batch, PAYMENT_KEY)
-        if batch_id > 0:
-            earlier = spark.read.parquet(f"{self.folder}/rows").where(f"batch_id < {batch_id}")
-            fresh = fresh.join(earlier.select(*PAYMENT_KEY), list(PAYMENT_KEY), "left_anti")
-        unknown = fresh.join(customers.select("customer_number"), "customer_number", "left_anti")
-        unknown.write.mode("overwrite").parquet(self._batch("pending", batch_id))
-        facts = fact_payments(fresh, customers, self.loaded_at, self.keys)
-        facts.write.mode("overwrite").parquet(self._batch("rows", batch_id))
+        fresh = batch.select(*PAYMENT_KEY, "payment_date", "amount")
+        if batch_id == 0:
+            fresh = latest_per_key(fresh, PAYMENT_KEY)
+        else:
+            rows = self._rows()
+            done = rows.where((F.col("batch_id") < batch_id) & F.col("known"))
+            fresh = latest_per_key(
+                fresh.unionByName(self._waiting(rows, batch_id - 1)), PAYMENT_KEY
+            ).join(done.select(*PAYMENT_KEY), list(PAYMENT_KEY), "left_anti")
+        known = payers(self.customers()).withColumn("known", F.lit(True))
+        (
+            fresh.join(known, "customer_number", "left")
+            .select(
+                *payment_columns(self.loaded_at, self.keys),
+                F.coalesce("known", F.lit(False)).alias("known"),
+            )
+            .write.mode("overwrite")
+            .parquet(f"{self.folder}/rows/batch_id={batch_id}")
+        )
 
     def run(self, payments: DataFrame) -> None:
         """Load everything that is there now, then stop."""
@@ -65,10 +78,10 @@ class PaymentsFeed:
         query.awaitTermination()
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/rows").drop("batch_id")
+        return self._rows().where("known").drop("known", "batch_id")
 
-    def pending(self) -> DataFrame:
-        """Payments still waiting for their customer after the last batch."""
-        waiting = self.spark.read.parquet(f"{self.folder}/pending")
-        last = waiting.agg({"batch_id": "max"}).first()[0]
-        return waiting.where(waiting["batch_id"] == last).drop("batch_id")
+    def waiting(self) -> DataFrame:
+        """Payments without a known customer as of the last batch."""
+        rows = self._rows()
+        last = rows.agg(F.max("batch_id")).first()[0]
+        return self._waiting(rows, last)
