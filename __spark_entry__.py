@@ -22,7 +22,7 @@ from ledgerloom.functions import (  # noqa: E402
 )
 from ledgerloom.operators import audit, dimensions, facts, sync  # noqa: E402
 from ledgerloom.plans import reports, warehouse  # noqa: E402
-from ledgerloom.session import new_folder  # noqa: E402
+from ledgerloom.session import new_folder, shared_folder  # noqa: E402
 from ledgerloom.sinks.warehouse import Warehouse  # noqa: E402
 from ledgerloom.sources import SOURCES, retail  # noqa: E402
 from ledgerloom.sources.files import register_views  # noqa: E402
@@ -51,7 +51,7 @@ def _table(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         table = warehouse.build_table(
             name,
-            retail.load_sources(spark, sf_dir),
+            retail.load_sources(spark, sf_dir, warehouse.inputs_of(name)),
             warehouse.load_time(FIRST),
             KeyScheme.MURMUR32,
         )
@@ -68,7 +68,8 @@ def src_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(retail.load_sources(spark, sf_dir), prefix="ledgerloom_")
+    sources = retail.load_sources(spark, sf_dir, ("orders", "customers"))
+    register_views(sources, prefix="ledgerloom_")
     return spark.sql(
         """SELECT country, status, count(*) AS order_count
            FROM ledgerloom_orders JOIN ledgerloom_customers USING (customer_number)
@@ -129,40 +130,9 @@ def _order_keys(scheme: KeyScheme) -> Query:
     return query
 
 
-# --- reports, as one plan from the source tables -------------------------------------------
-
-
-def _report_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    sources = retail.load_sources(spark, sf_dir)
-    loaded_at = warehouse.load_time(FIRST)
-    return [warehouse.build_table(name, sources, loaded_at) for name in names]
-
-
-def report_revenue_month_country_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.revenue_by_month_country_line(
-        *_report_tables(
-            spark, sf_dir, "fact_order_sales", "dim_date", "dim_customer", "dim_product"
-        )
-    )
-
-
-def report_revenue_recent_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.revenue_recent_first(
-        *_report_tables(
-            spark, sf_dir, "fact_order_sales", "dim_date", "dim_customer", "dim_product"
-        )
-    )
-
-
-def report_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_customers(
-        *_report_tables(spark, sf_dir, "fact_order_sales", "dim_customer")
-    )
-
-
 # --- the written warehouse -----------------------------------------------------------------
 
-_built: dict[tuple[str, str], Warehouse] = {}
+_built: dict[tuple[str, str], str] = {}
 
 
 def _build(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -172,26 +142,29 @@ def _build(spark: SparkSession, sf_dir: str) -> Warehouse:
     return store
 
 
-def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse of these tables, written once per application and then read."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _built:
-        _built[key] = _build(spark, sf_dir)
-    return _built[key]
+def _stored(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The warehouse of these tables: written once per shared folder, then read."""
+    key = (shared_folder(spark), sf_dir)
+    if key in _built:
+        store = Warehouse(spark, _built[key])
+        if store.exists("fact_order_sales"):
+            return store
+    store = _build(spark, sf_dir)
+    _built[key] = store.root
+    return store
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    store = _warehouse(spark, sf_dir)
-    return {name: store.read(name) for name in warehouse.TABLES}
+def _stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _stored(spark, sf_dir).read_all(*warehouse.TABLES)
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _build(spark, sf_dir)
-    return audit.row_counts({name: store.read(name) for name in warehouse.TABLES})
+    return audit.row_counts(store.read_all(*warehouse.TABLES))
 
 
 def list_warehouse_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _warehouse(spark, sf_dir).tables().select("table_name", "row_count")
+    return _stored(spark, sf_dir).tables().select("table_name", "row_count")
 
 
 def sink_overwrite_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,11 +175,33 @@ def sink_overwrite_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("dim_customer")
 
 
+# --- reports over the written warehouse ----------------------------------------------------
+
+STAR = ("fact_order_sales", "dim_date", "dim_customer", "dim_product")
+
+
+def report_revenue_month_country_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _stored(spark, sf_dir).read_all(*STAR)
+    return reports.revenue_by_month_country_line(*[tables[name] for name in STAR])
+
+
+def report_revenue_recent_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _stored(spark, sf_dir).read_all(*STAR)
+    return reports.revenue_recent_first(*[tables[name] for name in STAR])
+
+
+def report_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _stored(spark, sf_dir).read_all("fact_order_sales", "dim_customer")
+    return reports.top_customers(tables["fact_order_sales"], tables["dim_customer"])
+
+
 # --- audits --------------------------------------------------------------------------------
 
 
 def audit_target_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.target_counts(retail.load_sources(spark, sf_dir), _stored(spark, sf_dir))
+    return audit.target_counts(
+        retail.load_sources(spark, sf_dir), _stored_tables(spark, sf_dir)
+    )
 
 
 def audit_pk_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,17 +212,15 @@ def audit_pk_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_fact_dim_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.fact_dim_integrity(_stored(spark, sf_dir))
+    return audit.fact_dim_integrity(_stored_tables(spark, sf_dir))
 
 
 def audit_key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sources = retail.load_sources(spark, sf_dir)
-    natural = {
-        "dim_customer": sources["customers"].select(F.col("customer_number").alias("natural")),
-        "dim_product": sources["products"].select(F.col("product_code").alias("natural")),
-        "dim_employee": sources["employees"].select(F.col("employee_number").alias("natural")),
-        "dim_office": sources["offices"].select(F.col("office_code").alias("natural")),
-    }
+    natural = {}
+    for name, (key, _) in warehouse.HASHED_KEYS.items():
+        source = warehouse.TABLES[name].inputs[0]
+        rows = retail.load_sources(spark, sf_dir, (source,))[source]
+        natural[name] = rows.select(F.col(key).alias("natural"))
 
     def collisions(scheme: KeyScheme) -> DataFrame:
         keyed = {
@@ -244,14 +237,8 @@ def audit_key_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_report_reconciles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _stored(spark, sf_dir)
-    report = reports.revenue_by_month_country_line(
-        stored["fact_order_sales"],
-        stored["dim_date"],
-        stored["dim_customer"],
-        stored["dim_product"],
-    )
-    return audit.report_reconciles(report, stored["fact_order_sales"])
+    report = report_revenue_month_country_line(spark, sf_dir)
+    return audit.report_reconciles(report, _stored(spark, sf_dir).read("fact_order_sales"))
 
 
 # --- sync ----------------------------------------------------------------------------------
@@ -330,7 +317,7 @@ def sync_soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sync_then_rebuild_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dearer products and deleted orders at the source change the rebuilt sales fact."""
     store = Warehouse(spark, new_folder(spark, "bronze"))
-    sources = retail.load_sources(spark, sf_dir)
+    sources = retail.load_sources(spark, sf_dir, warehouse.inputs_of("fact_order_sales"))
     products = sources["products"]
     dearer = products.withColumn(
         "buy_price",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +20,7 @@ def _count_if(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union(
         df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"), "row_count"
@@ -29,7 +29,7 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def key_uniqueness(tables: dict[str, tuple[DataFrame, tuple[str, ...]]]) -> DataFrame:
+def key_uniqueness(tables: Mapping[str, tuple[DataFrame, tuple[str, ...]]]) -> DataFrame:
     """Rows, distinct keys and keys held by several rows, per table.
 
     Copies of a key collapse on the executors that read them, before the shuffle.
@@ -60,7 +60,7 @@ def require_unique(df: DataFrame, keys: tuple[str, ...], what: str) -> None:
         raise ValueError(f"{what}: {bad} values of {', '.join(keys)} are repeated or NULL")
 
 
-def key_collisions(dimensions: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
+def key_collisions(dimensions: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """Surrogate keys that stand for more than one natural key.
 
     Per dimension: the frame, its natural and its surrogate key column. Smallest and largest
@@ -98,7 +98,7 @@ FOREIGN_KEYS = (
 )
 
 
-def fact_dim_integrity(tables: dict[str, DataFrame]) -> DataFrame:
+def fact_dim_integrity(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and keys of each foreign key that its dimension lacks; NULL keys count apart.
 
     The fact shrinks to one row per key before it meets the dimension.
@@ -130,7 +130,7 @@ def fact_dim_integrity(tables: dict[str, DataFrame]) -> DataFrame:
     return _union(check(*foreign_key) for foreign_key in FOREIGN_KEYS)
 
 
-def expected_counts(sources: dict[str, DataFrame]) -> DataFrame:
+def expected_counts(sources: Mapping[str, DataFrame]) -> DataFrame:
     """Rows each warehouse table should hold, from the sources alone."""
     bounds = date_bounds(sources["orders"], sources["payments"])
     days = bounds.select(
@@ -157,7 +157,9 @@ def expected_counts(sources: dict[str, DataFrame]) -> DataFrame:
     return counted.unionByName(days)
 
 
-def target_counts(sources: dict[str, DataFrame], stored: dict[str, DataFrame]) -> DataFrame:
+def target_counts(
+    sources: Mapping[str, DataFrame], stored: Mapping[str, DataFrame]
+) -> DataFrame:
     """Expected and stored rows per warehouse table."""
     expected = expected_counts(sources).withColumnRenamed("row_count", "expected_rows")
     actual = row_counts(stored).withColumnRenamed("row_count", "stored_rows")

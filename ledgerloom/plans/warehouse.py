@@ -2,24 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import KeyScheme
-from ledgerloom.operators import dimensions, facts
+from ledgerloom.operators import audit
+from ledgerloom.operators.dimensions import (
+    dim_customer,
+    dim_date,
+    dim_employee,
+    dim_office,
+    dim_product,
+)
+from ledgerloom.operators.facts import fact_order_sales, fact_payments
+
+
+@dataclass(frozen=True)
+class WarehouseTable:
+    """A table of the warehouse: the source tables it reads, in order, and its operator."""
+
+    inputs: tuple[str, ...]
+    build: Callable[..., DataFrame]
+    has_load_time: bool = True
+
 
 # The warehouse tables, dimensions first.
-TABLES = (
-    "dim_customer",
-    "dim_product",
-    "dim_employee",
-    "dim_office",
-    "dim_date",
-    "fact_order_sales",
-    "fact_payments",
-)
+TABLES = {
+    "dim_customer": WarehouseTable(("customers",), dim_customer),
+    "dim_product": WarehouseTable(("products", "productlines"), dim_product),
+    "dim_employee": WarehouseTable(("employees",), dim_employee),
+    "dim_office": WarehouseTable(("offices",), dim_office),
+    "dim_date": WarehouseTable(("orders", "payments"), dim_date, has_load_time=False),
+    "fact_order_sales": WarehouseTable(
+        ("orderdetails", "orders", "customers", "products", "employees"), fact_order_sales
+    ),
+    "fact_payments": WarehouseTable(("payments", "customers"), fact_payments),
+}
+
+# Dimensions with a hashed key: natural and surrogate key columns.
+HASHED_KEYS = {
+    "dim_customer": ("customer_number", "customer_key"),
+    "dim_product": ("product_code", "product_key"),
+    "dim_employee": ("employee_number", "employee_key"),
+    "dim_office": ("office_code", "office_key"),
+}
+
+
+def inputs_of(*names: str) -> tuple[str, ...]:
+    """The source tables that some warehouse tables read together."""
+    return tuple(dict.fromkeys(i for name in names for i in TABLES[name].inputs))
 
 
 def load_time(moment: datetime) -> Column:
@@ -29,40 +64,36 @@ def load_time(moment: datetime) -> Column:
 
 def build_table(
     name: str,
-    sources: dict[str, DataFrame],
+    sources: Mapping[str, DataFrame],
     loaded_at: Column,
     keys: KeyScheme = KeyScheme.XXHASH64,
 ) -> DataFrame:
     """One warehouse table, as a plan; nothing runs but the size check of a broadcast."""
-    s = sources
-    if name == "dim_customer":
-        return dimensions.dim_customer(s["customers"], loaded_at, keys)
-    if name == "dim_product":
-        return dimensions.dim_product(s["products"], s["productlines"], loaded_at, keys)
-    if name == "dim_employee":
-        return dimensions.dim_employee(s["employees"], loaded_at, keys)
-    if name == "dim_office":
-        return dimensions.dim_office(s["offices"], loaded_at, keys)
-    if name == "dim_date":
-        return dimensions.dim_date(s["orders"], s["payments"])
-    if name == "fact_order_sales":
-        return facts.fact_order_sales(
-            s["orderdetails"],
-            s["orders"],
-            s["customers"],
-            s["products"],
-            s["employees"],
-            loaded_at,
-            keys,
-        )
-    if name == "fact_payments":
-        return facts.fact_payments(s["payments"], s["customers"], loaded_at, keys)
-    raise KeyError(f"no warehouse table {name}")
+    table = TABLES[name]
+    frames = [sources[i] for i in table.inputs]
+    return table.build(*frames, loaded_at, keys) if table.has_load_time else table.build(*frames)
 
 
 def build_all(
-    sources: dict[str, DataFrame],
+    sources: Mapping[str, DataFrame],
     loaded_at: Column,
     keys: KeyScheme = KeyScheme.XXHASH64,
 ) -> dict[str, DataFrame]:
     return {name: build_table(name, sources, loaded_at, keys) for name in TABLES}
+
+
+def verify(sources: Mapping[str, DataFrame], stored: Mapping[str, DataFrame]) -> None:
+    """Raise unless the written tables are complete, collision-free and consistent."""
+    audit.require_all(
+        audit.target_counts(sources, stored), ~F.col("matches"), "row counts differ"
+    )
+    audit.require_all(
+        audit.key_collisions({n: (stored[n], *HASHED_KEYS[n]) for n in HASHED_KEYS}),
+        F.col("colliding_keys") > 0,
+        "surrogate keys collide",
+    )
+    audit.require_all(
+        audit.fact_dim_integrity(stored).where(F.col("fact_column") != "sales_rep_employee_key"),
+        F.col("stray_rows") > 0,
+        "facts point to missing dimension rows",
+    )

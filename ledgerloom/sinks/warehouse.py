@@ -77,6 +77,14 @@ class Warehouse:
     def exists(self, name: str) -> bool:
         return self._path(name, None) is not None
 
+    def read_all(self, *names: str) -> dict[str, DataFrame]:
+        """Current versions, looked up at one moment so that they belong together."""
+        current = {r["table_name"]: r["path"] for r in self.tables().collect()}
+        missing = [n for n in names if n not in current]
+        if missing:
+            raise LookupError(f"no published table {', '.join(missing)} in {self.root}")
+        return {n: self.spark.read.parquet(current[n]) for n in names}
+
     def read(self, name: str, other_than_run: str | None = None) -> DataFrame:
         """The current version, or the newest that the given run did not write."""
         path = self._path(name, other_than_run)
