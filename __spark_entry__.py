@@ -32,7 +32,8 @@ from ledgerloom.streaming.payments import PaymentsFeed  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 FIRST, SECOND, THIRD = (datetime(2024, 1, day, tzinfo=timezone.utc) for day in (1, 2, 3))
-CUSTOMER_KEY = ("customer_number",)
+SOURCE_KEYS = {name: table.primary_key for name, table in SOURCES.items()}
+CUSTOMER_KEY = SOURCE_KEYS["customers"]
 CUSTOMER_COLUMNS = (
     "customer_number",
     "customer_name",
@@ -206,9 +207,7 @@ def audit_target_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def audit_pk_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = retail.load_sources(spark, sf_dir)
-    return audit.key_uniqueness(
-        {name: (df, SOURCES[name].primary_key) for name, df in sources.items()}
-    )
+    return audit.key_uniqueness({name: (df, SOURCE_KEYS[name]) for name, df in sources.items()})
 
 
 def audit_fact_dim_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,14 +281,8 @@ def _synced_customers(spark: SparkSession, sf_dir: str, syncs: int) -> DataFrame
         ("third", THIRD, _old_customers),
     )
     for run, moment, snapshot in steps[:syncs]:
-        sync.sync_table(
-            store,
-            "customers",
-            snapshot(spark, sf_dir),
-            CUSTOMER_KEY,
-            warehouse.load_time(moment),
-            run,
-        )
+        snapshots = {"customers": snapshot(spark, sf_dir)}
+        sync.sync_tables(store, snapshots, SOURCE_KEYS, warehouse.load_time(moment), run)
     return store.read("customers")
 
 
@@ -329,11 +322,11 @@ def sync_then_rebuild_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority") != "5-LOW"
     )
     fewer = retail.orders_from(kept)
-    for name, old, new in (("products", products, dearer), ("orders", sources["orders"], fewer)):
-        key = SOURCES[name].primary_key
-        sync.sync_table(store, name, old, key, warehouse.load_time(FIRST), "first")
-        sync.sync_table(store, name, new, key, warehouse.load_time(SECOND), "second")
-        sources[name] = sync.live(store.read(name))
+    old = {"products": products, "orders": sources["orders"]}
+    new = {"products": dearer, "orders": fewer}
+    sync.sync_tables(store, old, SOURCE_KEYS, warehouse.load_time(FIRST), "first")
+    sync.sync_tables(store, new, SOURCE_KEYS, warehouse.load_time(SECOND), "second")
+    sources |= {name: sync.live(df) for name, df in store.read_all(*new).items()}
     fact = warehouse.build_table("fact_order_sales", sources, warehouse.load_time(SECOND))
     return fact.select(
         "sales_line_id",
@@ -368,7 +361,7 @@ def stream_customer_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Warehouse(spark, folder)
     customers = retail.customers(spark, sf_dir).select(*CUSTOMER_COLUMNS)
     loaded_at = warehouse.load_time(FIRST)
-    sync.sync_table(store, "customers", customers, CUSTOMER_KEY, loaded_at, "first")
+    sync.sync_tables(store, {"customers": customers}, SOURCE_KEYS, loaded_at, "first")
     feed = table_stream(spark, f"{sf_dir}/customer.parquet")
     changed = retail.customers_from(
         _changed(feed.where(F.col("c_mktsegment").isin("MACHINERY", "BUILDING"))),

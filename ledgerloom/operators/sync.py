@@ -6,7 +6,7 @@ updated in place: each operator gives the next version as a plan over the last o
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,23 +113,25 @@ def upsert(
     return kept.unionByName(initial_load(changes, synced_at).select(*bronze.columns))
 
 
-def sync_table(
+def sync_tables(
     warehouse: Warehouse,
-    name: str,
-    snapshot: DataFrame,
-    keys: Sequence[str],
+    snapshots: Mapping[str, DataFrame],
+    keys: Mapping[str, Sequence[str]],
     synced_at: Column,
     run_id: str,
-) -> int:
-    """Load the bronze table if it is not there yet, else merge the snapshot into it.
+) -> dict[str, int]:
+    """Bring bronze tables in step with full snapshots and publish them together.
 
-    Running the same ``run_id`` again starts from the version before it.
+    A table that is not there yet is loaded, any other is merged. Running the same ``run_id``
+    again starts from the versions before it.
     """
-    require_unique(snapshot, tuple(keys), f"snapshot of {name}")
-    try:
-        bronze = warehouse.read(name, other_than_run=run_id)
-    except LookupError:
-        after = initial_load(snapshot, synced_at)
-    else:
-        after = merge_snapshot(bronze, snapshot, keys, synced_at)
-    return warehouse.replace(run_id, {name: after})[name]
+    versions = {}
+    for name, snapshot in snapshots.items():
+        require_unique(snapshot, tuple(keys[name]), f"snapshot of {name}")
+        try:
+            bronze = warehouse.read(name, other_than_run=run_id)
+        except LookupError:
+            versions[name] = initial_load(snapshot, synced_at)
+        else:
+            versions[name] = merge_snapshot(bronze, snapshot, keys[name], synced_at)
+    return warehouse.replace(run_id, versions)

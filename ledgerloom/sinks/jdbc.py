@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.sources.jdbc import JdbcEndpoint, read_query
@@ -10,6 +10,22 @@ from ledgerloom.sources.jdbc import JdbcEndpoint, read_query
 BATCH_ROWS = 10_000
 
 
+def register_catalog(spark: SparkSession, name: str, endpoint: JdbcEndpoint) -> None:
+    """Make the database a Spark catalog, for its namespaces and table listings."""
+    prefix = f"spark.sql.catalog.{name}"
+    spark.conf.set(prefix, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
+    for option, value in endpoint.options().items():
+        spark.conf.set(f"{prefix}.{option}", value)
+
+
+def ensure_schema(spark: SparkSession, catalog: str, schema: str) -> None:
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS `{catalog}`.`{schema}`")
+
+
+def list_tables(spark: SparkSession, catalog: str, schema: str) -> DataFrame:
+    return spark.sql(f"SHOW TABLES IN `{catalog}`.`{schema}`").select("tableName")
+
+
 def write_table(
     df: DataFrame,
     endpoint: JdbcEndpoint,
