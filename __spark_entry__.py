@@ -344,9 +344,10 @@ def sync_then_rebuild_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_fact_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "payments")
     feed = PaymentsFeed(
-        spark,
-        new_folder(spark, "payments"),
+        Warehouse(spark, folder),
+        f"{folder}/feed",
         lambda: retail.customers(spark, sf_dir),
         warehouse.load_time(FIRST),
         KeyScheme.MURMUR32,
@@ -367,7 +368,7 @@ def stream_customer_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         _changed(feed.where(F.col("c_mktsegment").isin("MACHINERY", "BUILDING"))),
         retail.nations(spark, sf_dir),
     ).select(*CUSTOMER_COLUMNS)
-    run_upserts(changed, store, "customers", CUSTOMER_KEY, f"{folder}/checkpoint")
+    run_upserts(changed, store, "customers", CUSTOMER_KEY, f"{folder}/feed")
     return sync_columns(store.read("customers"), loaded_at)
 
 

@@ -7,11 +7,13 @@ updated in place: each operator gives the next version as a plan over the last o
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.audit import require_unique
+from ledgerloom.operators.sizing import broadcast_if_small
 from ledgerloom.sinks.warehouse import Warehouse
 
 BOOKKEEPING = ("is_deleted", "synced_at")
@@ -102,14 +104,25 @@ def latest_per_key(
 
 
 def upsert(
-    bronze: DataFrame, changes: DataFrame, keys: Sequence[str], synced_at: Column
+    bronze: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    synced_at: Column,
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
     """Next bronze version after a set of changed rows, at most one per key.
 
-    Rows outside the change set pass through; where the changes measure small, Spark
-    broadcasts their keys and the bronze table is not shuffled at all.
+    With ``order_by``, a change older than the row it would replace is left out. Where the
+    changes measure small, their keys are broadcast and the bronze table is not shuffled.
     """
-    kept = bronze.join(changes.select(*keys), list(keys), "left_anti")
+    if order_by:
+        held = bronze.join(broadcast_if_small(changes.select(*keys)), list(keys), "left_semi")
+        newer = held.select(*keys, F.struct(*order_by).alias("held_order"))
+        change_order = F.struct(*[changes[c] for c in order_by])
+        same_key = reduce(lambda a, b: a & b, [changes[k] == newer[k] for k in keys])
+        changes = changes.join(newer, same_key & (newer["held_order"] > change_order), "left_anti")
+    changed_keys = broadcast_if_small(changes.select(*keys))
+    kept = bronze.join(changed_keys, list(keys), "left_anti")
     return kept.unionByName(initial_load(changes, synced_at).select(*bronze.columns))
 
 

@@ -71,8 +71,8 @@ class Warehouse:
         versions = self.versions().where(F.col("table_name") == name)
         if other_than_run is not None:
             versions = versions.where(F.col("run_id") != other_than_run)
-        row = versions.agg(F.max_by("path", F.struct("published_at", "run_id"))).first()
-        return row[0]
+        row = versions.orderBy(F.desc("published_at"), F.desc("run_id")).select("path").first()
+        return row and row["path"]
 
     def exists(self, name: str) -> bool:
         return self._path(name, None) is not None
@@ -91,3 +91,10 @@ class Warehouse:
         if path is None:
             raise LookupError(f"no published table {name} in {self.root}")
         return self.spark.read.parquet(path)
+
+    def read_parts(self, name: str) -> DataFrame:
+        """All published versions together, for a table that grows by a part per run."""
+        parts = self.versions().where(F.col("table_name") == name).select("path").collect()
+        if not parts:
+            raise LookupError(f"no published table {name} in {self.root}")
+        return self.spark.read.parquet(*[p["path"] for p in parts])

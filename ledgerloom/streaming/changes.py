@@ -10,33 +10,28 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.sync import latest_per_key, upsert
 from ledgerloom.sinks.warehouse import Warehouse
+from ledgerloom.streaming.landing import Landing
 
 
 def run_upserts(
     changes: DataFrame,
-    warehouse: Warehouse,
+    store: Warehouse,
     table: str,
     keys: Sequence[str],
-    checkpoint: str,
+    folder: str,
     order_by: Sequence[str] = (),
 ) -> None:
-    """Upsert all changes that are there now into a loaded bronze table, then stop.
+    """Upsert all changes that are there now into a loaded bronze table.
 
-    A batch is a run of its own: done twice, it starts from the same earlier version and
-    publishes the same rows again.
+    Of several changes to a key the last by ``order_by`` counts, then the last delivered; a
+    change older than what the table holds does not count at all. The table is written anew
+    once, not once per micro-batch.
     """
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"{table}-batch-{batch_id}"
-        now = F.lit(datetime.now(timezone.utc)).cast("timestamp")
-        bronze = warehouse.read(table, other_than_run=run_id)
-        last = latest_per_key(batch, keys, order_by)
-        warehouse.replace(run_id, {table: upsert(bronze, last, keys, now)})
-
-    query = (
-        changes.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    landing = Landing(store, table, folder, keys)
+    landing.land(changes, order_by)
+    landed, last = landing.new_rows()
+    if last <= landing.applied():
+        return
+    latest = latest_per_key(landed, keys, (*order_by, "batch_id")).drop("batch_id")
+    now = F.lit(datetime.now(timezone.utc)).cast("timestamp")
+    landing.publish(upsert(store.read(table), latest, keys, now, order_by), last)

@@ -4,84 +4,73 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import KeyScheme
 from ledgerloom.operators.facts import payers, payment_columns
+from ledgerloom.operators.sizing import broadcast_if_small
 from ledgerloom.operators.sync import latest_per_key
+from ledgerloom.sinks.warehouse import Warehouse
+from ledgerloom.streaming.landing import Landing
 
 PAYMENT_KEY = ("customer_number", "check_number")
+TABLE = "fact_payments"
 
 
 class PaymentsFeed:
     """Appends each payment once, however often and however late its row is delivered.
 
-    Copies collapse within a micro-batch before the shuffle and are matched by key against
-    what earlier batches wrote, so there is no lateness bound that could lose a payment and
-    no state held in memory. A batch that runs again overwrites its own folder only.
-    A payment of a customer not known yet waits and is tried again with the next batch.
+    New payments are matched by key against those the table holds, so there is no lateness
+    bound that could lose one and no state held in memory. A payment of a customer not known
+    yet waits and is tried again by the next run that brings payments.
     """
 
     def __init__(
         self,
-        spark: SparkSession,
+        store: Warehouse,
         folder: str,
         customers: Callable[[], DataFrame],
         loaded_at: Column,
         keys: KeyScheme = KeyScheme.XXHASH64,
     ) -> None:
-        self.spark = spark
-        self.folder = folder.rstrip("/")
+        self.store = store
+        self.landing = Landing(store, TABLE, folder, PAYMENT_KEY)
         self.customers = customers
         self.loaded_at = loaded_at
         self.keys = keys
 
-    def _rows(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/rows")
-
-    @staticmethod
-    def _waiting(rows: DataFrame, batch_id: int) -> DataFrame:
-        return rows.where((F.col("batch_id") == batch_id) & ~F.col("known")).select(
-            *PAYMENT_KEY, "payment_date", F.col("payment_amount").alias("amount")
-        )
+    def run(self, payments: DataFrame) -> None:
+        """Append all payments that are there now."""
+        self.landing.land(payments.select(*PAYMENT_KEY, "payment_date", "amount"))
+        landed, last = self.landing.new_rows()
+        if last > self.landing.applied() or not self.store.exists(TABLE):
+            self.landing.publish(self._new_part(landed.drop("batch_id")), last)
 
-    def _load(self, batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.select(*PAYMENT_KEY, "payment_date", "amount")
-        if batch_id == 0:
-            fresh = latest_per_key(fresh, PAYMENT_KEY)
+    def _new_part(self, landed: DataFrame) -> DataFrame:
+        if self.store.exists(TABLE):
+            fresh = latest_per_key(landed.unionByName(self.waiting()), PAYMENT_KEY)
+            held = self.store.read_parts(TABLE).where("known").select(*PAYMENT_KEY)
+            # A small delivery meets the held keys where they lie; they are not shuffled.
+            again = held.join(
+                broadcast_if_small(fresh.select(*PAYMENT_KEY)), list(PAYMENT_KEY), "left_semi"
+            )
+            fresh = fresh.join(again, list(PAYMENT_KEY), "left_anti")
         else:
-            rows = self._rows()
-            done = rows.where((F.col("batch_id") < batch_id) & F.col("known"))
-            fresh = latest_per_key(
-                fresh.unionByName(self._waiting(rows, batch_id - 1)), PAYMENT_KEY
-            ).join(done.select(*PAYMENT_KEY), list(PAYMENT_KEY), "left_anti")
+            fresh = latest_per_key(landed, PAYMENT_KEY)
         known = payers(self.customers()).withColumn("known", F.lit(True))
-        (
-            fresh.join(known, "customer_number", "left")
-            .select(
-                *payment_columns(self.loaded_at, self.keys),
-                F.coalesce("known", F.lit(False)).alias("known"),
-            )
-            .write.mode("overwrite")
-            .parquet(f"{self.folder}/rows/batch_id={batch_id}")
+        return fresh.join(known, "customer_number", "left").select(
+            *payment_columns(self.loaded_at, self.keys),
+            F.coalesce("known", F.lit(False)).alias("known"),
         )
 
-    def run(self, payments: DataFrame) -> None:
-        """Load everything that is there now, then stop."""
-        query = (
-            payments.writeStream.foreachBatch(self._load)
-            .option("checkpointLocation", f"{self.folder}/checkpoint")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-
     def read(self) -> DataFrame:
-        return self._rows().where("known").drop("known", "batch_id")
+        return self.store.read_parts(TABLE).where("known").drop("known")
 
     def waiting(self) -> DataFrame:
-        """Payments without a known customer as of the last batch."""
-        rows = self._rows()
-        last = rows.agg(F.max("batch_id")).first()[0]
-        return self._waiting(rows, last)
+        """Payments without a known customer as of the last run."""
+        return (
+            self.store.read(TABLE)
+            .where(~F.col("known"))
+            .select(*PAYMENT_KEY, "payment_date", F.col("payment_amount").alias("amount"))
+        )

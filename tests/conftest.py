@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("ledgerloom-tests")
         .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")

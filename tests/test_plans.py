@@ -121,6 +121,15 @@ def test_top_customers_sums_before_it_shuffles_and_takes_the_top(spark, options)
     assert "partial_sum(gross_sales_amount" in before_join
 
 
+def test_few_changes_do_not_shuffle_the_table(spark):
+    bronze = sync.initial_load(spark.range(1000).withColumn("v", F.lit(1)), loaded())
+    changes = spark.range(5).withColumn("v", F.lit(2)).groupBy("id").agg(F.max("v").alias("v"))
+    text = plan(sync.upsert(bronze, changes, ["id"], loaded(), ["v"]))
+    kept = text[: text.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in kept and "LeftAnti" in kept
+    assert "Exchange hashpartitioning" not in kept
+
+
 @pytest.fixture
 def small_partitions(options):
     """Shuffle joins at any size, and partitions above some kilobytes count as hot."""

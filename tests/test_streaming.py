@@ -46,6 +46,11 @@ def payment(customer, check, day=1, amount="1.00"):
     return (customer, check, date(2020, 1, day), D(amount))
 
 
+def payments_feed(spark, customers):
+    folder = new_folder(spark, "feed")
+    return PaymentsFeed(Warehouse(spark, folder), f"{folder}/feed", customers, loaded())
+
+
 def ids(df):
     return sorted(r.payment_id for r in df.collect())
 
@@ -55,7 +60,7 @@ def test_payments_equal_the_batch_fact(spark, source):
     source.add(payment(1, "A", 30), payment(2, "B"))
     source.add(payment(2, "C", 2), payment(1, "D", 3))
     source.add(payment(3, "E", 1))
-    feed = PaymentsFeed(spark, new_folder(spark, "feed"), lambda: customers, loaded())
+    feed = payments_feed(spark, lambda: customers)
     feed.run(source.stream())
     batch = fact_payments(spark.read.parquet(source.path), customers, loaded())
     assert feed.read().columns == batch.columns
@@ -64,7 +69,7 @@ def test_payments_equal_the_batch_fact(spark, source):
 
 def test_copies_in_one_batch_and_over_batches_count_once(spark, source):
     customers = samples.sources(spark)["customers"]
-    feed = PaymentsFeed(spark, new_folder(spark, "feed"), lambda: customers, loaded())
+    feed = payments_feed(spark, lambda: customers)
     source.add(payment(1, "A"), payment(1, "A"), payment(2, "A"))
     source.add(payment(1, "A"), payment(1, "B", 31))
     feed.run(source.stream())
@@ -79,7 +84,7 @@ def test_copies_in_one_batch_and_over_batches_count_once(spark, source):
 def test_payment_of_a_late_customer_waits(spark, source):
     customers = samples.sources(spark)["customers"]
     known = {"now": customers.where("customer_number <> 2")}
-    feed = PaymentsFeed(spark, new_folder(spark, "feed"), lambda: known["now"], loaded())
+    feed = payments_feed(spark, lambda: known["now"])
     source.add(payment(1, "A"), payment(2, "B", amount="7.50"))
     source.add(payment(1, "C"))
     feed.run(source.stream())
@@ -92,39 +97,79 @@ def test_payment_of_a_late_customer_waits(spark, source):
     assert feed.waiting().count() == 0
 
 
-def test_batch_that_runs_again_changes_nothing(spark, source):
+def test_run_that_dies_before_publishing_is_made_up(spark, source, monkeypatch):
     customers = samples.sources(spark)["customers"]
-    feed = PaymentsFeed(spark, new_folder(spark, "feed"), lambda: customers, loaded())
+    feed = payments_feed(spark, lambda: customers)
     source.add(payment(1, "A"))
+    feed.run(source.stream())
+    source.add(payment(1, "A"), payment(2, "B"))
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(feed.landing, "publish", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            feed.run(source.stream())
+    assert ids(feed.read()) == ["1-A"]
+    # The batch is landed and the stream has moved on, yet the next run picks it up.
+    feed.run(source.stream())
+    assert ids(feed.read()) == ["1-A", "2-B"]
+    feed.run(source.stream())
+    assert ids(feed.read()) == ["1-A", "2-B"]
+
+
+def test_landed_batch_written_again_counts_once(spark, source):
+    customers = samples.sources(spark)["customers"]
+    feed = payments_feed(spark, lambda: customers)
     source.add(payment(1, "A"), payment(2, "B"))
+    feed.landing.land(source.stream())
+    first = spark.read.parquet(f"{feed.landing.folder}/landed/batch_id=0")
+    rows = [tuple(r) for r in first.collect()]
+    spark.createDataFrame(rows, PAYMENTS).write.mode("overwrite").parquet(
+        f"{feed.landing.folder}/landed/batch_id=0"
+    )
     feed.run(source.stream())
-    before = sorted(feed.read().collect())
-    batch = spark.createDataFrame([payment(1, "A"), payment(2, "B")], PAYMENTS)
-    feed._load(batch, 1)
-    assert sorted(feed.read().collect()) == before
+    assert ids(feed.read()) == ["1-A", "2-B"]
 
 
 def test_empty_stream(spark, source):
     customers = samples.sources(spark)["customers"]
-    feed = PaymentsFeed(spark, new_folder(spark, "feed"), lambda: customers, loaded())
+    feed = payments_feed(spark, lambda: customers)
     source.add(payment(77, "A"))
     feed.run(source.stream())
     assert feed.read().count() == 0 and feed.waiting().count() == 1
 
 
+def test_stream_without_files(spark, source):
+    source.spark.createDataFrame([], PAYMENTS).write.parquet(source.path)
+    customers = samples.sources(spark)["customers"]
+    feed = payments_feed(spark, lambda: customers)
+    feed.run(source.stream())
+    feed.run(source.stream())
+    assert ids(feed.read()) == []
+
+
 def test_changed_rows_are_upserted_in_order(spark):
     schema = "id bigint, name string, seq bigint"
     source = Source(spark, schema)
-    store = Warehouse(spark, new_folder(spark, "bronze"))
+    folder = new_folder(spark, "bronze")
+    store = Warehouse(spark, folder)
     start = spark.createDataFrame([(1, "a", 0), (2, "b", 0)], schema)
     sync.sync_tables(store, {"t": start}, {"t": ("id",)}, loaded(), "start")
+
+    def run():
+        run_upserts(source.stream(), store, "t", ("id",), f"{folder}/feed", ("seq",))
+        return {r.id: r.name for r in store.read("t").collect()}
+
     source.add((1, "x", 2), (1, "y", 1), (3, "c", 1))
     source.add((3, None, 2))
-    checkpoint = new_folder(spark, "checkpoint")
-    run_upserts(source.stream(), store, "t", ("id",), checkpoint, order_by=("seq",))
-    assert {r.id: r.name for r in store.read("t").collect()} == {1: "x", 2: "b", 3: None}
+    assert run() == {1: "x", 2: "b", 3: None}
+    assert store.versions().count() == 2
     untouched = store.read("t").where(F.col("synced_at") == loaded())
     assert [r.id for r in untouched.collect()] == [2]
-    source.add((2, "z", 3))
-    run_upserts(source.stream(), store, "t", ("id",), checkpoint, order_by=("seq",))
-    assert {r.id: r.name for r in store.read("t").collect()} == {1: "x", 2: "z", 3: None}
+    # A change that comes late and is older than what the table holds does not count.
+    source.add((2, "z", 3), (1, "late", 1))
+    assert run() == {1: "x", 2: "z", 3: None}
+    assert run() == {1: "x", 2: "z", 3: None}
+    assert store.versions().count() == 3
