@@ -7,6 +7,7 @@ import sys
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,8 @@ from ledgerloom.streaming.files import table_stream  # noqa: E402
 from ledgerloom.streaming.payments import PaymentsFeed  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-FIRST, SECOND, THIRD = (datetime(2024, 1, day, tzinfo=timezone.utc) for day in (1, 2, 3))
+# Noon, so that the day is the same in the session's time zone.
+FIRST, SECOND, THIRD = (datetime(2024, 1, day, 12, tzinfo=timezone.utc) for day in (1, 2, 3))
 SOURCE_KEYS = {name: table.primary_key for name, table in SOURCES.items()}
 CUSTOMER_KEY = SOURCE_KEYS["customers"]
 CUSTOMER_COLUMNS = (
@@ -133,7 +135,7 @@ def _order_keys(scheme: KeyScheme) -> Query:
 
 # --- the written warehouse -----------------------------------------------------------------
 
-_built: dict[tuple[str, str], str] = {}
+_built: dict[tuple[str, str, str], Warehouse] = {}
 
 
 def _build(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -144,15 +146,16 @@ def _build(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse of these tables: written once per shared folder, then read."""
-    key = (shared_folder(spark), sf_dir)
+    """The warehouse of these tables: written once per application, then read."""
+    key = (spark.sparkContext.applicationId, shared_folder(spark), sf_dir)
     if key in _built:
-        store = Warehouse(spark, _built[key])
-        if store.exists("fact_order_sales"):
-            return store
-    store = _build(spark, sf_dir)
-    _built[key] = store.root
-    return store
+        try:
+            if _built[key].exists("fact_order_sales"):
+                return _built[key]
+        except AnalysisException:
+            pass  # the shared folder was cleared in between
+    _built[key] = _build(spark, sf_dir)
+    return _built[key]
 
 
 def _stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -20,6 +20,7 @@ def _arguments() -> argparse.Namespace:
     build.add_argument("--source-folder", help="parquet sources; default is the MySQL database")
     build.add_argument("--read-partitions", type=int, default=16)
     build.add_argument("--database-schema", help="also replace the tables of this schema")
+    build.add_argument("--no-verify", action="store_true", help="skip the checks after the build")
     report = commands.add_parser("report")
     report.add_argument("--top", type=int, default=20)
     return parser.parse_args()
@@ -39,7 +40,9 @@ def main() -> None:
                 spark, jdbc.mysql_endpoint(), arguments.read_partitions
             )
         sources = jobs.sync_sources(store, snapshots, f"{run_id}-sync", moment)
-        counts = jobs.build(store, sources, f"{run_id}-build", moment)
+        counts = jobs.build(
+            store, sources, f"{run_id}-build", moment, verify=not arguments.no_verify
+        )
         if arguments.database_schema:
             jobs.copy_to_database(
                 spark, store, jdbc.postgres_endpoint(), arguments.database_schema

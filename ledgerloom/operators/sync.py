@@ -43,8 +43,10 @@ def live(bronze: DataFrame) -> DataFrame:
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every key of either snapshot with what happened to it. NULLs compare as values.
 
-    Both sides need unique keys; one shuffle per side on the keys, and no hot group.
+    Both snapshots must have unique keys, and are checked: repeated ones would pair up.
     """
+    require_unique(old, tuple(keys), "old snapshot")
+    require_unique(new, tuple(keys), "new snapshot")
     both = _values(old, keys, "before").join(_values(new, keys, "after"), list(keys), "full")
     before, after = F.col("before"), F.col("after")
     change = (
@@ -63,6 +65,8 @@ def merge_snapshot(
 
     New and changed rows take the snapshot's values, missing rows stay with ``is_deleted``
     set, and a row that reappears is live again. Untouched rows keep their ``synced_at``.
+    The snapshot's keys must be unique (``sync_tables`` checks), those of the bronze table
+    then are.
     """
     both = _values(bronze, keys, "before").join(
         _values(snapshot, keys, "after"), list(keys), "full"

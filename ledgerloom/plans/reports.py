@@ -11,7 +11,10 @@ TOP_CUSTOMERS = 20
 
 
 def _revenue(
-    fact_order_sales: DataFrame, dim_date: DataFrame, dim_customer: DataFrame, dim_product: DataFrame
+    fact_order_sales: DataFrame,
+    dim_date: DataFrame,
+    dim_customer: DataFrame,
+    dim_product: DataFrame,
 ) -> DataFrame:
     days = dim_date.select(
         F.col("date_key").alias("order_date_key"), "calendar_year", "calendar_month"
@@ -38,7 +41,10 @@ def _revenue(
 
 
 def revenue_by_month_country_line(
-    fact_order_sales: DataFrame, dim_date: DataFrame, dim_customer: DataFrame, dim_product: DataFrame
+    fact_order_sales: DataFrame,
+    dim_date: DataFrame,
+    dim_customer: DataFrame,
+    dim_product: DataFrame,
 ) -> DataFrame:
     return _revenue(fact_order_sales, dim_date, dim_customer, dim_product).orderBy(
         "calendar_year", "calendar_month", "country", "product_line"
@@ -46,7 +52,10 @@ def revenue_by_month_country_line(
 
 
 def revenue_recent_first(
-    fact_order_sales: DataFrame, dim_date: DataFrame, dim_customer: DataFrame, dim_product: DataFrame
+    fact_order_sales: DataFrame,
+    dim_date: DataFrame,
+    dim_customer: DataFrame,
+    dim_product: DataFrame,
 ) -> DataFrame:
     """The same groups without margin, newest month first."""
     return (

@@ -9,7 +9,9 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-PUBLISHED = "run_id string, published_at timestamp, table_name string, path string, row_count bigint"
+PUBLISHED = (
+    "run_id string, published_at timestamp, table_name string, path string, row_count bigint"
+)
 
 
 class Warehouse:

@@ -61,7 +61,8 @@ BOUNDS = """
 
 CALENDAR = """
     SELECT CAST(d AS DATE) AS day
-    FROM bounds, LATERAL (SELECT unnest(generate_series(min_date, max_date, INTERVAL 1 DAY)) AS d)"""
+    FROM bounds,
+         LATERAL (SELECT unnest(generate_series(min_date, max_date, INTERVAL 1 DAY)) AS d)"""
 
 DATE_PARTS = """
     CAST(strftime({d}, '%Y%m%d') AS INTEGER) AS date_key, {d} AS calendar_date,

@@ -155,6 +155,13 @@ def test_repeated_or_missing_keys_are_refused(spark, bad):
     assert not store.exists("t")
 
 
+def test_diff_refuses_repeated_keys(spark):
+    twice = frame(spark, [OLD[0], OLD[0]])
+    for old, new in ((twice, frame(spark, NEW)), (frame(spark, OLD), twice)):
+        with pytest.raises(ValueError, match="repeated or NULL"):
+            sync.snapshot_diff(old, new, KEYS)
+
+
 def test_sync_tables_loads_then_merges_and_can_be_run_again(spark):
     store = Warehouse(spark, new_folder(spark, "test"))
 
