@@ -37,7 +37,7 @@ def main() -> None:
             snapshots = files.load_sources(spark, arguments.source_folder)
         else:
             snapshots = jdbc.load_sources(
-                spark, jdbc.mysql_endpoint(), arguments.read_partitions
+                spark, jdbc.mysql_endpoint(), arguments.read_partitions, "CRC32({column})"
             )
         sources = jobs.sync_sources(store, snapshots, f"{run_id}-sync", moment)
         counts = jobs.build(

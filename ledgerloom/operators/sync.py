@@ -118,6 +118,7 @@ def upsert(
 
     With ``order_by``, a change older than the row it would replace is left out. Where the
     changes measure small, their keys are broadcast and the bronze table is not shuffled.
+    The changes are read several times, so they should be a stored table.
     """
     if order_by:
         held = bronze.join(broadcast_if_small(changes.select(*keys)), list(keys), "left_semi")

@@ -6,24 +6,41 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-# Target size of one shuffle partition; AQE merges smaller ones and splits hot ones.
+# Bytes of input per shuffle partition and per scan task, up to these numbers of them. Beyond,
+# partitions and tasks grow instead: their product is the number of shuffle blocks.
 PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 20_000
+MAX_SCAN_TASKS = 100_000
+MAX_SCAN_TASK_BYTES = 1024 * 1024 * 1024
+
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    return min(MAX_SHUFFLE_PARTITIONS, -(-input_bytes // PARTITION_BYTES))
+
+
+def scan_task_bytes(input_bytes: int) -> int:
+    per_task = -(-input_bytes // MAX_SCAN_TASKS)
+    return min(MAX_SCAN_TASK_BYTES, max(PARTITION_BYTES, per_task))
 
 
 def recommended_options(input_bytes: int, cores: int) -> dict[str, str]:
     """Options for a session that reads about ``input_bytes`` on ``cores`` cores.
 
     The initial shuffle partition count follows the input so that a partition fits in
-    memory at any scale; AQE then coalesces what turns out small. No broadcast is forced
-    anywhere in the library: Spark's own size checks (scan statistics, AQE runtime sizes)
-    decide, and beyond them every join runs as a shuffle join with skew splitting.
+    memory at any scale; AQE then coalesces what turns out small and splits what is hot.
     """
-    partitions = max(cores, -(-input_bytes // PARTITION_BYTES))
+    partitions = str(max(cores, shuffle_partitions(input_bytes)))
     return {
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.shuffle.partitions": str(partitions),
+        INITIAL_PARTITIONS: partitions,
+        SHUFFLE_PARTITIONS: partitions,
+        SCAN_BYTES: str(scan_task_bytes(input_bytes)),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
         "spark.sql.session.timeZone": "UTC",
@@ -31,6 +48,24 @@ def recommended_options(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of all files below the paths, from their listing; no content is read."""
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    )
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Raise the partitions and scan sizes of a running session to those the input needs."""
+    needed = shuffle_partitions(input_bytes)
+    planned = int(spark.conf.get(INITIAL_PARTITIONS, None) or spark.conf.get(SHUFFLE_PARTITIONS))
+    if needed > planned:
+        spark.conf.set(INITIAL_PARTITIONS, needed)
+    if scan_task_bytes(input_bytes) > PARTITION_BYTES:
+        spark.conf.set(SCAN_BYTES, scan_task_bytes(input_bytes))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

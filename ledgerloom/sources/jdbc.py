@@ -133,20 +133,33 @@ def find_range(
     return RangeSplit(column, str(bounds[0]), str(bounds[1]), partitions)
 
 
-def range_column(table: SourceTable) -> str | None:
-    """Numeric column that leads the primary key, the one to split a read by."""
-    lead = table.primary_key[0]
-    column = next(c for c in table.columns if c.name == lead)
-    return column.source_name if column.type in ("int", "bigint") else None
+def _lead(table: SourceTable) -> tuple[str, bool]:
+    """Source name of the column that leads the primary key, and whether it is numeric."""
+    lead = next(c for c in table.columns if c.name == table.primary_key[0])
+    return lead.source_name, lead.type in ("int", "bigint")
 
 
 def load_sources(
-    spark: SparkSession, endpoint: JdbcEndpoint, partitions: int = 1
+    spark: SparkSession,
+    endpoint: JdbcEndpoint,
+    partitions: int = 1,
+    text_bucket: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Every declared source table, split by its leading numeric key where it has one."""
+    """Every declared source table, each split by the column that leads its primary key.
+
+    Numeric keys split by range. Text keys need the database's own checksum as
+    ``text_bucket``, such as ``CRC32({column})``, else their table is read by one task.
+    """
     loaded = {}
     for name, table in SOURCES.items():
-        column = range_column(table) if partitions > 1 else None
-        split = find_range(spark, endpoint, name, column, partitions) if column else None
-        loaded[name] = conform(read_table(spark, endpoint, name, split), table)
+        column, numeric = _lead(table)
+        if partitions > 1 and numeric:
+            split = find_range(spark, endpoint, name, column, partitions)
+            df = read_table(spark, endpoint, name, split)
+        elif partitions > 1 and text_bucket:
+            predicates = bucket_predicates(text_bucket.format(column=column), partitions)
+            df = read_table_by_predicates(spark, endpoint, name, predicates)
+        else:
+            df = read_table(spark, endpoint, name)
+        loaded[name] = conform(df, table)
     return loaded

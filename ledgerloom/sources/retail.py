@@ -19,6 +19,16 @@ COST_SHARE = Decimal("0.60")
 SALES_REPS = 125
 
 
+# The tables of the schema that are read here.
+RAW_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+)
+
+
+def raw_paths(folder: str) -> list[str]:
+    return [f"{folder}/{name}.parquet" for name in RAW_TABLES]
+
+
 def _raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -33,5 +33,6 @@ def run_upserts(
     if last <= landing.applied():
         return
     latest = latest_per_key(landed, keys, (*order_by, "batch_id")).drop("batch_id")
+    latest = landing.settle(latest, last)
     now = F.lit(datetime.now(timezone.utc)).cast("timestamp")
     landing.publish(upsert(store.read(table), latest, keys, now, order_by), last)

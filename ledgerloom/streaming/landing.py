@@ -61,5 +61,12 @@ class Landing:
         last = rows.agg(F.max("batch_id")).first()[0]
         return rows, applied if last is None else last
 
+    def settle(self, rows: DataFrame, through: int) -> DataFrame:
+        """Write the rows about to be applied and read them back: they are used several times,
+        and from here on a lost executor costs a read."""
+        path = f"{self.folder}/settled/through={through}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.store.spark.read.parquet(path)
+
     def publish(self, rows: DataFrame, through: int) -> None:
         self.store.replace(f"{self.table}-through-{through}", {self.table: rows})

@@ -45,11 +45,13 @@ class PaymentsFeed:
         self.landing.land(payments.select(*PAYMENT_KEY, "payment_date", "amount"))
         landed, last = self.landing.new_rows()
         if last > self.landing.applied() or not self.store.exists(TABLE):
-            self.landing.publish(self._new_part(landed.drop("batch_id")), last)
+            self.landing.publish(self._new_part(landed.drop("batch_id"), last), last)
 
-    def _new_part(self, landed: DataFrame) -> DataFrame:
+    def _new_part(self, landed: DataFrame, last: int) -> DataFrame:
         if self.store.exists(TABLE):
-            fresh = latest_per_key(landed.unionByName(self.waiting()), PAYMENT_KEY)
+            fresh = self.landing.settle(
+                latest_per_key(landed.unionByName(self.waiting()), PAYMENT_KEY), last
+            )
             held = self.store.read_parts(TABLE).where("known").select(*PAYMENT_KEY)
             # A small delivery meets the held keys where they lie; they are not shuffled.
             again = held.join(

@@ -97,11 +97,29 @@ def test_predicates_cover_every_row_once(session, spark):
     assert sorted(found, key=str) == sorted([-4, -3, 0, 1, 2, 3, None], key=str)
 
 
-def test_numeric_keys_split_a_read():
-    columns = {name: jdbc.range_column(table) for name, table in SOURCES.items()}
-    assert columns["orderdetails"] == columns["orders"] == "orderNumber"
-    assert columns["customers"] == columns["payments"] == "customerNumber"
-    assert columns["products"] is None
+def test_tables_are_split_by_their_leading_key(monkeypatch):
+    asked = {}
+
+    def read(how):
+        def record(session, endpoint, table, detail=None):
+            asked[table] = (how, detail)
+            return table
+
+        return record
+
+    monkeypatch.setattr(jdbc, "read_table", read("whole or range"))
+    monkeypatch.setattr(jdbc, "read_table_by_predicates", read("predicates"))
+    monkeypatch.setattr(jdbc, "conform", lambda df, table: df)
+    monkeypatch.setattr(jdbc, "find_range", lambda s, e, table, column, n: (column, n))
+    jdbc.load_sources(None, ENDPOINT, 3, "CRC32({column})")
+    assert set(asked) == set(SOURCES)
+    assert asked["orderdetails"] == ("whole or range", ("orderNumber", 3))
+    assert asked["payments"] == ("whole or range", ("customerNumber", 3))
+    how, predicates = asked["products"]
+    assert how == "predicates" and len(predicates) == 3
+    assert "CRC32(productCode)" in predicates[0]
+    jdbc.load_sources(None, ENDPOINT)
+    assert {detail for _, detail in asked.values()} == {None}
 
 
 def test_table_write():

@@ -5,7 +5,17 @@ import samples
 from pyspark.sql import functions as F
 
 from ledgerloom.plans import jobs, warehouse
-from ledgerloom.session import new_folder, recommended_options, shared_folder
+from ledgerloom.session import (
+    INITIAL_PARTITIONS,
+    PARTITION_BYTES,
+    SCAN_BYTES,
+    SHUFFLE_PARTITIONS,
+    fit_shuffles,
+    new_folder,
+    recommended_options,
+    shared_folder,
+    stored_bytes,
+)
 from ledgerloom.sinks.warehouse import Warehouse
 from ledgerloom.sources.files import load_sources, register_views
 
@@ -150,5 +160,26 @@ def test_shared_folder_is_the_configured_one(spark):
 def test_partitions_follow_the_input():
     small = recommended_options(10**6, cores=8)
     large = recommended_options(100 * 10**12, cores=8_000)
-    assert small["spark.sql.shuffle.partitions"] == "8"
-    assert int(large["spark.sql.shuffle.partitions"]) > 700_000
+    assert small[SHUFFLE_PARTITIONS] == "8" and small[SCAN_BYTES] == str(PARTITION_BYTES)
+    # A hundred terabytes: at most some 100,000 scan tasks into 20,000 partitions.
+    assert large[SHUFFLE_PARTITIONS] == "20000"
+    assert 9 * 10**8 < int(large[SCAN_BYTES]) < 11 * 10**8
+
+
+def test_running_session_is_fitted_to_the_input(spark, options):
+    options(**{INITIAL_PARTITIONS: "8", SCAN_BYTES: str(PARTITION_BYTES)})
+    fit_shuffles(spark, 5 * PARTITION_BYTES)
+    assert spark.conf.get(INITIAL_PARTITIONS) == "8"
+    fit_shuffles(spark, 500 * PARTITION_BYTES)
+    assert spark.conf.get(INITIAL_PARTITIONS) == "500"
+    assert int(spark.conf.get(SCAN_BYTES)) == PARTITION_BYTES
+    fit_shuffles(spark, 10**14)
+    assert spark.conf.get(INITIAL_PARTITIONS) == "20000"
+    assert int(spark.conf.get(SCAN_BYTES)) > PARTITION_BYTES
+
+
+def test_stored_bytes_counts_files_and_folders(spark, tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "b" / "x.parquet").write_bytes(b"12345")
+    (tmp_path / "y.parquet").write_bytes(b"123")
+    assert stored_bytes(spark, f"{tmp_path}/a", f"{tmp_path}/y.parquet") == 8
