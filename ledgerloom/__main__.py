@@ -1,4 +1,5 @@
-"""spark-submit entry: ``build`` syncs and rebuilds the warehouse, ``report`` prints from it."""
+"""spark-submit entry: ``build`` syncs and rebuilds the warehouse, ``feed`` takes in new files of
+payments or changed rows, ``report`` prints from the warehouse."""
 
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from ledgerloom.plans import jobs
 from ledgerloom.sinks.warehouse import Warehouse
-from ledgerloom.sources import files, jdbc
+from ledgerloom.sources import SOURCES, files, jdbc
 
 
 def _arguments() -> argparse.Namespace:
@@ -21,6 +22,9 @@ def _arguments() -> argparse.Namespace:
     build.add_argument("--read-partitions", type=int, default=16)
     build.add_argument("--database-schema", help="also replace the tables of this schema")
     build.add_argument("--no-verify", action="store_true", help="skip the checks after the build")
+    feed = commands.add_parser("feed")
+    feed.add_argument("--table", required=True, choices=sorted(SOURCES))
+    feed.add_argument("--files", required=True, help="parquet folder that grows by new files")
     report = commands.add_parser("report")
     report.add_argument("--top", type=int, default=20)
     return parser.parse_args()
@@ -49,10 +53,15 @@ def main() -> None:
             )
         for name, rows in counts.items():
             print(f"{name}: {rows} rows")
+    elif arguments.command == "feed":
+        if arguments.table == "payments":
+            jobs.feed_payments(store, arguments.files, datetime.now(timezone.utc))
+        else:
+            jobs.feed_changes(store, arguments.table, arguments.files)
     else:
-        print("Revenue by order month, customer country and product line")
+        print("Revenue per month, country and product line")
         jobs.revenue_report(store).show(truncate=False)
-        print("Top customers by gross revenue")
+        print(f"The {arguments.top} customers with the highest revenue")
         jobs.top_customers_report(store, arguments.top).show(arguments.top, truncate=False)
     spark.stop()
 

@@ -1,4 +1,4 @@
-"""The jobs a scheduler starts: sync and build, and report."""
+"""The jobs a scheduler starts: sync and build, feed, and report."""
 
 from __future__ import annotations
 
@@ -12,8 +12,11 @@ from ledgerloom.operators.sync import live, sync_tables
 from ledgerloom.plans import reports, warehouse
 from ledgerloom.sinks.jdbc import ensure_schema, register_catalog, replace_table
 from ledgerloom.sinks.warehouse import Warehouse
-from ledgerloom.sources import SOURCES
+from ledgerloom.sources import SOURCES, conform
 from ledgerloom.sources.jdbc import JdbcEndpoint
+from ledgerloom.streaming.changes import run_upserts
+from ledgerloom.streaming.files import table_stream
+from ledgerloom.streaming.payments import PaymentsFeed
 
 CATALOG = "ledgerloom_target"
 
@@ -78,5 +81,24 @@ def top_customers_report(store: Warehouse, k: int = reports.TOP_CUSTOMERS) -> Da
     return reports.top_customers(*t.values(), k)
 
 
+def feed_payments(store: Warehouse, path: str, moment: datetime) -> PaymentsFeed:
+    """Append the new files of a parquet payments table, for the customers synced last."""
+    feed = PaymentsFeed(
+        store,
+        f"{store.root}/feeds/payments",
+        lambda: live(store.read("customers")),
+        warehouse.load_time(moment),
+    )
+    feed.run(conform(table_stream(store.spark, path), SOURCES["payments"]))
+    return feed
+
+
+def feed_changes(store: Warehouse, table: str, path: str) -> None:
+    """Upsert the new files of a parquet table of changed rows into its bronze table."""
+    source = SOURCES[table]
+    changes = conform(table_stream(store.spark, path), source)
+    run_upserts(changes, store, table, source.primary_key, f"{store.root}/feeds/{table}")
+
+
 def new_run_id(moment: datetime) -> str:
     return moment.astimezone(timezone.utc).strftime("%Y%m%dT%H%M%S%f")

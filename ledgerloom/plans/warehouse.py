@@ -58,7 +58,7 @@ def inputs_of(*names: str) -> tuple[str, ...]:
 
 
 def load_time(moment: datetime) -> Column:
-    """One load time for a whole run, as a literal."""
+    """One load time for a whole run, as a literal; the moment should know its time zone."""
     return F.lit(moment).cast("timestamp")
 
 

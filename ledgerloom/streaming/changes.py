@@ -30,7 +30,7 @@ def run_upserts(
     landing = Landing(store, table, folder, keys)
     landing.land(changes, order_by)
     landed, last = landing.new_rows()
-    if last <= landing.applied():
+    if last is None:
         return
     latest = latest_per_key(landed, keys, (*order_by, "batch_id")).drop("batch_id")
     latest = landing.settle(latest, last)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -16,8 +17,9 @@ class Landing:
 
     A micro-batch costs only its own rows: copies collapse before the shuffle and the rest is
     landed in a folder of its own, which a repeated batch overwrites. The table is then
-    touched once per run, however many batches came in. Which batches it holds is part of the
-    name of the run that published it, so both become visible at once.
+    touched once per run, however many batches came in. Which batches of this folder it holds
+    is part of the name of the run that published it, so both become visible at once, and a
+    new folder starts from its own first batch.
     """
 
     def __init__(self, store: Warehouse, table: str, folder: str, keys: Sequence[str]) -> None:
@@ -25,6 +27,7 @@ class Landing:
         self.table = table
         self.folder = folder.rstrip("/")
         self.keys = tuple(keys)
+        self.run_prefix = f"feed-{hashlib.sha256(self.folder.encode()).hexdigest()[:16]}-through-"
 
     def land(self, stream: DataFrame, order_by: Sequence[str] = ()) -> None:
         """Land everything that is there now, then stop."""
@@ -48,18 +51,16 @@ class Landing:
 
     def applied(self) -> int:
         """Number of the last batch the table holds, -1 before the first."""
-        batch = F.regexp_extract("run_id", "-through-([0-9]+)$", 1).try_cast("int")
-        last = self.store.versions().where(F.col("table_name") == self.table).agg(F.max(batch))
-        row = last.first()
+        mine = (F.col("table_name") == self.table) & F.col("run_id").startswith(self.run_prefix)
+        batch = F.substring_index("run_id", "-through-", -1).cast("int")
+        row = self.store.versions().where(mine).agg(F.max(batch)).first()
         return -1 if row[0] is None else row[0]
 
-    def new_rows(self) -> tuple[DataFrame, int]:
-        """Landed rows the table does not hold yet, with their batch, and the last batch."""
-        applied = self.applied()
+    def new_rows(self) -> tuple[DataFrame, int | None]:
+        """Landed rows the table does not hold yet, with their batch, and the last such batch."""
         landed = self.store.spark.read.parquet(f"{self.folder}/landed")
-        rows = landed.where(F.col("batch_id") > applied)
-        last = rows.agg(F.max("batch_id")).first()[0]
-        return rows, applied if last is None else last
+        rows = landed.where(F.col("batch_id") > self.applied())
+        return rows, rows.agg(F.max("batch_id")).first()[0]
 
     def settle(self, rows: DataFrame, through: int) -> DataFrame:
         """Write the rows about to be applied and read them back: they are used several times,
@@ -69,4 +70,4 @@ class Landing:
         return self.store.spark.read.parquet(path)
 
     def publish(self, rows: DataFrame, through: int) -> None:
-        self.store.replace(f"{self.table}-through-{through}", {self.table: rows})
+        self.store.replace(f"{self.run_prefix}{through}", {self.table: rows})

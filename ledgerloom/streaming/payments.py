@@ -15,7 +15,8 @@ from ledgerloom.sinks.warehouse import Warehouse
 from ledgerloom.streaming.landing import Landing
 
 PAYMENT_KEY = ("customer_number", "check_number")
-TABLE = "fact_payments"
+# Grows by a part per run, so it is kept apart from the table a full build replaces.
+TABLE = "fact_payments_feed"
 
 
 class PaymentsFeed:
@@ -44,27 +45,28 @@ class PaymentsFeed:
         """Append all payments that are there now."""
         self.landing.land(payments.select(*PAYMENT_KEY, "payment_date", "amount"))
         landed, last = self.landing.new_rows()
-        if last > self.landing.applied() or not self.store.exists(TABLE):
-            self.landing.publish(self._new_part(landed.drop("batch_id"), last), last)
-
-    def _new_part(self, landed: DataFrame, last: int) -> DataFrame:
-        if self.store.exists(TABLE):
-            fresh = self.landing.settle(
-                latest_per_key(landed.unionByName(self.waiting()), PAYMENT_KEY), last
-            )
+        landed = landed.drop("batch_id")
+        if not self.store.exists(TABLE):
+            # Published even when nothing came yet, so that the table can be read.
+            through = -1 if last is None else last
+            self._append(latest_per_key(landed, PAYMENT_KEY), through)
+        elif last is not None:
+            fresh = latest_per_key(landed.unionByName(self.waiting()), PAYMENT_KEY)
+            fresh = self.landing.settle(fresh, last)
             held = self.store.read_parts(TABLE).where("known").select(*PAYMENT_KEY)
             # A small delivery meets the held keys where they lie; they are not shuffled.
             again = held.join(
                 broadcast_if_small(fresh.select(*PAYMENT_KEY)), list(PAYMENT_KEY), "left_semi"
             )
-            fresh = fresh.join(again, list(PAYMENT_KEY), "left_anti")
-        else:
-            fresh = latest_per_key(landed, PAYMENT_KEY)
+            self._append(fresh.join(again, list(PAYMENT_KEY), "left_anti"), last)
+
+    def _append(self, fresh: DataFrame, through: int) -> None:
         known = payers(self.customers()).withColumn("known", F.lit(True))
-        return fresh.join(known, "customer_number", "left").select(
+        part = fresh.join(known, "customer_number", "left").select(
             *payment_columns(self.loaded_at, self.keys),
             F.coalesce("known", F.lit(False)).alias("known"),
         )
+        self.landing.publish(part, through)
 
     def read(self) -> DataFrame:
         return self.store.read_parts(TABLE).where("known").drop("known")

@@ -119,6 +119,19 @@ def test_run_that_dies_before_publishing_is_made_up(spark, source, monkeypatch):
     assert ids(feed.read()) == ["1-A", "2-B"]
 
 
+def test_new_landing_folder_starts_from_its_own_batches(spark, source):
+    customers = samples.sources(spark)["customers"]
+    feed = payments_feed(spark, lambda: customers)
+    source.add(payment(1, "A"))
+    source.add(payment(1, "B"))
+    feed.run(source.stream())
+    # The checkpoint is lost: everything is delivered again, to another folder.
+    again = PaymentsFeed(feed.store, f"{feed.landing.folder}-2", lambda: customers, loaded())
+    source.add(payment(2, "C"))
+    again.run(source.stream(files_per_batch=10))
+    assert ids(again.read()) == ["1-A", "1-B", "2-C"]
+
+
 def test_landed_batch_written_again_counts_once(spark, source):
     customers = samples.sources(spark)["customers"]
     feed = payments_feed(spark, lambda: customers)

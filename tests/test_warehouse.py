@@ -140,6 +140,20 @@ def test_sync_then_build_follows_the_source(spark, store):
     assert store.read("orders").where("is_deleted").count() == 1
 
 
+def test_feed_jobs_use_the_synced_tables(spark, store):
+    sources = {n: df for n, df in sellable(spark).items() if n in ("customers", "payments")}
+    jobs.sync_sources(store, {"customers": sources["customers"]}, "one", MOMENT)
+    folder = new_folder(spark, "files")
+    sources["payments"].coalesce(1).write.parquet(f"{folder}/payments")
+    feed = jobs.feed_payments(store, f"{folder}/payments", MOMENT)
+    assert sorted(r.payment_id for r in feed.read().collect()) == ["1-C1", "2-C2"]
+    moved = sources["customers"].where("customer_number = 1").withColumn("city", F.lit("Nice"))
+    moved.coalesce(1).write.parquet(f"{folder}/changes")
+    jobs.feed_changes(store, "customers", f"{folder}/changes")
+    cities = {r.customer_number: r.city for r in store.read("customers").collect()}
+    assert cities == {1: "Nice", 2: "Oslo", 3: "Rome", 4: "Bonn"}
+
+
 def test_sources_from_files_and_as_views(spark):
     folder = new_folder(spark, "files")
     for name, df in samples.sources(spark).items():
