@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 class KeyScheme(Enum):
     """How a natural key becomes a BIGINT surrogate key.
 
-    ``MURMUR32`` is the absolute 32-bit hash that existing warehouses hold. It collides from
-    some ten thousand keys on, and a collision multiplies rows in a star join.
+    ``MURMUR32`` is the absolute 32-bit hash that existing warehouses hold. It collides as
+    tables grow, likely from some 50,000 keys on, and a collision multiplies rows in a star join.
     ``XXHASH64`` maps integral keys one to one (every step of the 64-bit hash of one word is
     invertible, and no absolute value folds the range), and leaves string keys with a
     64-bit hash; the collision audit covers those.
