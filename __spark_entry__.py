@@ -36,6 +36,19 @@ from ledgerloom.streaming.changes import run_upserts  # noqa: E402
 from ledgerloom.streaming.files import table_stream  # noqa: E402
 from ledgerloom.streaming.payments import PaymentsFeed  # noqa: E402
 
+try:  # the subpackage is optional: without it, its queries are left out
+    import corpus_pipeline
+    from ledgerloom.llm.oracles import ORACLES as LLM_ORACLES
+    from ledgerloom.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "ledgerloom.llm"):
+        raise
+    LLM_QUERIES, LLM_ORACLES = {}, {}
+else:
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_ORACLES = {**LLM_ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 # Noon, so that the day is the same in the session's time zone.
 FIRST, SECOND, THIRD = (datetime(2024, 1, day, 12, tzinfo=timezone.utc) for day in (1, 2, 3))
@@ -412,7 +425,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _fitted(query) for name, query in _QUERIES.items()}
+    return {name: _fitted(query) for name, query in _QUERIES.items()} | LLM_QUERIES
 
 
 _QUERIES: dict[str, Query] = {
@@ -449,4 +462,4 @@ _QUERIES: dict[str, Query] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.build()
+    return oracles.build() | LLM_ORACLES
