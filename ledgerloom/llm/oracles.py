@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-WORDS = r"list_filter(regexp_split_to_array(coalesce({}, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+WORDS = r"[w FOR w IN regexp_split_to_array(coalesce({}, ''), '[\x20\x09-\x0D]+') IF w <> '']"
 
 HOST_QUALITY = rf"""
 WITH texts AS (
   SELECT doc_id, source, coalesce(text, '') AS text, {WORDS.format("text")} AS words,
-    list_filter(string_split(coalesce(text, ''), chr(10)),
-                x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    [x FOR x IN string_split(coalesce(text, ''), chr(10))
+     IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
   FROM documents),
 windows AS (
   SELECT doc_id, i, array_to_string(list_slice(words, i, i + 7), ' ') AS run
