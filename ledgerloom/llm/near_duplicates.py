@@ -56,7 +56,7 @@ class Settings:
     threshold: float = 0.8
     bands: int = 16
     rows: int = 5
-    idf_gain: float = 0.25
+    idf_gain: float = 0.15
     df_bits: int = 20
     seed: int = 7
 

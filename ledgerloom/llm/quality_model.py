@@ -28,10 +28,10 @@ GRAM_BASE = 0x27D4EB2F165667C5
 class Settings:
     """``sample``: bound on labelled rows to learn from; ``bits``: buckets as a power of two."""
 
-    sample: int = 4_000
+    sample: int = 2_500
     bits: int = 16
     size: int = 12
-    epochs: int = 12
+    epochs: int = 8
     batch: int = 16
     rate: float = 0.8
     decay: float = 1e-6
