@@ -262,11 +262,13 @@ def repeated_spans(
         map_arrow(edges, _emit_windows(window), "doc_id long, start int, h1 long, h2 long"),
         "repeat-edges",
     )
-    firsts = (
+    # a written table, so that the join has exchanges of its own, which AQE can split
+    firsts = stage(
         edges.groupBy("h1", "h2")
         .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("places"))
         .where("places > 1")
-        .drop("places")
+        .drop("places"),
+        "repeat-firsts",
     )
     single = (
         edges.join(firsts, ["h1", "h2"])
