@@ -197,8 +197,8 @@ def shared_lines(
         "doc_id long, text_hash long, line binary, places array<int>, words int",
     )
     lines = stage(lines, "align-lines")
-    # a repeated row is the same document, so it does not follow itself
-    first = (
+    # a written table, so that the join has exchanges of its own and AQE can split a hot line
+    first = stage(
         lines.groupBy("line")
         .agg(
             F.min(F.struct(F.col("doc_id"), F.col("text_hash"), F.col("places"))).alias("first"),
@@ -210,8 +210,10 @@ def shared_lines(
             F.col("first.doc_id").alias("a_id"),
             F.col("first.text_hash").alias("a_hash"),
             F.col("first.places").alias("in_a"),
-        )
+        ),
+        "align-first",
     )
+    # a repeated row is the same document, so it does not follow itself
     later = lines.join(first, "line").where(
         ~(same(F.col("doc_id"), F.col("a_id")) & (F.col("text_hash") == F.col("a_hash")))
     )

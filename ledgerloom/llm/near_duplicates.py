@@ -325,6 +325,7 @@ def near_duplicates(
         "text_id", F.xxhash64("band", "hash").alias("bucket")
     )
     shared = in_bands.groupBy("bucket").count().where("count > 1").select("bucket")
+    shared = stage(shared, "near-buckets")
     members = stage(in_bands.join(shared, "bucket", "left_semi").select("bucket", "text_id"), "near-members")
     compared = unique.join(members.select("text_id").distinct(), "text_id", "left_semi").select(
         F.col("text_id").alias("own_text"), F.col("doc_id").alias("own_id")
