@@ -8,16 +8,19 @@
    (gamma) and beta (uniform) are drawn for k and the shingle. Two texts draw the same sample
    with a probability of their weighted Jaccard similarity.
 3. Equal texts collapse first. Texts that agree on a whole band share a bucket.
-4. Within buckets, some texts (hubs) are compared with all others that are not yet in their
-   class: first one hub, then four, sixteen and so on, until every text of every bucket either
-   has been compared with, or is in one class with, each other one. So no link that could change
-   a class is left out, while a group of copies costs about one comparison per copy.
+4. Within buckets, the text that shares most buckets with others (a hub) is compared with all
+   texts not yet in its class, then four more hubs are. Buckets that are one class by then are
+   settled. Of the others, small ones compare their remaining pairs. The texts of large ones are
+   put in new buckets by their rarest shingles, of which similar texts must share one, and there
+   compared with those of another class. So no link that could change a class is left out, while
+   a group of copies costs about one comparison per copy.
 5. A pair counts if the weighted Jaccard similarity of the whole texts reaches the threshold.
    Classes are the connected components of these links.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -45,6 +48,12 @@ SHINGLE_BASE = 0xD6E8FEB86659FD93
 # Random variates are drawn for this many classes of shingles per sample.
 POOL_BITS = 15
 HUB_GROWTH = 4
+# All pairs of a bucket with no more members than this are compared.
+SMALL_BUCKET = 32
+# Counters that tell which shingles a single compared text has, as a power of two.
+PRIVATE_BITS = 22
+# Width of a weight class, as a natural logarithm.
+CLASS_STEP = 0.05
 
 
 @dataclass(frozen=True)
@@ -237,62 +246,164 @@ def _verify(levels, settings: Settings):
 # --- classes -------------------------------------------------------------------------------
 
 
-def _linked_texts(members: DataFrame, texts: DataFrame, levels, settings: Settings) -> DataFrame | None:
-    """Root of each text that is linked to another: ``node, root``."""
-    classes: DataFrame | None = None
-    hubs = 1
-    while True:
-        if classes is None:
+def _prefixes(levels, private, settings: Settings):
+    """The rarest shingles of a text, by which it can meet a similar one.
+
+    Shingles are ordered alike in all texts, rare ones first. Two similar texts share a weight of
+    at least ``a = threshold / (1 + threshold)`` of both together. For the lighter one, of weight
+    s, that is ``2 a s``; for the heavier one, of weight w, it is ``a (w + s)``. So the shingles up
+    to which less than that is left must include a common one, and the bucket is that shingle
+    with the weight class of the lighter text: a text gives the rows of both parts. ``private`` marks
+    shingles that no other compared text has; ``shared`` is the weight of all others.
+    """
+    private_shift = np.uint64(64 - PRIVATE_BITS)
+    share = settings.threshold / (1 + settings.threshold) * (1 - 1e-6)
+    names = ["text_id", "heavier", "shingle", "class", "weight", "shared"]
+
+    def run(batch: pa.RecordBatch):
+        weigh = Weights(levels.value, settings)
+        for at, to, words in word_blocks(batch.column(1)):
+            sizes, shingles, tf = _distinct(*_shingles(words, settings.words), to - at)
+            weights = weigh(shingles, tf).astype(np.float64)
+            rare = weigh.levels[(shingles >> weigh.shift).astype(np.int64)].astype(np.int64)
+            alone = private.value[(shingles >> private_shift).astype(np.int64)]
+            found: list[tuple[int, int, int, float, float, np.ndarray]] = []
+            for i in np.flatnonzero(sizes):
+                stop = int(sizes[: i + 1].sum())
+                own = slice(stop - sizes[i], stop)
+                order = np.lexsort((shingles[own], -rare[own]))
+                left = weights[own][order][::-1].cumsum()[::-1]
+                total, ranked = left[0], shingles[own][order]
+                shared = total - weights[own][alone[own]].sum()
+                least = settings.threshold * total * (1 - 1e-6)
+                top = math.floor(math.log(total) / CLASS_STEP)
+                keep = np.count_nonzero(left >= 2 * share * total)
+                found.append((i + at, 0, top, total, shared, ranked[:keep]))
+                for c in range(math.floor(math.log(least) / CLASS_STEP), top + 1):
+                    low = max(math.exp(c * CLASS_STEP), least)
+                    keep = np.count_nonzero(left >= share * (total + low))
+                    found.append((i + at, 1, c, total, shared, ranked[:keep]))
+            if found:
+                n = [len(f[5]) for f in found]
+                columns = [np.repeat([f[k] for f in found], n) for k in range(5)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(pa.array(columns[0])),
+                        pa.array(columns[1] == 1),
+                        longs(np.concatenate([f[5] for f in found])),
+                        *[pa.array(c) for c in columns[2:]],
+                    ],
+                    names,
+                )
+
+    return run
+
+
+class _Linker:
+    """Links texts of shared buckets until no pair of a bucket is left that could join classes."""
+
+    def __init__(self, texts: DataFrame, levels, settings: Settings) -> None:
+        self.texts, self.levels, self.settings = texts, levels, settings
+        self.classes: DataFrame | None = None
+
+    def unsettled(self, members: DataFrame) -> DataFrame:
+        """Members of buckets with several classes: ``bucket, text_id, degree, root, size``."""
+        if self.classes is None:
             placed = members.withColumn("root", F.col("text_id"))
         else:
-            placed = members.join(classes, F.col("text_id") == F.col("node"), "left").select(
-                "bucket", "text_id", F.coalesce("root", "text_id").alias("root")
+            placed = members.join(self.classes, F.col("text_id") == F.col("node"), "left").select(
+                *members.columns, F.coalesce("root", "text_id").alias("root")
             )
-        # buckets that are one class need no further comparison
-        mixed_up = (
+        placed = stage(placed, "near-placed")
+        mixed_up = stage(
             placed.groupBy("bucket")
-            .agg(F.min("root").alias("low"), F.max("root").alias("high"))
+            .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size"))
             .where("low != high")
-            .select("bucket")
+            .select("bucket", "size"),
+            "near-buckets",
+        )
+        return stage(placed.join(mixed_up, "bucket"), "near-members")
+
+    def link(self, pairs: DataFrame) -> None:
+        """Compare pairs (u, v) and join the classes of those that are similar."""
+        pairs = stage(
+            pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(),
+            "near-pairs",
         )
-        placed = stage(placed.join(mixed_up, "bucket", "left_semi"), "near-members")
+        with_v = pairs.join(self.texts.withColumnRenamed("text", "v_text"), F.col("v") == F.col("text_id"))
+        both = with_v.select("u", "v", "v_text").join(
+            self.texts.withColumnRenamed("text", "u_text"), F.col("u") == F.col("text_id")
+        )
+        verify = _verify(self.levels, self.settings)
+        both = both.select("u", "v", "u_text", "v_text")
+        links = stage(map_arrow(both, verify, "u binary, v binary"), "near-links")
+        if not links.head(1):
+            return
+        if self.classes is not None:
+            links = links.union(self.classes.select(F.col("node").alias("u"), F.col("root").alias("v")))
+        self.classes = components(links)
+
+    def with_hubs(self, members: DataFrame, hubs: int) -> DataFrame:
+        """Compare all members with the hubs of their bucket; the members that are none are left."""
         part = F.pmod(F.xxhash64("text_id", F.lit(hubs)), F.lit(hubs))
         chosen = (
-            placed.groupBy("bucket", part.alias("part"))
-            .agg(F.min(F.struct("text_id", "root")).alias("hub"))
+            members.groupBy("bucket", part.alias("part"))
+            .agg(F.max(F.struct("degree", "text_id", "root")).alias("hub"))
             .select("bucket", F.col("hub.text_id").alias("hub"), F.col("hub.root").alias("hub_root"))
         )
         chosen = stage(chosen, "near-hubs")
-        pairs = (
-            placed.join(chosen, "bucket")
-            .where("root != hub_root")
-            .select(F.least("text_id", "hub").alias("u"), F.greatest("text_id", "hub").alias("v"))
-            .distinct()
-        )
-        pairs = stage(pairs, "near-pairs")
-        if not pairs.head(1):
-            return classes
-        with_v = pairs.join(texts.withColumnRenamed("text", "v_text"), F.col("v") == F.col("text_id"))
-        both = with_v.select("u", "v", "v_text").join(
-            texts.withColumnRenamed("text", "u_text"), F.col("u") == F.col("text_id")
-        )
-        links = stage(
-            map_arrow(
-                both.select("u", "v", "u_text", "v_text"),
-                _verify(levels, settings),
-                "u binary, v binary",
-            ),
-            "near-links",
-        )
-        if links.head(1):
-            if classes is None:
-                edges = links
-            else:
-                edges = links.union(classes.select(F.col("node").alias("u"), F.col("root").alias("v")))
-            classes = components(edges)
+        joined = members.join(chosen, "bucket").where("root != hub_root")
+        self.link(joined.select(F.col("text_id").alias("u"), F.col("hub").alias("v")))
         done = chosen.select("bucket", F.col("hub").alias("text_id"))
-        members = stage(placed.select("bucket", "text_id").join(done, ["bucket", "text_id"], "left_anti"), "near-members")
-        hubs *= HUB_GROWTH
+        return members.select("bucket", "text_id", "degree").join(done, ["bucket", "text_id"], "left_anti")
+
+    def all_pairs(self, members: DataFrame) -> DataFrame:
+        """Pairs of small buckets that are not in one class."""
+        left = members.select("bucket", F.col("text_id").alias("u"), F.col("root").alias("u_root"))
+        right = members.select("bucket", F.col("text_id").alias("v"), F.col("root").alias("v_root"))
+        return left.join(right, "bucket").where("u < v and u_root != v_root").select("u", "v")
+
+    def near_pairs(self, rare: DataFrame) -> DataFrame:
+        """Pairs that meet in a bucket of rare shingles, whose weights allow them to be similar, and
+        that are not in one class."""
+        share = self.settings.threshold / (1 + self.settings.threshold) * (1 - 1e-6)
+        rare = rare.select(
+            F.xxhash64("shingle", "class").alias("bucket"), "text_id", "heavier", "weight", "shared"
+        )
+        left = self.unsettled(rare)
+        own = ("text_id", "root", "weight", "shared")
+        u = left.where("not heavier").select("bucket", *[F.col(c).alias(f"u_{c}") for c in own])
+        v = left.where("heavier").select("bucket", *[F.col(c).alias(f"v_{c}") for c in own])
+        fits = F.least("u_shared", "v_shared") >= share * (F.col("u_weight") + F.col("v_weight"))
+        order = F.struct("u_weight", "u_text_id") < F.struct("v_weight", "v_text_id")
+        both = u.join(v, "bucket").where((F.col("u_root") != F.col("v_root")) & order & fits)
+        return both.select(F.col("u_text_id").alias("u"), F.col("v_text_id").alias("v"))
+
+    def run(self, members: DataFrame) -> DataFrame | None:
+        """Root of each text that is linked to another: ``node, root``."""
+        members = members.join(members.groupBy("text_id").agg(F.count("*").alias("degree")), "text_id")
+        hubs = 1
+        for _ in range(2):
+            left = self.unsettled(members)
+            members = self.with_hubs(left, hubs)
+            hubs *= HUB_GROWTH
+        left = self.unsettled(members)
+        small, large = left.where(F.col("size") <= SMALL_BUCKET), left.where(F.col("size") > SMALL_BUCKET)
+        pairs = self.all_pairs(small)
+        if large.head(1):
+            compared = self.texts.join(large.select("text_id").distinct(), "text_id", "left_semi")
+            compared = stage(compared, "near-large")
+            counts = hashed_counts(compared.select("text"), _document_hashes(self.settings), PRIVATE_BITS)
+            private = compared.sparkSession.sparkContext.broadcast(counts == 1)
+            rare = map_arrow(
+                compared.select("text_id", "text"),
+                _prefixes(self.levels, private, self.settings),
+                "text_id binary, heavier boolean, shingle long, class long, weight double, "
+                "shared double",
+            )
+            pairs = pairs.union(self.near_pairs(rare))
+        self.link(pairs)
+        return self.classes
 
 
 def near_duplicates(
@@ -335,7 +446,7 @@ def near_duplicates(
         compared, same(F.col("doc_id"), F.col("own_id")) & (F.col("text_id") == F.col("own_text"))
     )
     held = stage(held.groupBy("text_id").agg(F.first("text").alias("text")), "near-compared")
-    linked = _linked_texts(members, held, levels, settings)
+    linked = _Linker(held, levels, settings).run(members)
 
     rows = signed.where(comparable).select("doc_id", "text_id")
     if linked is None:
