@@ -53,7 +53,7 @@ SMALL_BUCKET = 32
 # Counters that tell which shingles a single compared text has, as a power of two.
 PRIVATE_BITS = 22
 # Width of a weight class, as a natural logarithm.
-CLASS_STEP = 0.05
+CLASS_STEP = 0.03
 
 
 @dataclass(frozen=True)
@@ -274,15 +274,16 @@ def _prefixes(levels, private, settings: Settings):
                 order = np.lexsort((shingles[own], -rare[own]))
                 left = weights[own][order][::-1].cumsum()[::-1]
                 total, ranked = left[0], shingles[own][order]
+                met = ~alone[own][order]  # shingles by which nothing can be met are left out
                 shared = total - weights[own][alone[own]].sum()
                 least = settings.threshold * total * (1 - 1e-6)
                 top = math.floor(math.log(total) / CLASS_STEP)
                 keep = np.count_nonzero(left >= 2 * share * total)
-                found.append((i + at, 0, top, total, shared, ranked[:keep]))
+                found.append((i + at, 0, top, total, shared, ranked[:keep][met[:keep]]))
                 for c in range(math.floor(math.log(least) / CLASS_STEP), top + 1):
                     low = max(math.exp(c * CLASS_STEP), least)
                     keep = np.count_nonzero(left >= share * (total + low))
-                    found.append((i + at, 1, c, total, shared, ranked[:keep]))
+                    found.append((i + at, 1, c, total, shared, ranked[:keep][met[:keep]]))
             if found:
                 n = [len(f[5]) for f in found]
                 columns = [np.repeat([f[k] for f in found], n) for k in range(5)]
@@ -396,7 +397,7 @@ class _Linker:
             counts = hashed_counts(compared.select("text"), _document_hashes(self.settings), PRIVATE_BITS)
             private = compared.sparkSession.sparkContext.broadcast(counts == 1)
             rare = map_arrow(
-                compared.select("text_id", "text"),
+                compared.select("text_id", "text").repartition("text_id"),
                 _prefixes(self.levels, private, self.settings),
                 "text_id binary, heavier boolean, shingle long, class long, weight double, "
                 "shared double",
