@@ -1,0 +1,244 @@
+"""Operators against plain definitions on small data."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from ledgerloom.llm import common, components, decontamination, line_alignment, near_duplicates, repeated_spans
+from ledgerloom.llm import sentencepiece_lattice as lattice
+from ledgerloom.llm import toxicity
+
+
+def words(random_, n, vocabulary):
+    return [f"v{random_.randrange(vocabulary)}" for _ in range(n)]
+
+
+# --- substring dedup -----------------------------------------------------------------------
+
+
+def removed(texts, window):
+    first, gone = {}, Counter()
+    for doc, text in sorted(texts.items()):
+        own = text.split()
+        covered = set()
+        for i in range(len(own) - window + 1):
+            if first.setdefault(tuple(own[i : i + window]), (doc, i)) != (doc, i):
+                covered.update(range(i, i + window))
+        gone[doc] = " ".join(w for i, w in enumerate(own) if i not in covered)
+    return dict(gone)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_repeated_spans(spark, seed):
+    rng = random.Random(seed)
+    passages = [words(rng, rng.randrange(15, 60), 500) for _ in range(6)]
+    texts = {}
+    for doc in range(80):
+        parts = [rng.choice(passages) if rng.random() < 0.5 else words(rng, rng.randrange(1, 30), 3) for _ in range(4)]
+        texts[doc] = " ".join(w for p in parts for w in p)
+    texts[80] = "a " * 200  # one edge over and over
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_text"] for r in repeated_spans.remove_repeats(docs).collect()}
+    assert got == removed(texts, 20)
+
+
+def test_words_of_long_texts_are_hashed_alike():
+    text = " ".join(str(i % 977) for i in range(900_000))  # longer than a piece
+    column = pa.array([text, "7 8 9", text])
+    found = list(common.word_blocks(column))
+    one = next(w for at, _, w in found if at == 0)
+    ends = [w for at, to, w in found if to == 3][0]
+    assert one.counts[0] == 900_000
+    assert np.array_equal(one.hashes[:900_000], ends.hashes[-900_000:])
+    assert len(set(one.hashes[:900_000].tolist())) == 977
+
+
+# --- near duplicates -----------------------------------------------------------------------
+
+
+def test_near_duplicates_equal_all_pairs(spark):
+    rng = random.Random(5)
+    texts = []
+    for _ in range(12):
+        base = words(rng, 120, 10_000)
+        for _ in range(10):
+            own = list(base)
+            for _ in range(rng.randrange(0, 9)):
+                own[rng.randrange(len(own))] = f"n{rng.random()}"
+            texts.append(" ".join(own))
+    big = words(rng, 150, 10_000)  # a large group, with members that no hub reaches
+    for _ in range(120):
+        own = list(big)
+        for _ in range(rng.choice([1, 2, 3, 9, 12])):
+            own[rng.randrange(len(own))] = f"n{rng.random()}"
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # the same weights, without sampling
+    settings = near_duplicates.Settings(bands=32, rows=3)
+    weigh = near_duplicates.Weights(near_duplicates.idf_levels(docs, settings), settings)
+    _, _, held = next(common.word_blocks(pa.array(texts)))
+    sizes, shingles, tf = near_duplicates._distinct(*near_duplicates._shingles(held, 5), len(texts))
+    weights, stops = weigh(shingles, tf), np.cumsum(sizes)
+    bags = [(shingles[b - n : b], weights[b - n : b]) for n, b in zip(sizes, stops)]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if near_duplicates.similarity(bags[i], bags[j]) >= settings.threshold:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(docs, settings=settings).collect()}
+    assert got == {i: find(i) for i in range(len(texts))}
+    assert len(set(got.values())) > 20
+
+
+def test_samples_estimate_weighted_similarity():
+    rng = np.random.default_rng(3)
+    shingles = np.sort(rng.integers(0, 1 << 63, 400, dtype=np.uint64))
+    a, b = shingles[:300], shingles[100:]
+    wa, wb = (np.linspace(1, 3, 300).astype(np.float32), np.linspace(2, 1, 300).astype(np.float32))
+    drawn = near_duplicates.sample(
+        np.concatenate([a, b]), np.concatenate([wa, wb]), np.array([300, 300]), 600, seed=1
+    )
+    assert abs((drawn[0] == drawn[1]).mean() - near_duplicates.similarity((a, wa), (b, wb))) < 0.07
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
+    found = components.components(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert {(r["node"], r["root"]) for r in found} == {(i, 0) for i in range(1, 41)} | {
+        (100 + i, 100) for i in range(1, 30)
+    }
+
+
+# --- alignment and tiling ------------------------------------------------------------------
+
+
+def test_alignment_deletes_blocks_in_order():
+    block = [f"line number {i} has some words" for i in range(4)]
+    earlier = "\n".join([*block, "only here are these words", "ok"])
+    later = "\n".join(["something new is written here", *block, "", "ok"])
+    keys_a, keys_b = (line_alignment.line_keys(t.encode(), 5) for t in (earlier, later))
+    in_a, in_b = {k: i for k, i, _ in keys_a}, {k: i for k, i, _ in keys_b}
+    shared = [([in_a[k]], [in_b[k]], n) for k, _, n in keys_b if k in in_a]
+    assert sorted(line_alignment.align([(a, b, 6) for a, b, _ in shared], 8)) == [1, 2, 3, 4]
+    crossed = [([0], [5], 6), ([1], [4], 6)]  # in another order only one can be aligned
+    assert line_alignment.align(crossed, 8) == []
+
+
+def test_later_copies_lose_their_lines(spark):
+    lines = [f"line {i} with a few more words" for i in range(6)]
+    rows = [(1, "\n".join(lines[:4])), (2, "\n".join([*lines[1:4], "my own line is kept here"])),
+            (3, "\n".join(lines)), (4, "short\nlines\nonly")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_text"] for r in line_alignment.delete_shared_lines(docs).collect()}
+    assert got == {1: rows[0][1], 2: "my own line is kept here", 3: "\n".join(lines[4:]), 4: rows[3][1]}
+
+
+def tiles_by_definition(a, b, least):
+    used_a, used_b, tiles = set(), set(), []
+    while True:
+        best = None
+        for i in range(len(a)):
+            for j in range(len(b)):
+                k = 0
+                while (i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]
+                       and i + k not in used_a and j + k not in used_b):
+                    k += 1
+                if k >= least and (best is None or k > best[2]):
+                    best = (i, j, k)
+        if best is None:
+            return tiles
+        tiles.append(best)
+        used_a.update(range(best[0], best[0] + best[2]))
+        used_b.update(range(best[1], best[1] + best[2]))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_tiles_equal_their_definition(seed):
+    rng = random.Random(seed)
+    a, b = ([rng.randrange(3) for _ in range(30)] for _ in range(2))
+    hits = [(i, j) for i in range(28) for j in range(28) if a[i : i + 3] == b[j : j + 3]]
+    assert decontamination.tile(hits, 3) == tiles_by_definition(a, b, 3) if hits else True
+
+
+def test_reordered_items_leak(spark):
+    rng = random.Random(2)
+    item = words(rng, 40, 10_000)
+    moved = item[20:] + words(rng, 9, 10_000) + item[:20]
+    rows = [(1, " ".join(moved)), (2, " ".join(item).upper().replace(" ", ", ")), (3, " ".join(item[:10])),
+            (4, " ".join(words(rng, 90, 10_000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: (r["leaked_items"], r["top_coverage"]) for r in decontamination.mark_leaks(docs, items).collect()}
+    assert got == {1: ([7], 1.0), 2: ([7], 1.0), 3: ([], 0.25), 4: ([], 0.0)}
+
+
+# --- lattice -------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    with open(lattice.MODEL, "rb") as file:
+        return lattice.Pieces.load(file.read())
+
+
+def all_paths(pieces, text):
+    text, found = f" {text}", []
+
+    def go(at, score, ids):
+        if at == len(text):
+            found.append((score, tuple(ids)))
+            return
+        if text[at] not in pieces.of_text:
+            go(at + 1, score + pieces.unknown, ids + [pieces.byte_ids[b] for b in text[at].encode()])
+        for stop in range(at + 1, min(len(text), at + pieces.longest) + 1):
+            if text[at:stop] in pieces.of_text:
+                piece = pieces.of_text[text[at:stop]]
+                go(stop, score + piece[1], [*ids, piece[0]])
+
+    go(0, 0.0, [])
+    return sorted(found, key=lambda p: -p[0])
+
+
+@pytest.mark.parametrize("text", ["the cat", "a  b\nc.", "éx ▁a\0", " ", "ab, ab", "<0x0A>", "\n\n x", "😀 ok"])
+@pytest.mark.parametrize("n", [1, 2, 4, 7])
+def test_n_best_paths(pieces, text, n):
+    ids, found = pieces.encode(text, n)
+    best = np.frombuffer(ids, np.int32).tolist()
+    want = all_paths(pieces, text)
+    assert [s for s, _ in found] == [s for s, _ in want[:n]]
+    paths = [tuple(lattice.apply_edits(best, e)) for _, e in found]
+    assert len(set(paths)) == len(paths) and set(paths) <= {p for _, p in want}
+    assert all(pieces.decode(p) == text for p in paths)
+
+
+def test_decoding_in_spark(spark):
+    texts = ["", "  two  spaces ", "line\nbreak\ttab", "▁mark", "ü😀", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    table = lattice.decode_pieces(lattice.encode_texts(docs))
+    assert all(r["decoded"] == r["text"] for r in table.collect())
+
+
+# --- toxicity ------------------------------------------------------------------------------
+
+
+def test_folding_and_exceptions():
+    lexicon = toxicity.Lexicon((("idiot", 2.0), ("clown", 1.0), ("scum*", 3.0)), ("clown fish",))
+    automaton = lexicon.automaton()
+
+    def weight(text):
+        return toxicity.find(automaton, toxicity.fold(text))
+
+    assert weight("You IDIOT, 1d10t and іdi​ot") == 6.0
+    assert weight("a clown, no clown fish and no idiots") == 1.0
+    assert weight("scumbag") == 3.0
+    assert weight("uncrowned 100% 5x$") == 0.0
