@@ -22,7 +22,7 @@ WORD_SPACE = r"[\x20\x09-\x0D]+"
 SPACE_BYTES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 # Texts are worked on in blocks of about this size, so that arrays stay small.
-BLOCK_BYTES = 2 * 1024 * 1024
+BLOCK_BYTES = 1024 * 1024
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -91,7 +91,7 @@ class _Powers:
 
     def up_to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self._tables[0]) < n:
-            size = 1 << (n - 1).bit_length()
+            size = -(-n >> 16) << 16
             for k, base in enumerate(self._bases):
                 table = np.full(size, base, np.uint64)
                 table[0] = 1
@@ -147,12 +147,12 @@ def hash_words(data: np.ndarray, bounds: np.ndarray, spaces: np.ndarray = _SPACE
     at, stop = int(bounds[0]), int(bounds[-1])
     cuts = bounds[1:-1]
     while at < stop:
-        to = min(stop, at + 2 * BLOCK_BYTES)
+        to = min(stop, at + BLOCK_BYTES)
         if to < stop:
             gaps = np.flatnonzero(spaces[data[at:to]])
             # a piece without any gap is one word so far: go on to its end
             while not len(gaps) and to < stop:
-                to = min(stop, to + 2 * BLOCK_BYTES)
+                to = min(stop, to + BLOCK_BYTES)
                 gaps = np.flatnonzero(spaces[data[at:to]])
             if to < stop:
                 to = at + int(gaps[-1]) + 1
@@ -295,6 +295,8 @@ def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.Re
     def run(batches):
         for batch in batches:
             yield from function(batch)
+        # workers are used again, and what they hold counts as the executor's memory
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -40,7 +40,7 @@ LEAST_SCORE = -1e8
 # Score of a character without a piece, below the least score, as in the public library.
 UNKNOWN_PENALTY = 10.0
 # Parts held in a worker's memory, and the longest of them; others are searched anew.
-CACHED_PARTS = 400_000
+CACHED_PARTS = 120_000
 CACHED_LENGTH = 64
 
 PARTS = re.compile(r"\n| *[^ \n]+| +")
