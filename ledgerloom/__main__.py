@@ -8,6 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
+from ledgerloom.functions import KeyScheme
 from ledgerloom.plans import jobs
 from ledgerloom.sinks.warehouse import Warehouse
 from ledgerloom.sources import SOURCES, files, jdbc
@@ -21,18 +22,25 @@ def _arguments() -> argparse.Namespace:
     build.add_argument("--source-folder", help="parquet sources; default is the MySQL database")
     build.add_argument("--read-partitions", type=int, default=16)
     build.add_argument("--database-schema", help="also replace the tables of this schema")
+    build.add_argument(
+        "--keys", choices=[k.name.lower() for k in KeyScheme], default=KeyScheme.XXHASH64.name.lower()
+    )
     build.add_argument("--no-verify", action="store_true", help="skip the checks after the build")
     feed = commands.add_parser("feed")
     feed.add_argument("--table", required=True, choices=sorted(SOURCES))
+    feed.add_argument("--order-by", nargs="*", default=[], help="columns that order changes")
     feed.add_argument("--files", required=True, help="parquet folder that grows by new files")
     report = commands.add_parser("report")
+    report.add_argument("--output", help="write the whole revenue report to this folder")
+    report.add_argument("--rows", type=int, default=100, help="rows of it to print")
     report.add_argument("--top", type=int, default=20)
     return parser.parse_args()
 
 
 def main() -> None:
     arguments = _arguments()
-    spark = SparkSession.builder.appName(f"ledgerloom-{arguments.command}").getOrCreate()
+    builder = SparkSession.builder.appName(f"ledgerloom-{arguments.command}")
+    spark = builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     store = Warehouse(spark, arguments.warehouse)
     if arguments.command == "build":
         moment = datetime.now(timezone.utc)
@@ -45,7 +53,12 @@ def main() -> None:
             )
         sources = jobs.sync_sources(store, snapshots, f"{run_id}-sync", moment)
         counts = jobs.build(
-            store, sources, f"{run_id}-build", moment, verify=not arguments.no_verify
+            store,
+            sources,
+            f"{run_id}-build",
+            moment,
+            KeyScheme[arguments.keys.upper()],
+            verify=not arguments.no_verify,
         )
         if arguments.database_schema:
             jobs.copy_to_database(
@@ -57,10 +70,16 @@ def main() -> None:
         if arguments.table == "payments":
             jobs.feed_payments(store, arguments.files, datetime.now(timezone.utc))
         else:
-            jobs.feed_changes(store, arguments.table, arguments.files)
+            jobs.feed_changes(store, arguments.table, arguments.files, arguments.order_by)
     else:
-        print("Revenue per month, country and product line")
-        jobs.revenue_report(store).show(truncate=False)
+        revenue = jobs.revenue_report(store)
+        if arguments.output:
+            revenue.write.parquet(arguments.output)
+            revenue = spark.read.parquet(arguments.output)
+        total = revenue.count()
+        shown = total if arguments.rows is None else min(arguments.rows, total)
+        print(f"Revenue per month, country and product line: {shown} of {total} rows")
+        revenue.show(shown, truncate=False)
         print(f"The {arguments.top} customers with the highest revenue")
         jobs.top_customers_report(store, arguments.top).show(arguments.top, truncate=False)
     spark.stop()

@@ -107,6 +107,23 @@ def latest_per_key(
     )
 
 
+def latest_or_tied(
+    changes: DataFrame, keys: Sequence[str], rank: Sequence[str], tied: str
+) -> DataFrame:
+    """One row per key: the last by ``rank``; ``tied`` says that others of that rank differ."""
+    rest = sorted(c for c in changes.columns if c not in keys and c not in rank)
+    values = F.struct(F.lit(True).alias("present"), *rest)
+    by_rank = changes.groupBy(*keys, *rank).agg(
+        F.max(values).alias("values"), (F.max(values) != F.min(values)).alias(tied)
+    )
+    ranked = F.struct(F.lit(True).alias("present"), *rank, "values", tied)
+    picked = by_rank.groupBy(*keys).agg(F.max(ranked).alias("last"))
+    place = {c: f"last.{c}" for c in rank} | {c: f"last.values.{c}" for c in rest}
+    return picked.select(
+        *[F.col(place.get(c, c)).alias(c) for c in changes.columns], F.col(f"last.{tied}").alias(tied)
+    )
+
+
 def upsert(
     bronze: DataFrame,
     changes: DataFrame,

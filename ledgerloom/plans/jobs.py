@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,7 @@ from ledgerloom.sinks.warehouse import Warehouse
 from ledgerloom.sources import SOURCES, conform
 from ledgerloom.sources.jdbc import JdbcEndpoint
 from ledgerloom.streaming.changes import run_upserts
-from ledgerloom.streaming.files import table_stream
+from ledgerloom.streaming.files import DELIVERY, FILES_PER_BATCH, table_stream
 from ledgerloom.streaming.payments import PaymentsFeed
 
 CATALOG = "ledgerloom_target"
@@ -50,15 +50,18 @@ def build(
     keys: KeyScheme = KeyScheme.XXHASH64,
     verify: bool = True,
 ) -> dict[str, int]:
-    """Replace all warehouse tables, then check them as they were written.
+    """Write all warehouse tables, check them as they were written, then publish them.
+
+    If a check fails, readers keep the tables they had.
 
     The checks recount the facts from the sources, which costs about as much as the facts.
     """
     tables = warehouse.build_all(sources, warehouse.load_time(moment), keys)
-    counts = store.replace(run_id, tables)
+    written = store.stage(run_id, tables)
     if verify:
-        warehouse.verify(sources, store.read_all(*warehouse.TABLES))
-    return counts
+        stored = {name: store.spark.read.parquet(path) for name, path, _ in written}
+        warehouse.verify(sources, stored)
+    return store.publish(run_id, written)
 
 
 def copy_to_database(
@@ -93,11 +96,21 @@ def feed_payments(store: Warehouse, path: str, moment: datetime) -> PaymentsFeed
     return feed
 
 
-def feed_changes(store: Warehouse, table: str, path: str) -> None:
-    """Upsert the new files of a parquet table of changed rows into its bronze table."""
+def feed_changes(
+    store: Warehouse,
+    table: str,
+    path: str,
+    order_by: Sequence[str] = (),
+    files_per_batch: int = FILES_PER_BATCH,
+) -> None:
+    """Upsert the new files of a parquet table of changed rows into its bronze table.
+
+    Changes go by ``order_by``, columns of the table, then by delivery.
+    """
     source = SOURCES[table]
-    changes = conform(table_stream(store.spark, path), source)
-    run_upserts(changes, store, table, source.primary_key, f"{store.root}/feeds/{table}")
+    delivered = table_stream(store.spark, path, files_per_batch, with_delivery=True)
+    changes = conform(delivered, source, DELIVERY)
+    run_upserts(changes, store, table, source.primary_key, f"{store.root}/feeds/{table}", order_by)
 
 
 def new_run_id(moment: datetime) -> str:

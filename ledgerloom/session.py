@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,7 +43,6 @@ def recommended_options(input_bytes: int, cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
         "spark.sql.session.timeZone": "UTC",
-        "spark.ui.enabled": "false",
     }
 
 
@@ -69,17 +67,12 @@ def fit_shuffles(spark: SparkSession, input_bytes: int) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Where it is unset, the folder lies below ``spark.sql.warehouse.dir``, which every session has.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-"))
-    return context.getCheckpointDir()
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

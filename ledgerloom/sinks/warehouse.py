@@ -33,6 +33,10 @@ class Warehouse:
 
     def replace(self, run_id: str, tables: dict[str, DataFrame]) -> dict[str, int]:
         """Write the tables side by side, publish them together, give their row counts."""
+        return self.publish(run_id, self.stage(run_id, tables))
+
+    def stage(self, run_id: str, tables: dict[str, DataFrame]) -> list[tuple[str, str, int]]:
+        """Write the tables side by side: name, path and row count of each, not published yet."""
         folder = f"{self.root}/data/{run_id}-{uuid.uuid4().hex}"
 
         def write(item: tuple[str, DataFrame]) -> tuple[str, str, int]:
@@ -44,7 +48,10 @@ class Warehouse:
             return name, path, written.get.get("rows", 0)
 
         with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
-            written = list(pool.map(write, tables.items()))
+            return list(pool.map(write, tables.items()))
+
+    def publish(self, run_id: str, written: list[tuple[str, str, int]]) -> dict[str, int]:
+        """Switch readers to staged tables, all at once; give their row counts."""
         now = datetime.now(timezone.utc)
         rows = [(run_id, now, name, path, count) for name, path, count in written]
         self.spark.createDataFrame(rows, PUBLISHED).coalesce(1).write.mode("append").parquet(

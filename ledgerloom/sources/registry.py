@@ -137,8 +137,9 @@ SOURCES: dict[str, SourceTable] = {
 }
 
 
-def conform(df: DataFrame, table: SourceTable) -> DataFrame:
-    """Pick the declared columns, under their names here and in their declared types."""
+def conform(df: DataFrame, table: SourceTable, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Pick the declared columns, under their names here and in their declared types, and the
+    ``extra`` ones as they are."""
     present = {c.lower(): c for c in df.columns}
     picked, missing = [], []
     for column in table.columns:
@@ -149,7 +150,7 @@ def conform(df: DataFrame, table: SourceTable) -> DataFrame:
             picked.append(F.col(f"`{found}`").cast(column.type).alias(column.name))
     if missing:
         raise ValueError(f"source {table.name} lacks columns {', '.join(missing)}")
-    return df.select(*picked)
+    return df.select(*picked, *extra)
 
 
 def require_columns(df: DataFrame, table: SourceTable) -> DataFrame:

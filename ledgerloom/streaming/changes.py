@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.sync import latest_per_key, upsert
 from ledgerloom.sinks.warehouse import Warehouse
+from ledgerloom.streaming.files import DELIVERY
 from ledgerloom.streaming.landing import Landing
 
+TIED = "changes_tied"
+
 
 def run_upserts(
     changes: DataFrame,
@@ -23,16 +26,26 @@ def run_upserts(
 ) -> None:
     """Upsert all changes that are there now into a loaded bronze table.
 
-    Of several changes to a key the last by ``order_by`` counts, then the last delivered; a
-    change older than what the table holds does not count at all. The table is written anew
-    once, not once per micro-batch.
+    Of several changes to a key the last by ``order_by`` counts, then the last delivered: by the
+    time and path of its file where the stream has these columns, else by its micro-batch. So
+    the result does not depend on how files fall into micro-batches. Rows of one file that tie
+    with different values raise, and nothing is published. A change older than what the table
+    holds does not count at all. The table is written anew once, not once per micro-batch.
     """
     landing = Landing(store, table, folder, keys)
-    landing.land(changes, order_by)
+    delivery = [c for c in DELIVERY if c in changes.columns]
+    rank = (*order_by, *delivery)
+    landing.land(changes, rank, TIED if delivery else None)
     landed, last = landing.new_rows()
     if last is None:
         return
-    latest = latest_per_key(landed, keys, (*order_by, "batch_id")).drop("batch_id")
-    latest = landing.settle(latest, last)
+    latest = latest_per_key(landed, keys, rank if delivery else (*rank, "batch_id"))
+    latest = landing.settle(latest.drop("batch_id"), last)
+    if delivery:
+        tied = latest.where(TIED).select(*keys).head(5)
+        if tied:
+            found = ", ".join(str(tuple(row)) for row in tied)
+            raise ValueError(f"changes of {table} with one key and order differ, such as {found}")
+        latest = latest.drop(TIED, *delivery)
     now = F.lit(datetime.now(timezone.utc)).cast("timestamp")
     landing.publish(upsert(store.read(table), latest, keys, now, order_by), last)

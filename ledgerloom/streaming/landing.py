@@ -7,8 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ledgerloom.operators.sync import latest_per_key
+from ledgerloom.operators.sync import latest_or_tied, latest_per_key
 from ledgerloom.sinks.warehouse import Warehouse
 
 
@@ -29,16 +30,27 @@ class Landing:
         self.keys = tuple(keys)
         self.run_prefix = f"feed-{hashlib.sha256(self.folder.encode()).hexdigest()[:16]}-through-"
 
-    def land(self, stream: DataFrame, order_by: Sequence[str] = ()) -> None:
-        """Land everything that is there now, then stop."""
+    def land(
+        self, stream: DataFrame, order_by: Sequence[str] = (), tied: str | None = None
+    ) -> None:
+        """Land everything that is there now, then stop.
+
+        With ``tied``, landed rows say in a column of this name whether other rows of the same
+        key and rank had different values.
+        """
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            latest_per_key(batch, self.keys, order_by).write.mode("overwrite").parquet(
+            if tied is None:
+                rows = latest_per_key(batch, self.keys, order_by)
+            else:
+                rows = latest_or_tied(batch, self.keys, order_by, tied)
+            rows.write.mode("overwrite").parquet(
                 f"{self.folder}/landed/batch_id={batch_id}"
             )
 
         # Gives the folder a schema before the first batch; no batch has this number.
-        self.store.spark.createDataFrame([], stream.schema).write.mode("ignore").parquet(
+        schema = stream.schema if tied is None else StructType(stream.schema.fields).add(tied, "boolean")
+        self.store.spark.createDataFrame([], schema).write.mode("ignore").parquet(
             f"{self.folder}/landed/batch_id=-1"
         )
         query = (

@@ -1,3 +1,4 @@
+import time
 from datetime import date, datetime, timezone
 from decimal import Decimal as D
 
@@ -11,7 +12,7 @@ from ledgerloom.plans.warehouse import load_time
 from ledgerloom.session import new_folder
 from ledgerloom.sinks.warehouse import Warehouse
 from ledgerloom.streaming.changes import run_upserts
-from ledgerloom.streaming.files import table_stream
+from ledgerloom.streaming.files import as_glob, table_stream
 from ledgerloom.streaming.payments import PaymentsFeed
 
 PAYMENTS = "customer_number int, check_number string, payment_date date, amount decimal(10,2)"
@@ -186,3 +187,45 @@ def test_changed_rows_are_upserted_in_order(spark):
     assert run() == {1: "x", 2: "z", 3: None}
     assert run() == {1: "x", 2: "z", 3: None}
     assert store.versions().count() == 3
+
+
+CHANGES = "id bigint, v bigint"
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_the_last_delivery_counts_not_the_largest_row(spark, files_per_batch):
+    source = Source(spark, CHANGES)
+    folder = new_folder(spark, "bronze")
+    store = Warehouse(spark, folder)
+    start = spark.createDataFrame([(1, 10), (2, 20)], CHANGES)
+    sync.sync_tables(store, {"t": start}, {"t": ("id",)}, loaded(), "start")
+    source.add((1, 90))
+    time.sleep(1.1)  # file times have whole seconds on some systems
+    source.add((1, 50), (2, 5))
+    path = f"{source.path}/"  # a slash at the end does no harm
+    changes = table_stream(spark, path, files_per_batch, with_delivery=True)
+    run_upserts(changes, store, "t", ("id",), f"{folder}/feed")
+    got = store.read("t")
+    assert {r.id: r.v for r in got.collect()} == {1: 50, 2: 5}
+    assert not {"delivered_at", "changes_tied"} & set(got.columns)
+
+
+def test_changes_that_tie_with_other_values_raise(spark):
+    source = Source(spark, CHANGES)
+    folder = new_folder(spark, "bronze")
+    store = Warehouse(spark, folder)
+    start = spark.createDataFrame([(1, 10)], CHANGES)
+    sync.sync_tables(store, {"t": start}, {"t": ("id",)}, loaded(), "start")
+    rows = spark.createDataFrame([(1, 7), (1, 8), (1, 8)], CHANGES)
+    rows.coalesce(1).write.mode("append").parquet(source.path)
+    changes = table_stream(spark, source.path, with_delivery=True)
+    with pytest.raises(ValueError, match="one key and order differ"):
+        run_upserts(changes, store, "t", ("id",), f"{folder}/feed")
+    assert [r.v for r in store.read("t").collect()] == [10]
+
+
+def test_paths_with_glob_signs(spark):
+    path = f"{new_folder(spark, 'odd')}/a[1]{{x}}-*"
+    assert as_glob("/data/new/") == "/data/ne[w]"
+    escaped = as_glob(path)
+    assert escaped.count("\\") == 5 and escaped.endswith("[x]\\}-\\*")

@@ -197,3 +197,26 @@ def test_stored_bytes_counts_files_and_folders(spark, tmp_path):
     (tmp_path / "a" / "b" / "x.parquet").write_bytes(b"12345")
     (tmp_path / "y.parquet").write_bytes(b"123")
     assert stored_bytes(spark, f"{tmp_path}/a", f"{tmp_path}/y.parquet") == 8
+
+
+def test_a_failed_check_leaves_the_old_tables(spark, store):
+    sources = sellable(spark)
+    jobs.build(store, sources, "one", MOMENT)
+    before = {r["table_name"]: r["path"] for r in store.tables().collect()}
+    doubled = {**sources, "customers": sources["customers"].union(sources["customers"])}
+    with pytest.raises(RuntimeError):
+        jobs.build(store, doubled, "two", MOMENT)
+    assert {r["table_name"]: r["path"] for r in store.tables().collect()} == before
+
+
+def test_report_is_whole(spark, store, tmp_path, capsys, monkeypatch):
+    from ledgerloom import __main__ as command
+
+    jobs.build(store, sellable(spark), "one", MOMENT)
+    out = str(tmp_path / "revenue")
+    arguments = ["ledgerloom", "--warehouse", store.root, "report", "--rows", "1", "--output", out]
+    monkeypatch.setattr("sys.argv", arguments)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    command.main()
+    assert "1 of 4 rows" in capsys.readouterr().out
+    assert spark.read.parquet(out).count() == 4
