@@ -358,5 +358,67 @@ def hashed_counts(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.
     return counts.reshape(-1)
 
 
+def hashed_ranges(
+    df: DataFrame, marked: Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]], bits: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest mark of the hashes over all rows, by their upper ``bits`` bits.
+
+    ``marked`` gives hashes and a mark (a signed long) for each. Works like ``hashed_counts``: two
+    arrays of ``2**bits`` reach the driver, whatever the input. A slot without hashes has a least
+    above its greatest mark.
+    """
+    size, blocks = 1 << bits, min(COUNT_BLOCKS, 1 << bits)
+    shift = np.uint64(64 - bits)
+    bounds = np.iinfo(np.int64)
+
+    def empty(n: int) -> tuple[np.ndarray, np.ndarray]:
+        return np.full(n, bounds.max), np.full(n, bounds.min)
+
+    def packed(found: dict[int, tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        sides = [pa.array([v[k].tobytes() for v in found.values()], pa.binary()) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.int32()), *sides], ["block", "low", "high"]
+        )
+
+    def span(batches):
+        low, high = empty(size)
+        for batch in batches:
+            for found, marks in marked(batch):
+                at = (found >> shift).astype(np.int64)
+                np.minimum.at(low, at, marks)
+                np.maximum.at(high, at, marks)
+        lows, highs = low.reshape(blocks, -1), high.reshape(blocks, -1)
+        own = np.flatnonzero((lows <= highs).any(axis=1))
+        if len(own):
+            yield packed({int(i): (lows[i], highs[i]) for i in own})
+
+    def join(batches):
+        spans: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for block, *sides in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                low, high = (np.frombuffer(s.as_buffer(), np.int64) for s in sides)
+                held = spans.setdefault(block, empty(size // blocks))
+                np.minimum(held[0], low, out=held[0])
+                np.maximum(held[1], high, out=held[1])
+        if spans:
+            yield packed(spans)
+
+    schema = "block int, low binary, high binary"
+    spark = df.sparkSession
+    ship(spark)
+    with shuffles_removed(spark):
+        rows = (
+            df.mapInArrow(span, schema)
+            .repartition(min(64, blocks), "block")
+            .mapInArrow(join, schema)
+            .collect()
+        )
+    low, high = empty(size)
+    for block, *sides in rows:
+        own = slice(block * (size // blocks), (block + 1) * (size // blocks))
+        low[own], high[own] = (np.frombuffer(s, np.int64) for s in sides)
+    return low, high
+
+
 def empty_as_null(column: str) -> Column:
     return F.when(F.length(column) > 0, F.col(column))

@@ -11,9 +11,10 @@
 4. Within buckets, the text that shares most buckets with others (a hub) is compared with all
    texts not yet in its class, then four more hubs are. Buckets that are one class by then are
    settled. Of the others, small ones compare their remaining pairs. The texts of large ones are
-   put in new buckets by their rarest shingles, of which similar texts must share one, and there
-   compared with those of another class. So no link that could change a class is left out, while
-   a group of copies costs about one comparison per copy.
+   put in new buckets by the rarest of those shingles that several classes have, of which similar
+   texts of two classes must share one, and there compared with those of another class. So no link
+   that could change a class is left out, while a group of copies costs about one comparison per
+   copy.
 5. A pair counts if the weighted Jaccard similarity of the whole texts reaches the threshold.
    Classes are the connected components of these links.
 """
@@ -33,6 +34,7 @@ from ledgerloom.llm.common import (
     Words,
     fresh_name,
     hashed_counts,
+    hashed_ranges,
     lists,
     longs,
     map_arrow,
@@ -50,7 +52,7 @@ POOL_BITS = 15
 HUB_GROWTH = 4
 # All pairs of a bucket with no more members than this are compared.
 SMALL_BUCKET = 32
-# Counters that tell which shingles a single compared text has, as a power of two.
+# Slots that tell which shingles only one class of compared texts has, as a power of two.
 PRIVATE_BITS = 22
 # Width of a weight class, as a natural logarithm.
 CLASS_STEP = 0.03
@@ -246,15 +248,28 @@ def _verify(levels, settings: Settings):
 # --- classes -------------------------------------------------------------------------------
 
 
+def _rooted_hashes(settings: Settings):
+    """Shingles of each text with the hash of its root, from rows of root hash and text."""
+
+    def run(batch: pa.RecordBatch):
+        roots = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
+        for at, to, words in word_blocks(batch.column(1)):
+            rows, shingles = _shingles(words, settings.words)
+            yield shingles, roots[at:to][rows]
+
+    return run
+
+
 def _prefixes(levels, private, settings: Settings):
     """The rarest shingles of a text, by which it can meet a similar one.
 
-    Shingles are ordered alike in all texts, rare ones first. Two similar texts share a weight of
+    Shingles are ordered alike in all texts, rare ones first, without those that ``private`` marks:
+    no other class of compared texts has them. Two similar texts share a weight of
     at least ``a = threshold / (1 + threshold)`` of both together. For the lighter one, of weight
     s, that is ``2 a s``; for the heavier one, of weight w, it is ``a (w + s)``. So the shingles up
     to which less than that is left must include a common one, and the bucket is that shingle
-    with the weight class of the lighter text: a text gives the rows of both parts. ``private`` marks
-    shingles that no other compared text has; ``shared`` is the weight of all others.
+    with the weight class of the lighter text: a text gives the rows of both parts. ``shared`` is
+    the weight of all shingles that are left.
     """
     private_shift = np.uint64(64 - PRIVATE_BITS)
     share = settings.threshold / (1 + settings.threshold) * (1 - 1e-6)
@@ -272,18 +287,19 @@ def _prefixes(levels, private, settings: Settings):
                 stop = int(sizes[: i + 1].sum())
                 own = slice(stop - sizes[i], stop)
                 order = np.lexsort((shingles[own], -rare[own]))
+                order = order[~alone[own][order]]
+                ranked = shingles[own][order]
                 left = weights[own][order][::-1].cumsum()[::-1]
-                total, ranked = left[0], shingles[own][order]
-                met = ~alone[own][order]  # shingles by which nothing can be met are left out
-                shared = total - weights[own][alone[own]].sum()
+                total = weights[own].sum()
+                shared = left[0] if len(left) else 0.0
                 least = settings.threshold * total * (1 - 1e-6)
                 top = math.floor(math.log(total) / CLASS_STEP)
                 keep = np.count_nonzero(left >= 2 * share * total)
-                found.append((i + at, 0, top, total, shared, ranked[:keep][met[:keep]]))
+                found.append((i + at, 0, top, total, shared, ranked[:keep]))
                 for c in range(math.floor(math.log(least) / CLASS_STEP), top + 1):
                     low = max(math.exp(c * CLASS_STEP), least)
                     keep = np.count_nonzero(left >= share * (total + low))
-                    found.append((i + at, 1, c, total, shared, ranked[:keep][met[:keep]]))
+                    found.append((i + at, 1, c, total, shared, ranked[:keep]))
             if found:
                 n = [len(f[5]) for f in found]
                 columns = [np.repeat([f[k] for f in found], n) for k in range(5)]
@@ -392,10 +408,11 @@ class _Linker:
         small, large = left.where(F.col("size") <= SMALL_BUCKET), left.where(F.col("size") > SMALL_BUCKET)
         pairs = self.all_pairs(small)
         if large.head(1):
-            compared = self.texts.join(large.select("text_id").distinct(), "text_id", "left_semi")
+            compared = self.texts.join(large.select("text_id", "root").distinct(), "text_id")
             compared = stage(compared, "near-large")
-            counts = hashed_counts(compared.select("text"), _document_hashes(self.settings), PRIVATE_BITS)
-            private = compared.sparkSession.sparkContext.broadcast(counts == 1)
+            rooted = compared.select(F.xxhash64("root").alias("root_hash"), "text")
+            low, high = hashed_ranges(rooted, _rooted_hashes(self.settings), PRIVATE_BITS)
+            private = compared.sparkSession.sparkContext.broadcast(low == high)
             rare = map_arrow(
                 compared.select("text_id", "text").repartition("text_id"),
                 _prefixes(self.levels, private, self.settings),
