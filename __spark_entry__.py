@@ -189,6 +189,11 @@ def list_warehouse_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir).tables().select("table_name", "row_count")
 
 
+def stored_fact_order_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales fact as the warehouse holds it, with the wide keys of a default build."""
+    return _stored(spark, sf_dir).read("fact_order_sales").drop("etl_loaded_at")
+
+
 def sink_overwrite_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Warehouse(spark, new_folder(spark, "sink"))
     table = _table("dim_customer")(spark, sf_dir)
@@ -445,6 +450,7 @@ _QUERIES: dict[str, Query] = {
     "report_top_customers": report_top_customers,
     "build_warehouse": build_warehouse,
     "list_warehouse_tables": list_warehouse_tables,
+    "stored_fact_order_sales": stored_fact_order_sales,
     "sink_overwrite_idempotent": sink_overwrite_idempotent,
     "audit_target_counts": audit_target_counts,
     "audit_pk_unique": audit_pk_unique,

@@ -101,33 +101,50 @@ FOREIGN_KEYS = (
 def fact_dim_integrity(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and keys of each foreign key that its dimension lacks; NULL keys count apart.
 
-    The fact shrinks to one row per key before it meets the dimension.
+    Every table is read once. The foreign keys of a fact row are stacked and shrink to one row
+    per column and key before the shuffle; a single join then meets the keys of all dimensions.
     """
-
-    def check(fact: str, column: str, dimension: str, key: str) -> DataFrame:
-        used = tables[fact].groupBy(column).agg(F.count(F.lit(1)).alias("fact_rows"))
-        known = tables[dimension].select(F.col(key).alias(column)).distinct()
-        found = used.join(known.withColumn("known", F.lit(True)), column, "left")
-        no_key = F.col(column).isNull()
-        stray = ~no_key & F.col("known").isNull()
-
-        def rows_if(condition: Column) -> Column:
-            return F.coalesce(F.sum(F.when(condition, F.col("fact_rows"))), F.lit(0))
-
-        return found.agg(
-            rows_if(no_key).alias("null_rows"),
-            rows_if(stray).alias("stray_rows"),
-            _count_if(stray).alias("stray_keys"),
-        ).select(
-            F.lit(fact).alias("fact_table"),
-            F.lit(column).alias("fact_column"),
-            F.lit(dimension).alias("dimension_table"),
-            "null_rows",
-            "stray_rows",
-            "stray_keys",
+    columns = ("fact_table", "fact_column", "dimension_table")
+
+    def used(fact: str) -> DataFrame:
+        keys = F.array(
+            *[
+                F.struct(
+                    F.lit(column).alias("fact_column"),
+                    F.lit(dimension).alias("dimension_table"),
+                    F.col(column).cast("bigint").alias("key"),
+                )
+                for name, column, dimension, _ in FOREIGN_KEYS
+                if name == fact
+            ]
         )
-
-    return _union(check(*foreign_key) for foreign_key in FOREIGN_KEYS)
+        stacked = tables[fact].select(F.lit(fact).alias("fact_table"), F.inline(keys))
+        return stacked.groupBy(*columns, "key").agg(F.count(F.lit(1)).alias("fact_rows"))
+
+    facts = dict.fromkeys(fact for fact, *_ in FOREIGN_KEYS)
+    dimensions = dict.fromkeys((dimension, key) for *_, dimension, key in FOREIGN_KEYS)
+    known = _union(
+        tables[d].select(F.lit(d).alias("dimension_table"), F.col(k).cast("bigint").alias("key"))
+        for d, k in dimensions
+    ).distinct()
+    found = _union(used(fact) for fact in facts).join(
+        known.withColumn("known", F.lit(True)), ["dimension_table", "key"], "left"
+    )
+    no_key = F.col("key").isNull()
+    stray = ~no_key & F.col("known").isNull()
+    counted = found.groupBy(*columns).agg(
+        F.sum(F.when(no_key, F.col("fact_rows"))).alias("null_rows"),
+        F.sum(F.when(stray, F.col("fact_rows"))).alias("stray_rows"),
+        _count_if(stray).alias("stray_keys"),
+    )
+    # an empty fact has a row for each of its foreign keys, too
+    checks = counted.sparkSession.createDataFrame(
+        [(f, c, d) for f, c, d, _ in FOREIGN_KEYS], ", ".join(f"{c} string" for c in columns)
+    )
+    counts = ("null_rows", "stray_rows", "stray_keys")
+    return checks.join(counted, list(columns), "left").select(
+        *columns, *[F.coalesce(c, F.lit(0)).alias(c) for c in counts]
+    )
 
 
 def expected_counts(sources: Mapping[str, DataFrame]) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.audit import require_unique
@@ -31,6 +31,21 @@ def _values(df: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
     )
 
 
+def _once_per_key(snapshot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """The snapshot by key, and what an action over it sees of repeated and NULL keys.
+
+    A merge shuffles by key anyway, so the check costs no pass of its own.
+    """
+    rest = [F.col(c) for c in snapshot.columns if c not in keys]
+    held = F.max(F.struct(F.lit(True).alias("present"), *rest)).alias("held")
+    by_key = snapshot.groupBy(*keys).agg(held, F.count(F.lit(1)).alias("copies"))
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    seen = Observation()
+    by_key = by_key.observe(seen, F.count(F.when((F.col("copies") > 1) | no_key, 1)).alias("bad"))
+    columns = [F.col(c) if c in keys else F.col(f"held.{c}").alias(c) for c in snapshot.columns]
+    return by_key.select(*columns), seen
+
+
 def initial_load(snapshot: DataFrame, synced_at: Column) -> DataFrame:
     return snapshot.withColumns({"is_deleted": F.lit(False), "synced_at": synced_at})
 
@@ -158,15 +173,22 @@ def sync_tables(
     """Bring bronze tables in step with full snapshots and publish them together.
 
     A table that is not there yet is loaded, any other is merged. Running the same ``run_id``
-    again starts from the versions before it.
+    again starts from the versions before it. Repeated or NULL keys in a snapshot raise, and so
+    does another run that published one of the tables meanwhile; nothing is published then.
     """
-    versions = {}
+    held = warehouse.paths(list(snapshots), other_than_run=run_id)
+    versions, checks = {}, {}
     for name, snapshot in snapshots.items():
-        require_unique(snapshot, tuple(keys[name]), f"snapshot of {name}")
-        try:
-            bronze = warehouse.read(name, other_than_run=run_id)
-        except LookupError:
-            versions[name] = initial_load(snapshot, synced_at)
+        rows, checks[name] = _once_per_key(snapshot, keys[name])
+        if held[name] is None:
+            versions[name] = initial_load(rows, synced_at)
         else:
-            versions[name] = merge_snapshot(bronze, snapshot, keys[name], synced_at)
-    return warehouse.replace(run_id, versions)
+            bronze = warehouse.spark.read.parquet(held[name])
+            versions[name] = merge_snapshot(bronze, rows, keys[name], synced_at)
+    written = warehouse.stage(run_id, versions)
+    for name, seen in checks.items():
+        bad = seen.get.get("bad", 0)
+        if bad:
+            what = f"{bad} values of {', '.join(keys[name])} are repeated or NULL"
+            raise ValueError(f"snapshot of {name}: {what}")
+    return warehouse.publish(run_id, written, held)

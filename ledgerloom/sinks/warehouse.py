@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
@@ -50,8 +51,22 @@ class Warehouse:
         with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
             return list(pool.map(write, tables.items()))
 
-    def publish(self, run_id: str, written: list[tuple[str, str, int]]) -> dict[str, int]:
-        """Switch readers to staged tables, all at once; give their row counts."""
+    def publish(
+        self,
+        run_id: str,
+        written: list[tuple[str, str, int]],
+        made_from: Mapping[str, str | None] | None = None,
+    ) -> dict[str, int]:
+        """Switch readers to staged tables, all at once; give their row counts.
+
+        ``made_from`` holds the versions that the tables were derived from, as ``paths`` gave them.
+        If another run has published newer ones meanwhile, this raises: their changes would be lost.
+        """
+        if made_from:
+            now_current = self.paths(list(made_from), other_than_run=run_id)
+            passed = sorted(n for n in made_from if now_current[n] != made_from[n])
+            if passed:
+                raise RuntimeError(f"another run published {', '.join(passed)} during {run_id}")
         now = datetime.now(timezone.utc)
         rows = [(run_id, now, name, path, count) for name, path, count in written]
         self.spark.createDataFrame(rows, PUBLISHED).coalesce(1).write.mode("append").parquet(
@@ -76,12 +91,19 @@ class Warehouse:
             .select("table_name", "latest.*")
         )
 
-    def _path(self, name: str, other_than_run: str | None) -> str | None:
-        versions = self.versions().where(F.col("table_name") == name)
+    def paths(
+        self, names: Sequence[str], other_than_run: str | None = None
+    ) -> dict[str, str | None]:
+        """Where the current versions lie, or the newest that the given run did not write."""
+        versions = self.versions().where(F.col("table_name").isin(*names))
         if other_than_run is not None:
             versions = versions.where(F.col("run_id") != other_than_run)
-        row = versions.orderBy(F.desc("published_at"), F.desc("run_id")).select("path").first()
-        return row and row["path"]
+        newest = F.max_by("path", F.struct("published_at", "run_id")).alias("path")
+        found = versions.groupBy("table_name").agg(newest).collect()
+        return dict.fromkeys(names) | {r["table_name"]: r["path"] for r in found}
+
+    def _path(self, name: str, other_than_run: str | None) -> str | None:
+        return self.paths([name], other_than_run)[name]
 
     def exists(self, name: str) -> bool:
         return self._path(name, None) is not None

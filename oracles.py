@@ -480,6 +480,7 @@ def build() -> dict[str, str]:
         ),
         "build_warehouse": sql(TABLE_COUNTS.format(n="row_count"), *COUNTED),
         "list_warehouse_tables": sql(TABLE_COUNTS.format(n="row_count"), *COUNTED),
+        "stored_fact_order_sales": sql(FACT_SALES, "sales", keys=xxhash64(SALES_IDS)),
         "sink_overwrite_idempotent": sql(
             DIM_CUSTOMER, "customers", keys=murmur32(CUSTOMER_IDS)
         ),

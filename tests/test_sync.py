@@ -173,3 +173,40 @@ def test_sync_tables_loads_then_merges_and_can_be_run_again(spark):
     second = bookkeeping(run(NEW, day(2), "second"))
     assert bookkeeping(run(NEW, day(2), "second")) == second
     assert second[(1, "a")] == (False, 1) and second[(3, "a")] == (True, 2)
+
+
+def test_sync_refuses_repeated_and_missing_keys(spark):
+    store = Warehouse(spark, new_folder(spark, "refused"))
+    sync.sync_tables(store, {"t": frame(spark, OLD)}, {"t": KEYS}, day(1), "one")
+    before = store.paths(["t"])
+    for bad in ([*NEW, NEW[0]], [*NEW, (None, "a", "x", 1)]):
+        with pytest.raises(ValueError, match="snapshot of t: 1 values"):
+            sync.sync_tables(store, {"t": frame(spark, bad)}, {"t": KEYS}, day(2), "two")
+        with pytest.raises(ValueError, match="snapshot of new: 1 values"):
+            sync.sync_tables(store, {"new": frame(spark, bad)}, {"new": KEYS}, day(2), "two")
+    assert store.paths(["t", "new"]) == {**before, "new": None}
+
+
+def test_sync_notices_an_overlapping_run(spark, monkeypatch):
+    store = Warehouse(spark, new_folder(spark, "overlap"))
+    sync.sync_tables(store, {"t": frame(spark, OLD)}, {"t": KEYS}, day(1), "one")
+    stage = store.stage
+
+    def stage_slowly(run_id, tables):
+        written = stage(run_id, tables)
+        other = Warehouse(spark, store.root)
+        sync.sync_tables(other, {"t": frame(spark, NEW)}, {"t": KEYS}, day(2), "other")
+        return written
+
+    monkeypatch.setattr(store, "stage", stage_slowly)
+    with pytest.raises(RuntimeError, match="another run published t during two"):
+        sync.sync_tables(store, {"t": frame(spark, OLD)}, {"t": KEYS}, day(2), "two")
+    assert values(sync.live(store.read("t"))) == plain(NEW)
+
+
+def test_a_merge_shuffles_its_snapshot_once(spark):
+    bronze = sync.initial_load(frame(spark, OLD), day(1))
+    rows, _ = sync._once_per_key(frame(spark, NEW), KEYS)
+    merged = sync.merge_snapshot(bronze, rows, KEYS, day(2))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2
