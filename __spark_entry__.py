@@ -34,7 +34,7 @@ from ledgerloom.sources import SOURCES, retail  # noqa: E402
 from ledgerloom.sources.files import register_views  # noqa: E402
 from ledgerloom.streaming.changes import run_upserts  # noqa: E402
 from ledgerloom.streaming.files import table_stream  # noqa: E402
-from ledgerloom.streaming.payments import PaymentsFeed  # noqa: E402
+from ledgerloom.streaming.payments import PaymentsFeed, current_payments  # noqa: E402
 
 try:  # the subpackage is optional: without it, its queries are left out
     import corpus_pipeline
@@ -382,6 +382,26 @@ def stream_fact_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.read().drop("etl_loaded_at")
 
 
+def stream_then_build_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All payments fed, then built in full: together they hold each payment once."""
+    folder = new_folder(spark, "payments")
+    store = Warehouse(spark, folder)
+    feed = PaymentsFeed(
+        store,
+        f"{folder}/feed",
+        lambda: retail.customers(spark, sf_dir),
+        warehouse.load_time(FIRST),
+        KeyScheme.MURMUR32,
+    )
+    feed.run(retail.payments_from(table_stream(spark, f"{sf_dir}/events.parquet")))
+    sources = retail.load_sources(spark, sf_dir, warehouse.inputs_of("fact_payments"))
+    built = warehouse.build_table(
+        "fact_payments", sources, warehouse.load_time(SECOND), KeyScheme.MURMUR32
+    )
+    store.replace("build", {"fact_payments": built})
+    return current_payments(store).drop("etl_loaded_at")
+
+
 def stream_customer_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All customers loaded, then two segments fed again as changed rows."""
     folder = new_folder(spark, "upserts")
@@ -463,6 +483,7 @@ _QUERIES: dict[str, Query] = {
     "sync_soft_delete": sync_soft_delete,
     "sync_then_rebuild_fact": sync_then_rebuild_fact,
     "stream_fact_payments": stream_fact_payments,
+    "stream_then_build_payments": stream_then_build_payments,
     "stream_customer_upsert": stream_customer_upsert,
 }
 

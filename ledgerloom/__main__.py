@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 
 from ledgerloom.functions import KeyScheme
 from ledgerloom.plans import jobs
+from ledgerloom.session import fit_shuffles, stored_bytes
+from ledgerloom.sinks.jdbc import CONNECTIONS
 from ledgerloom.sinks.warehouse import Warehouse
 from ledgerloom.sources import SOURCES, files, jdbc
 
@@ -22,6 +24,9 @@ def _arguments() -> argparse.Namespace:
     build.add_argument("--source-folder", help="parquet sources; default is the MySQL database")
     build.add_argument("--read-partitions", type=int, default=16)
     build.add_argument("--database-schema", help="also replace the tables of this schema")
+    build.add_argument(
+        "--database-writers", type=int, default=CONNECTIONS, help="connections per table of it"
+    )
     build.add_argument(
         "--keys", choices=[k.name.lower() for k in KeyScheme], default=KeyScheme.XXHASH64.name.lower()
     )
@@ -46,6 +51,7 @@ def main() -> None:
         moment = datetime.now(timezone.utc)
         run_id = jobs.new_run_id(moment)
         if arguments.source_folder:
+            fit_shuffles(spark, stored_bytes(spark, arguments.source_folder))
             snapshots = files.load_sources(spark, arguments.source_folder)
         else:
             snapshots = jdbc.load_sources(
@@ -62,16 +68,24 @@ def main() -> None:
         )
         if arguments.database_schema:
             jobs.copy_to_database(
-                spark, store, jdbc.postgres_endpoint(), arguments.database_schema
+                spark,
+                store,
+                jdbc.postgres_endpoint(),
+                arguments.database_schema,
+                arguments.database_writers,
             )
         for name, rows in counts.items():
             print(f"{name}: {rows} rows")
     elif arguments.command == "feed":
+        fit_shuffles(spark, stored_bytes(spark, arguments.files))
         if arguments.table == "payments":
             jobs.feed_payments(store, arguments.files, datetime.now(timezone.utc))
         else:
             jobs.feed_changes(store, arguments.table, arguments.files, arguments.order_by)
     else:
+        current = [r["path"] for r in store.tables().select("path").collect()]
+        if current:
+            fit_shuffles(spark, stored_bytes(spark, *current))
         revenue = jobs.revenue_report(store)
         if arguments.output:
             revenue.write.parquet(arguments.output)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.functions import KeyScheme
 from ledgerloom.operators.sync import live, sync_tables
 from ledgerloom.plans import reports, warehouse
-from ledgerloom.sinks.jdbc import ensure_schema, register_catalog, replace_table
+from ledgerloom.sinks.jdbc import CONNECTIONS, ensure_schema, register_catalog, replace_table
 from ledgerloom.sinks.warehouse import Warehouse
 from ledgerloom.sources import SOURCES, conform
 from ledgerloom.sources.jdbc import JdbcEndpoint
@@ -65,13 +65,21 @@ def build(
 
 
 def copy_to_database(
-    spark: SparkSession, store: Warehouse, endpoint: JdbcEndpoint, schema: str
+    spark: SparkSession,
+    store: Warehouse,
+    endpoint: JdbcEndpoint,
+    schema: str,
+    connections: int = CONNECTIONS,
 ) -> dict[str, int]:
-    """Replace the tables of a database schema by the current warehouse tables."""
+    """Replace the tables of a database schema by the current warehouse tables, each over at most
+    ``connections`` connections."""
     register_catalog(spark, CATALOG, endpoint)
     ensure_schema(spark, CATALOG, schema)
     stored = store.read_all(*warehouse.TABLES)
-    return {name: replace_table(df, endpoint, schema, name) for name, df in stored.items()}
+    return {
+        name: replace_table(df, endpoint, schema, name, connections=connections)
+        for name, df in stored.items()
+    }
 
 
 def revenue_report(store: Warehouse) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ledgerloom.sources.jdbc import JdbcEndpoint, read_query
 
 BATCH_ROWS = 10_000
+# Parallel writers per table, unless the caller names a number.
+CONNECTIONS = 8
 
 
 def register_catalog(spark: SparkSession, name: str, endpoint: JdbcEndpoint) -> None:
@@ -32,7 +34,7 @@ def write_table(
     schema: str,
     table: str,
     mode: str = "overwrite",
-    connections: int = 8,
+    connections: int = CONNECTIONS,
 ) -> None:
     """Write by JDBC. Overwriting empties the table and keeps its definition and grants;
     ``connections`` bounds the parallel writers the database sees."""
@@ -51,7 +53,7 @@ def write_table(
 
 
 def replace_table(
-    df: DataFrame, endpoint: JdbcEndpoint, schema: str, table: str, connections: int = 8
+    df: DataFrame, endpoint: JdbcEndpoint, schema: str, table: str, connections: int = CONNECTIONS
 ) -> int:
     """Overwrite a table and check its row count at the database.
 

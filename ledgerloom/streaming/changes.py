@@ -48,4 +48,5 @@ def run_upserts(
             raise ValueError(f"changes of {table} with one key and order differ, such as {found}")
         latest = latest.drop(TIED, *delivery)
     now = F.lit(datetime.now(timezone.utc)).cast("timestamp")
-    landing.publish(upsert(store.read(table), latest, keys, now, order_by), last)
+    held = store.paths([table])
+    landing.publish(upsert(store.read(table), latest, keys, now, order_by), last, held)

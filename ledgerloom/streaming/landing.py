@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -81,5 +81,8 @@ class Landing:
         rows.write.mode("overwrite").parquet(path)
         return self.store.spark.read.parquet(path)
 
-    def publish(self, rows: DataFrame, through: int) -> None:
-        self.store.replace(f"{self.run_prefix}{through}", {self.table: rows})
+    def publish(
+        self, rows: DataFrame, through: int, made_from: Mapping[str, str | None] | None = None
+    ) -> None:
+        run_id = f"{self.run_prefix}{through}"
+        self.store.publish(run_id, self.store.stage(run_id, {self.table: rows}), made_from)

@@ -17,6 +17,23 @@ from ledgerloom.streaming.landing import Landing
 PAYMENT_KEY = ("customer_number", "check_number")
 # Grows by a part per run, so it is kept apart from the table a full build replaces.
 TABLE = "fact_payments_feed"
+BUILT = "fact_payments"
+
+
+def current_payments(store: Warehouse) -> DataFrame:
+    """Each payment once: those of the last full build, and those that only the feed has yet.
+
+    Both must have been made with the same key scheme.
+    """
+    stored = [name for name, path in store.paths([BUILT, TABLE]).items() if path]
+    if TABLE not in stored:
+        return store.read(BUILT)
+    fed = store.read_parts(TABLE).where("known").drop("known")
+    if BUILT not in stored:
+        return fed
+    built = store.read(BUILT)
+    late = fed.join(built.select(*PAYMENT_KEY), list(PAYMENT_KEY), "left_anti")
+    return built.unionByName(late)
 
 
 class PaymentsFeed:

@@ -517,5 +517,6 @@ def build() -> dict[str, str]:
             REBUILT, "orderdetails", "sales_orders", "customers", "products"
         ),
         "stream_fact_payments": sql(FACT_PAYMENTS, "paid", keys=murmur32(PAID_IDS)),
+        "stream_then_build_payments": sql(FACT_PAYMENTS, "paid", keys=murmur32(PAID_IDS)),
         "stream_customer_upsert": sql("SELECT * FROM fed", "customers", fed=CHANGE_FEED),
     }

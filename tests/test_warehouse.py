@@ -220,3 +220,53 @@ def test_report_is_whole(spark, store, tmp_path, capsys, monkeypatch):
     command.main()
     assert "1 of 4 rows" in capsys.readouterr().out
     assert spark.read.parquet(out).count() == 4
+
+
+def test_built_and_fed_payments_meet_once(spark, store):
+    from ledgerloom.operators.facts import fact_payments
+    from ledgerloom.streaming.payments import current_payments
+
+    sources = sellable(spark)
+    jobs.sync_sources(store, {"customers": sources["customers"]}, "one", MOMENT)
+    built = sources["payments"].where("check_number = 'C1'")
+    folder = new_folder(spark, "files")
+    sources["payments"].coalesce(1).write.parquet(f"{folder}/payments")
+
+    def ids():
+        return sorted(r.payment_id for r in current_payments(store).collect())
+
+    with pytest.raises(LookupError):
+        current_payments(store)
+    fact = fact_payments(built, sources["customers"], warehouse.load_time(MOMENT))
+    store.replace("build", {"fact_payments": fact})
+    assert ids() == ["1-C1"]
+    jobs.feed_payments(store, f"{folder}/payments", MOMENT)
+    assert ids() == ["1-C1", "2-C2"]
+
+
+def test_build_from_the_command_line(spark, store, tmp_path, capsys, monkeypatch):
+    from ledgerloom import __main__ as command
+
+    for name, df in sellable(spark).items():
+        df.write.parquet(f"{tmp_path}/sources/{name}")
+    start = ["ledgerloom", "--warehouse", store.root, "build"]
+    arguments = ["--source-folder", f"{tmp_path}/sources", "--keys", "murmur32"]
+    monkeypatch.setattr("sys.argv", start + arguments)
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    command.main()
+    assert "fact_order_sales: 4 rows" in capsys.readouterr().out
+    largest = store.read("dim_customer").agg(F.max("customer_key")).first()[0]
+    assert largest <= 2**31
+
+
+def test_integrity_reads_each_fact_once(spark, store):
+    jobs.build(store, sellable(spark), "one", MOMENT)
+    stored = store.read_all(*warehouse.TABLES)
+    from ledgerloom.operators import audit
+
+    checked = audit.fact_dim_integrity(stored)
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") + plan.count("Relation[") == 7
+    empty = {**stored, "fact_payments": stored["fact_payments"].limit(0)}
+    rows = {tuple(r) for r in audit.fact_dim_integrity(empty).collect()}
+    assert ("fact_payments", "customer_key", "dim_customer", 0, 0, 0) in rows and len(rows) == 10
