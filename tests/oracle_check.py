@@ -89,7 +89,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     connection = oracle_connection(sf_dir)
     failed = 0
-    for key in keys or registered.queries():
+    for key in keys or [k for k in registered.queries() if k in registered.oracle_sql()]:
         started = time.time()
         try:
             rows = len(compare(spark, connection, sf_dir, key))
