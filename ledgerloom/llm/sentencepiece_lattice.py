@@ -53,9 +53,18 @@ class Firsts(dict):
         self.pieces = pieces
 
     def __missing__(self, part: str) -> tuple[bytes, float, float]:
-        if len(part) > 2 and part[-2:] not in self.pieces.pairs:  # a cut node: no piece crosses it
-            (a, x, g), (b, y, h) = self[part[:-1]], self[part[-1]]
-            held = (a + b, x + y, g if g < h else h)
+        pairs, stop = self.pieces.pairs, len(part)
+        while stop > 2 and part[stop - 2 : stop] not in pairs:  # a cut node: no piece crosses it
+            stop -= 1
+        if stop < len(part):
+            own, score, least = self[part[:stop]]
+            ids = [own]
+            for sign in part[stop:]:
+                own, more, loss = self[sign]
+                ids.append(own)
+                score += more
+                least = least if least < loss else loss
+            held = (b"".join(ids), score, least)
         else:
             held = self.pieces.first(part)
         if len(part) <= CACHED_LENGTH:
@@ -150,7 +159,7 @@ class Pieces:
     def search(self, part: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The n best paths, best first: backward A* with the forward scores as heuristic."""
         forward, into = self.edges(part)
-        order = 0
+        order, taken = 0, [0] * (len(part) + 1)
         open_paths = [(-forward[-1], 0, len(part), 0.0, None)]
         found = []
         while open_paths and len(found) < n:
@@ -162,6 +171,9 @@ class Pieces:
                     path = path[1]
                 found.append((behind, tuple(ids)))
                 continue
+            taken[node] += 1
+            if taken[node] > n:  # n paths through this node are at least as good
+                continue
             for start, score, own in into[node]:
                 order += 1  # ties go by the order of expansion, the same in every run
                 total = behind + score
@@ -189,7 +201,7 @@ class Pieces:
                     back[at] = (start, np.array(ids, np.int32).tobytes())
                 elif total > second[at]:
                     second[at] = total
-            for sign in part[start:]:
+            for sign in part[start : start + self.longest]:
                 hit = kids.get(sign)
                 if hit is None:
                     break

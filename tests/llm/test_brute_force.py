@@ -221,6 +221,22 @@ def test_n_best_paths(pieces, text, n):
     assert all(pieces.decode(p) == text for p in paths)
 
 
+@pytest.mark.parametrize("part", ["0", "😀", "01", "a", "ab9"])
+def test_long_parts(pieces, part):
+    text = part * (100_000 // len(part))
+    ids, found = pieces.encode(text, 4)
+    assert pieces.decode(np.frombuffer(ids, np.int32).tolist()) == text
+    forward, _ = pieces.edges(f" {text}")
+    scores = [s for s, _ in found]
+    assert scores[0] == pytest.approx(forward[-1]) and scores == sorted(scores, reverse=True)
+
+
+@pytest.mark.parametrize("text", ["aaaaaaaaaaaaaaa", "ab12!!00", "the!!!?.."])
+def test_n_best_scores_of_ties_and_trailing_signs(pieces, text):
+    want = [s for s, _ in all_paths(pieces, text)[:4]]
+    assert [s for s, _ in pieces.encode(text, 4)[1]] == pytest.approx(want)
+
+
 def test_decoding_in_spark(spark):
     texts = ["", "  two  spaces ", "line\nbreak\ttab", "▁mark", "ü😀", None]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
