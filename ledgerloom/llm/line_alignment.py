@@ -6,8 +6,11 @@
    seed before them (or, at the start, after them), so that common short lines pair nothing.
 2. Documents that share seeds with a first holder form a pair with it. Both orders of lines are
    aligned by patience: lines unique in both anchor the alignment through the longest increasing
-   run of their places, and each anchor grows over equal neighbours on both sides.
-3. Aligned blocks with enough words are deleted from the later document.
+   run of their places, and each anchor grows over equal neighbours on both sides. Between anchors
+   the same goes on with the lines unique there; where none is, the longest common run anchors.
+3. Aligned blocks with enough words are deleted from the later document. An alignment has each
+   line once and in order; what it leaves out (further copies, moved lines) is deleted as well
+   where a shared line has enough words by itself.
 
 Documents are ordered by id, then by a hash of their text; the first one keeps its lines.
 """
@@ -103,43 +106,147 @@ def _longest_run(anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
-def align(shared: list[tuple[list[int], list[int], int]], min_block_words: int) -> list[int]:
-    """Lines of the later text in aligned blocks.
+def _longest_common_run(a: list, b: list) -> tuple[int, int, int]:
+    """Start in ``a``, start in ``b`` and length of the longest run of lines in both, 0 if none.
 
-    ``shared`` has for each common line its places in the earlier and the later text, and its
-    words. Lines between that the pair does not share (blank ones, or ones first held
-    elsewhere) don't end a block as long as both sides advance alike.
+    ``a`` and ``b`` hold (line, lines since the one before); of equal runs the first in ``b``, then
+    in ``a``. A suffix automaton of ``a``, in which the distance to the next line is a sign too.
     """
-    of_a: dict[int, int] = {}
-    of_b: dict[int, int] = {}
+    links, lengths, nexts, ends = [-1], [0], [{}], [-1]
+    last = 0
+    signs = [sign for line, gap in a for sign in (-gap - 1, line)][1:]
+    for at, sign in enumerate(signs):
+        own, last_own = len(links), last
+        links.append(0)
+        lengths.append(lengths[last_own] + 1)
+        nexts.append({})
+        ends.append(at)
+        while last_own >= 0 and sign not in nexts[last_own]:
+            nexts[last_own][sign] = own
+            last_own = links[last_own]
+        if last_own >= 0:
+            to = nexts[last_own][sign]
+            if lengths[last_own] + 1 == lengths[to]:
+                links[own] = to
+            else:
+                clone = len(links)
+                links.append(links[to])
+                lengths.append(lengths[last_own] + 1)
+                nexts.append(dict(nexts[to]))
+                ends.append(ends[to])
+                while last_own >= 0 and nexts[last_own].get(sign) == to:
+                    nexts[last_own][sign] = clone
+                    last_own = links[last_own]
+                links[to] = links[own] = clone
+        last = own
+    best, state, length = (0, 0, 0), 0, 0
+    for at, sign in enumerate([sign for line, gap in b for sign in (-gap - 1, line)][1:]):
+        while state and sign not in nexts[state]:
+            state = links[state]
+            length = lengths[state]
+        if sign in nexts[state]:
+            state = nexts[state][sign]
+            length += 1
+        n = (length + 1) // 2  # lines, where the run ends with one
+        if at % 2 == 0 and n > best[2]:
+            while lengths[links[state]] >= 2 * n - 1:  # the run alone, without a distance before it
+                state = links[state]
+            length = min(length, lengths[state])
+            best = (ends[state] // 2 - n + 1, at // 2 - n + 1, n)
+    return best
+
+
+def _lines_of(shared) -> tuple[list[tuple[int, int]], list[tuple[int, int]], dict[int, int]]:
+    """(place, line) of the earlier and the later text, in order, and words by place in the later.
+
+    Lines are the same number if some key says that they are equal.
+    """
+    held: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def find(x):
+        while held[x] != x:
+            held[x] = x = held[held[x]]
+        return x
+
     words: dict[int, int] = {}
-    anchors = []
-    for key, (in_a, in_b, n) in enumerate(shared):
-        for a in in_a:
-            of_a[a] = key
-        for b in in_b:
-            of_b[b] = key
-            words[b] = n
-        if len(in_a) == 1 and len(in_b) == 1:
-            anchors.append((in_a[0], in_b[0]))
-    chain = _longest_run(sorted(anchors))
+    for in_a, in_b, sizes in shared:
+        for step, n in enumerate([sizes] if isinstance(sizes, int) else sizes):
+            if not n:
+                continue
+            own = [(0, a + step) for a in in_a] + [(1, b + step) for b in in_b]
+            for x in own:
+                held.setdefault(x, x)
+                held[find(x)] = find(own[0])
+            for b in in_b:
+                words[b + step] = n
+    number: dict[tuple[int, int], int] = {}
+    sides: tuple[list, list] = ([], [])
+    for x in sorted(held):
+        sides[x[0]].append((x[1], number.setdefault(find(x), len(number))))
+    return *sides, words
+
+
+def _alike(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> dict[int, int]:
+    """Place in the later text to place in the earlier one, by recursive patience."""
     matched: dict[int, int] = {}
-    for k, (a, b) in enumerate(chain):
-        if b in matched:
+    gaps = [(0, len(a), 0, len(b))]
+    while gaps:
+        low_a, high_a, low_b, high_b = gaps.pop()
+        if low_a >= high_a or low_b >= high_b:
             continue
-        low_a, low_b = chain[k - 1] if k else (-1, -1)
-        high_a, high_b = chain[k + 1] if k + 1 < len(chain) else (None, None)
-        matched[b] = a
-        for step in (-1, 1):
-            i, j = a + step, b + step
-            while (
-                j in of_b
-                and of_a.get(i) == of_b[j]
-                and j not in matched
-                and (i > low_a and j > low_b if step < 0 else high_a is None or (i < high_a and j < high_b))
-            ):
-                matched[j] = i
-                i, j = i + step, j + step
+        at_a: dict[int, list[int]] = {}
+        at_b: dict[int, list[int]] = {}
+        for side, at, low, high in ((a, at_a, low_a, high_a), (b, at_b, low_b, high_b)):
+            for x in range(low, high):
+                at.setdefault(side[x][1], []).append(x)
+        common = [line for line in at_a if line in at_b]
+        if not common:
+            continue
+        anchors = sorted(
+            (at_a[line][0], at_b[line][0]) for line in common if len(at_a[line]) == len(at_b[line]) == 1
+        )
+        if anchors:
+            chain = _longest_run(anchors)
+        else:
+            own = []
+            for side, low, high in ((a, low_a, high_a), (b, low_b, high_b)):
+                own.append([(side[x][1], side[x][0] - side[max(x - 1, low)][0]) for x in range(low, high)])
+            x, y, n = _longest_common_run(*own)
+            chain = [(low_a + x + k, low_b + y + k) for k in range(n)]
+        found: list[tuple[int, int]] = []
+        for k, (x, y) in enumerate(chain):
+            stop_a, stop_b = chain[k + 1] if k + 1 < len(chain) else (high_a, high_b)
+            for step in (-1, 1):
+                floor_a, floor_b = found[-1] if found else (low_a - 1, low_b - 1)
+                i, j, side = x + step, y + step, []
+                while (
+                    floor_a < i < (stop_a if step > 0 else x)
+                    and floor_b < j < (stop_b if step > 0 else y)
+                    and a[i][1] == b[j][1]
+                    and a[i][0] - b[j][0] == a[x][0] - b[y][0]
+                ):
+                    side.append((i, j))
+                    i, j = i + step, j + step
+                found += side[::-1] + [(x, y)] if step < 0 else side
+        before = (low_a - 1, low_b - 1)
+        for x, y in found:
+            matched[b[y][0]] = a[x][0]
+            gaps.append((before[0] + 1, x, before[1] + 1, y))
+            before = (x, y)
+        gaps.append((before[0] + 1, high_a, before[1] + 1, high_b))
+    return matched
+
+
+def align(shared: list[tuple[list[int], list[int], int | list[int]]], min_block_words: int) -> list[int]:
+    """Lines of the later text in aligned blocks, and in keys that are a block by themselves.
+
+    ``shared`` has for each common key its places in the earlier and the later text, and its words:
+    a number, or one for each line of a block (0 for a blank line). Lines between that the pair
+    does not share (blank ones, or ones first held elsewhere) don't end a block as long as both
+    sides advance alike.
+    """
+    a, b, words = _lines_of(shared)
+    matched = _alike(a, b)
     gone, block, shift = [], [], None
     for b in sorted(matched):
         if matched[b] - b != shift:
@@ -149,7 +256,12 @@ def align(shared: list[tuple[list[int], list[int], int]], min_block_words: int)
         block.append(b)
     if sum(words[x] for x in block) >= min_block_words:
         gone += block
-    return gone
+    whole = set(gone)
+    for _, in_b, sizes in shared:
+        sizes = [sizes] if isinstance(sizes, int) else sizes
+        if sum(sizes) >= min_block_words:
+            whole.update(b + step for b in in_b for step, n in enumerate(sizes) if n)
+    return gone + sorted(whole.difference(gone))
 
 
 def _align(min_block_words: int):

@@ -143,6 +143,94 @@ def test_later_copies_lose_their_lines(spark):
     assert got == {1: rows[0][1], 2: "my own line is kept here", 3: "\n".join(lines[4:]), 4: rows[3][1]}
 
 
+def aligned_by_definition(a, b):
+    """Places of equal lines that recursive patience aligns; ``a`` and ``b`` hold (place, line)."""
+
+    def grown(x, y, step, low, high):
+        i, j, out = x + step, y + step, []
+        while (low[0] < i < high[0] and low[1] < j < high[1] and a[i][1] == b[j][1]
+               and a[i][0] - a[x][0] == b[j][0] - b[y][0]):
+            out.append((i, j))
+            i, j = i + step, j + step
+        return out
+
+    def go(low, high):
+        own_a, own_b = ([line for _, line in t[low[k] + 1 : high[k]]] for k, t in ((0, a), (1, b)))
+        chain = [(low[0] + 1 + x, low[1] + 1 + own_b.index(line)) for x, line in enumerate(own_a)
+                 if own_a.count(line) == own_b.count(line) == 1]
+        if chain:
+            long = []
+            for k, (_, y) in enumerate(chain):
+                long.append(1 + max((long[m] for m in range(k) if chain[m][1] < y), default=0))
+            k = max(k for k in range(len(chain)) if long[k] == max(long))
+            picked = [k]
+            while long[k] > 1:
+                k = max(m for m in range(k) if long[m] == long[k] - 1)
+                picked.append(k)
+            chain = [chain[k] for k in reversed(picked)]
+        else:
+            best = []
+            for y in range(low[1] + 1, high[1]):
+                for x in range(low[0] + 1, high[0]):
+                    if a[x][1] == b[y][1]:
+                        run = [(x, y), *grown(x, y, 1, low, high)]
+                        best = run if len(run) > len(best) else best
+            chain = best
+        if not chain:
+            return []
+        found = []
+        for k, (x, y) in enumerate(chain):
+            floor = found[-1] if found else low
+            found += [*grown(x, y, -1, floor, (x, y))[::-1], (x, y)]
+            found += grown(x, y, 1, (x, y), chain[k + 1] if k + 1 < len(chain) else high)
+        out = list(found)
+        for before, after in zip([low, *found], [*found, high]):
+            out += go(before, after)
+        return out
+
+    return sorted((b[y][0], a[x][0]) for x, y in go((-1, -1), (len(a), len(b))))
+
+
+def deleted_by_definition(first, later, least):
+    a, b = ([(i, line) for i, line in enumerate(t) if line] for t in (first, later))
+    common = {line for _, line in a} & {line for _, line in b}
+    a, b = ([x for x in t if x[1] in common] for t in (a, b))
+    blocks, shift = [], None
+    for y, x in aligned_by_definition(a, b):
+        if x - y != shift:
+            blocks.append([])
+            shift = x - y
+        blocks[-1].append(y)
+    gone = {y for block in blocks if sum(len(later[y].split()) for y in block) >= least for y in block}
+    return gone | {y for y, line in b if len(line.split()) >= least}
+
+
+def test_line_deletion_equals_its_definition(spark):
+    rng = random.Random(11)
+    rows, want = [], {}
+    for pair in range(150):
+        lines = [f"p{pair} l{k} " + " ".join(words(rng, rng.choice([3, 4, 7, 9]), 50)) for k in range(rng.choice([2, 4, 9]))]
+        first, later = ([rng.choice([*lines, f"own {pair} {side} {rng.random()} is not shared", ""]) for _ in range(14)]
+                        for side in (0, 1))
+        if pair % 3 == 0:
+            at = rng.randrange(10)
+            later[at : at + 4] = first[at : at + 4]
+        gone = deleted_by_definition(first, later, 8)
+        rows += [(2 * pair, "\n".join(first)), (2 * pair + 1, "\n".join(later))]
+        want[2 * pair + 1] = "\n".join(x for i, x in enumerate(later) if i not in gone)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_text"] for r in line_alignment.delete_shared_lines(docs).collect()}
+    assert got == {**dict(rows), **want}
+
+
+def test_repeated_lines_are_aligned():
+    assert line_alignment.align([([2, 9], [4], 9)], 8) == [4]
+    assert line_alignment.align([([5], [0, 11], 9)], 8) == [0, 11]
+    assert line_alignment.align([([0, 1, 2], [3, 4], 9), ([7], [9], 9)], 8) == [3, 4, 9]
+    n = 30_000  # copies without a line of their own
+    assert len(line_alignment.align([(list(range(0, n, 2)), list(range(0, n, 2)), 9), (list(range(1, n, 2)), list(range(1, n, 2)), 9)], 8)) == n
+
+
 def tiles_by_definition(a, b, least):
     used_a, used_b, tiles = set(), set(), []
     while True:
