@@ -4,13 +4,16 @@
    thousands of documents) still costs one row per document: each document is paired with the
    first holder of the line only, never with all others. Shorter lines count together with the
    seed before them (or, at the start, after them), so that common short lines pair nothing.
+   Lines with fewer words than a block needs are also keyed together with their neighbours, up to
+   those words: the first holder of such a block is paired too, and that is one more document at
+   most for each key, whoever holds the single lines first.
 2. Documents that share seeds with a first holder form a pair with it. Both orders of lines are
    aligned by patience: lines unique in both anchor the alignment through the longest increasing
    run of their places, and each anchor grows over equal neighbours on both sides. Between anchors
    the same goes on with the lines unique there; where none is, the longest common run anchors.
 3. Aligned blocks with enough words are deleted from the later document. An alignment has each
    line once and in order; what it leaves out (further copies, moved lines) is deleted as well
-   where a shared line has enough words by itself.
+   where a shared line, or adjacent ones with the same blank lines between, have enough words.
 
 Documents are ordered by id, then by a hash of their text; the first one keeps its lines.
 """
@@ -56,14 +59,40 @@ def line_keys(text: bytes, min_words: int) -> list[tuple[bytes, int, int]]:
     return out
 
 
-def _emit_lines(min_words: int):
+def block_keys(text: bytes, min_words: int) -> list[tuple[bytes, int, list[int]]]:
+    """(key, number of the first line, words of each line) of the least blocks of lines.
+
+    From each line with fewer than ``min_words`` words one goes forward and one back until it has
+    that many. Any longer block is covered by those within it, so it is found by their keys
+    whoever holds its single lines first. Blank lines within a block count as lines of 0 words.
+    """
+    lines = [line.strip() for line in text.split(b"\n")]
+    words = [len(line.split()) for line in lines]
+    own = [i for i, n in enumerate(words) if n]
+    spans = set()
+    for j, i in enumerate(own):
+        if words[i] < min_words:
+            for step, stop in ((1, len(own)), (-1, -1)):
+                k, n = j, words[i]
+                while n < min_words and k + step != stop:
+                    k += step
+                    n += words[own[k]]
+                if n >= min_words:
+                    spans.add((min(i, own[k]), max(i, own[k]) + 1))
+    return [(_hash(b"\n".join(lines[a:b])), a, words[a:b]) for a, b in sorted(spans)]
+
+
+def _emit_lines(min_words: int, min_block_words: int):
     schema = pa.list_(pa.int32())
 
     def run(batch: pa.RecordBatch):
         rows, keys, places, sizes = [], [], [], []
         for row, text in enumerate(batch.column(2)):
             held: dict[bytes, list] = {}
-            for key, i, words in line_keys(text.as_buffer().to_pybytes(), min_words):
+            text = text.as_buffer().to_pybytes()
+            for key, i, words in line_keys(text, min_words):
+                held.setdefault(key, [[words]]).append(i)
+            for key, i, words in block_keys(text, min_block_words):
                 held.setdefault(key, [words]).append(i)
             for key, own in held.items():
                 rows.append(row)
@@ -77,7 +106,7 @@ def _emit_lines(min_words: int):
                 batch.column(1).take(take),
                 pa.array(keys, pa.binary()),
                 pa.array(places, schema),
-                pa.array(sizes, pa.int32()),
+                pa.array(sizes, schema),
             ],
             ["doc_id", "text_hash", "line", "places", "words"],
         )
@@ -305,8 +334,8 @@ def shared_lines(
     ).where(F.length("text") > 0)
     lines = map_arrow(
         texts,
-        _emit_lines(min_line_words),
-        "doc_id long, text_hash long, line binary, places array<int>, words int",
+        _emit_lines(min_line_words, min_block_words),
+        "doc_id long, text_hash long, line binary, places array<int>, words array<int>",
     )
     lines = stage(lines, "align-lines")
     # a written table, so that the join has exchanges of its own and AQE can split a hot line

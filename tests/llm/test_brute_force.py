@@ -202,7 +202,14 @@ def deleted_by_definition(first, later, least):
             shift = x - y
         blocks[-1].append(y)
     gone = {y for block in blocks if sum(len(later[y].split()) for y in block) >= least for y in block}
-    return gone | {y for y, line in b if len(line.split()) >= least}
+    for y, _ in b:
+        for x, _ in a:
+            n = 0
+            while x + n < len(first) and y + n < len(later) and first[x + n] == later[y + n]:
+                n += 1
+                if sum(len(line.split()) for line in later[y : y + n]) >= least:
+                    gone.update(k for k in range(y, y + n) if later[k])
+    return gone
 
 
 def test_line_deletion_equals_its_definition(spark):
@@ -223,6 +230,15 @@ def test_line_deletion_equals_its_definition(spark):
     assert got == {**dict(rows), **want}
 
 
+def test_blocks_whose_lines_are_first_held_elsewhere(spark):
+    one, two = "a line of five words", "there are five others here"
+    rows = [(1, f"{one}\nonly the first text has this"), (2, f"{two}\nonly the second text has this"),
+            (3, f"{one}\n{two}"), (4, f"a heading of the last text\n{one}\n{two}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_text"] for r in line_alignment.delete_shared_lines(docs).collect()}
+    assert got == {**dict(rows), 4: "a heading of the last text"}
+
+
 def test_repeated_lines_are_aligned():
     assert line_alignment.align([([2, 9], [4], 9)], 8) == [4]
     assert line_alignment.align([([5], [0, 11], 9)], 8) == [0, 11]
