@@ -1,13 +1,12 @@
 """Line dedup by pairwise alignment: what a later document shares with an earlier one goes.
 
-1. Lines of enough words are seeds: long lines are rare by themselves, and a line that is not (in
-   thousands of documents) still costs one row per document: each document is paired with the
-   first holder of the line only, never with all others. Shorter lines count together with the
-   seed before them (or, at the start, after them), so that common short lines pair nothing.
-   Lines with fewer words than a block needs are also keyed together with their neighbours, up to
-   those words: the first holder of such a block is paired too, and that is one more document at
-   most for each key, whoever holds the single lines first.
-2. Documents that share seeds with a first holder form a pair with it. Both orders of lines are
+1. Lines of any length are found: alone if they have the words of a block, else together with
+   their neighbours, up to those words. Lines of enough words, though too few for a block, are
+   seeds besides, and shorter lines count together with the seed before them (or, at the start,
+   after them), so that common short lines pair nothing. How many hold a key does not matter:
+   it costs one row per document, as each document is paired with the key's first holder only,
+   never with all others. A block is found whoever holds its single lines first.
+2. Documents that share keys with a first holder form a pair with it. Both orders of lines are
    aligned by patience: lines unique in both anchor the alignment through the longest increasing
    run of their places, and each anchor grows over equal neighbours on both sides. Between anchors
    the same goes on with the lines unique there; where none is, the longest common run anchors.
@@ -386,7 +385,7 @@ def delete_shared_lines(
     names are replaced.
 
     ``kept_text`` joins the lines left by ``\\n``. A null text stays null, with 0 lines; an empty
-    one has one line. Texts without a line of ``min_line_words`` words stay as they are. Rows
+    one has one line. Rows
     that repeat id and text are treated alike, and are not deleted for each other's sake.
     """
     gone = shared_lines(docs, id_col, text_col, min_line_words, min_block_words)

@@ -239,6 +239,16 @@ def test_blocks_whose_lines_are_first_held_elsewhere(spark):
     assert got == {**dict(rows), 4: "a heading of the last text"}
 
 
+def test_blocks_of_short_lines(spark):
+    verse = "\n".join(f"verse {i}" for i in range(9))
+    rows = [(1, f"a heading that is only here\n{verse}"), (2, f"{verse}\nother words"),
+            (3, f"one more heading, of this text\nverse 0\nverse 1\nverse 2\n{verse}\n\nthe end"), (4, "verse 0\nverse 1\nverse 2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_text"] for r in line_alignment.delete_shared_lines(docs).collect()}
+    kept = "one more heading, of this text\nverse 0\nverse 1\nverse 2\n\nthe end"
+    assert got == {1: rows[0][1], 2: "other words", 3: kept, 4: rows[3][1]}
+
+
 def test_repeated_lines_are_aligned():
     assert line_alignment.align([([2, 9], [4], 9)], 8) == [4]
     assert line_alignment.align([([5], [0, 11], 9)], 8) == [0, 11]
