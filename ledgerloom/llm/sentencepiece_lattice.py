@@ -54,16 +54,18 @@ class Firsts(dict):
 
     def __missing__(self, part: str) -> tuple[bytes, float, float]:
         pairs, stop = self.pieces.pairs, len(part)
-        while stop > 2 and part[stop - 2 : stop] not in pairs:  # a cut node: no piece crosses it
+        if stop > 2 and part[-2:] not in pairs:  # a cut node: no piece crosses it
             stop -= 1
-        if stop < len(part):
+            while stop > 2 and part[stop - 2 : stop] not in pairs:
+                stop -= 1
             own, score, least = self[part[:stop]]
             ids = [own]
             for sign in part[stop:]:
                 own, more, loss = self[sign]
                 ids.append(own)
                 score += more
-                least = least if least < loss else loss
+                if loss < least:
+                    least = loss
             held = (b"".join(ids), score, least)
         else:
             held = self.pieces.first(part)
@@ -186,7 +188,7 @@ class Pieces:
         The best path that is not expanded yet leaves the best one at some node, by that node's
         second best edge; so the smallest such loss on the way back is the second best's.
         """
-        n = len(part)
+        n, longest = len(part), self.longest
         best, second, back = [-inf] * (n + 1), [-inf] * (n + 1), [None] * (n + 1)
         best[0] = 0.0
         for start in range(n):
@@ -201,7 +203,7 @@ class Pieces:
                     back[at] = (start, np.array(ids, np.int32).tobytes())
                 elif total > second[at]:
                     second[at] = total
-            for sign in part[start : start + self.longest]:
+            for sign in part[start : start + longest]:
                 hit = kids.get(sign)
                 if hit is None:
                     break
