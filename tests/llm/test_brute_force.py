@@ -100,6 +100,34 @@ def test_near_duplicates_equal_all_pairs(spark):
     assert len(set(got.values())) > 20
 
 
+def test_links_of_the_registered_banding(spark):
+    rng = random.Random(8)
+    texts = []
+    for _ in range(700):  # pairs on both sides of the threshold
+        base = words(rng, 150, 10_000)
+        own = list(base)
+        for k in rng.sample(range(len(own)), rng.randrange(1, 6)):
+            own[k] = f"n{rng.random()}"
+        texts += [" ".join(base), " ".join(own)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    settings = near_duplicates.Settings()
+    weigh = near_duplicates.Weights(near_duplicates.idf_levels(docs, settings), settings)
+    bags = []
+    for at, to, held in common.word_blocks(pa.array(texts)):
+        sizes, shingles, tf = near_duplicates._distinct(*near_duplicates._shingles(held, settings.words), to - at)
+        weights, stops = weigh(shingles, tf), np.cumsum(sizes)
+        bags += [(shingles[b - n : b], weights[b - n : b]) for n, b in zip(sizes, stops)]
+    alike = [near_duplicates.similarity(bags[k], bags[k + 1]) for k in range(0, len(bags), 2)]
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates.near_duplicates(docs).collect()}
+    linked = [got[2 * k + 1] == got[2 * k] for k in range(len(alike))]
+    want = [s >= settings.threshold for s in alike]
+    assert not any(n and not w for n, w in zip(linked, want))  # links are verified
+    near = [n for n, s in zip(linked, alike) if settings.threshold <= s < 0.85]
+    found = sum(n for n, w in zip(linked, want) if w)
+    print(f"recall {found} of {sum(want)}; at 0.80 to 0.85 {sum(near)} of {len(near)}")
+    assert found >= 0.99 * sum(want) and len(near) > 50 and sum(near) >= 0.97 * len(near)
+
+
 def test_samples_estimate_weighted_similarity():
     rng = np.random.default_rng(3)
     shingles = np.sort(rng.integers(0, 1 << 63, 400, dtype=np.uint64))
