@@ -12,9 +12,10 @@ piece; equal edges have equal minimizers, so all that can be equal meets under o
 3. Where a minimizer has several classes the path branches: the first place of each class is
    opened into single edges, which find their own first place.
 4. What does not start at its first place becomes a span of its document. Every span carries its
-   words' hash and is verified against the words at its coordinates before it is removed.
+   words' hash, which is taken again from the words at its own coordinates before it is removed;
+   the words at its first place are not read.
 
-Classes and edges are told apart by two independent 64-bit hashes. No group of places is ever
+Classes and edges are told apart by two 64-bit hashes over one 64-bit hash per word. No group of places is ever
 collected: hot passages are counted with partial aggregation and joined, and a skewed join is
 split by AQE. Only the spans of one document meet in one row.
 """
