@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
+    centroid_clusters,
     chat_format,
+    conversation_repair,
     decontamination,
     host_quality,
+    license_scan,
     line_alignment,
     near_duplicates,
     quality_model,
@@ -17,6 +20,7 @@ from ledgerloom.llm import (
     toxicity,
     warc,
 )
+from ledgerloom.llm.common import same
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -158,6 +162,75 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Rows as they arrive broken: by their number one in four is lost, emptied, unpunctuated, doubled or of another role."""
+
+    def spaced(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    number = F.concat(spaced("conv_id"), F.lit(":"), spaced("turn"))
+    rows = conversations.select(
+        "conv_id",
+        "turn",
+        spaced("role").alias("role"),
+        spaced("text").alias("text"),
+        (F.crc32(number.cast("binary")) % 20).alias("fate"),
+    ).where("fate <> 0")
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fate") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fate") == 1, "")
+        .when(F.col("fate") == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text"))
+        .alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(F.col("fate") == 3, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    reports, rows = conversation_repair.repair(damaged(conversations))
+    digests = conversation_repair.row_digests(rows)
+    convs = conversations.select("conv_id").distinct()
+    found = convs.join(reports, same(convs["conv_id"], reports["conv_id"]), "left").join(
+        digests, same(convs["conv_id"], digests["conv_id"]), "left"
+    )
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        convs["conv_id"],
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return centroid_clusters.cluster_vectors(vectors).select(
+        "vec_id",
+        "cluster",
+        "distance",
+        "cluster_inertia",
+        "inertia",
+        F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"),
+    )
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan_licenses(docs, carry=("doc_id",)).select(
+        "doc_id",
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -171,5 +244,8 @@ QUERIES = {
         op8_warc,
         op9_repeated_spans,
         op10_chat_format,
+        op11_conversation_repair,
+        op12_centroid_clusters,
+        op13_license_scan,
     )
 }
