@@ -281,19 +281,15 @@ def scan_licenses(
         F.array_sort(F.collect_list(F.struct("first_word", "n_words", "notice", "label", "containment"))).alias("found"),
         F.max("containment").alias("best"),
     )
-    joined = rows.join(by_row, rows[key] == F.col("of_row"), "left")
+    joined = rows.join(by_row, rows[key] == by_row["of_row"], "left")
     none = F.array().cast("array<struct<first_word:long,n_words:long,notice:int,label:string,containment:double>>")
     matched = F.coalesce(by_row["found"], none)
     return joined.select(
         *[rows[c] for c in names],
-        "n_words",
-        "n_base",
-        "first_word",
-        "last_word",
-        "base_labels",
-        F.array_sort(F.array_union("base_labels", F.transform(matched, lambda m: m["label"]))).alias("labels"),
+        *[rows[c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels")],
+        F.array_sort(F.array_union(rows["base_labels"], F.transform(matched, lambda m: m["label"]))).alias("labels"),
         matched.alias("found"),
-        F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
+        F.when(rows["n_base"] > 0, 1.0).otherwise(F.coalesce(by_row["best"], F.lit(0.0))).alias("score"),
     )
 
 
