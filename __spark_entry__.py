@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +22,8 @@ from ledgerloom.functions import (  # noqa: E402
     margin_amount,
 )
 from ledgerloom.operators import audit, dimensions, facts, sync  # noqa: E402
-from ledgerloom.plans import reports, warehouse  # noqa: E402
+from ledgerloom.plans import jobs, reports, warehouse  # noqa: E402
+from ledgerloom.plans.refresh import FACT, refresh_order_sales  # noqa: E402
 from ledgerloom.session import (  # noqa: E402
     fit_shuffles,
     new_folder,
@@ -52,6 +53,8 @@ else:
 SMOKE_DIR = "/root/testdata/sf0.001"
 # Noon, so that the day is the same in the session's time zone.
 FIRST, SECOND, THIRD = (datetime(2024, 1, day, 12, tzinfo=timezone.utc) for day in (1, 2, 3))
+# The last day of the first of two deliveries of payments.
+REDELIVERED_FROM = date(2024, 1, 15)
 SOURCE_KEYS = {name: table.primary_key for name, table in SOURCES.items()}
 CUSTOMER_KEY = SOURCE_KEYS["customers"]
 CUSTOMER_COLUMNS = (
@@ -159,7 +162,8 @@ _built: dict[tuple[str, str, str], Warehouse] = {}
 def _build(spark: SparkSession, sf_dir: str) -> Warehouse:
     store = Warehouse(spark, new_folder(spark, "warehouse"))
     sources = retail.load_sources(spark, sf_dir)
-    store.replace("build", warehouse.build_all(sources, warehouse.load_time(FIRST)))
+    tables = warehouse.build_all(sources, warehouse.load_time(FIRST))
+    store.replace("build", tables, warehouse.layouts())
     return store
 
 
@@ -191,7 +195,7 @@ def list_warehouse_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_fact_order_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales fact as the warehouse holds it, with the wide keys of a default build."""
-    return _stored(spark, sf_dir).read("fact_order_sales").drop("etl_loaded_at")
+    return _stored(spark, sf_dir).read("fact_order_sales").drop("etl_loaded_at", facts.ORDER_YEAR)
 
 
 def sink_overwrite_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,6 +221,13 @@ def report_revenue_recent_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.revenue_recent_first(*[tables[name] for name in STAR])
 
 
+def report_revenue_one_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The revenue of the days of one year; other years of the stored fact are not read."""
+    tables = _stored(spark, sf_dir).read_all(*STAR)
+    first, last = date(1995, 1, 1), date(1995, 12, 31)
+    return reports.revenue_between(*[tables[name] for name in STAR], first, last)
+
+
 def report_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _stored(spark, sf_dir).read_all("fact_order_sales", "dim_customer")
     return reports.top_customers(tables["fact_order_sales"], tables["dim_customer"])
@@ -333,10 +344,10 @@ def sync_soft_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.select("customer_number", "is_deleted", _synced_in())
 
 
-def sync_then_rebuild_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dearer products and deleted orders at the source change the rebuilt sales fact."""
-    store = Warehouse(spark, new_folder(spark, "bronze"))
-    sources = retail.load_sources(spark, sf_dir, warehouse.inputs_of("fact_order_sales"))
+def _changed_sources(
+    spark: SparkSession, sf_dir: str, sources: dict[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """Dearer products and deleted orders at the source."""
     products = sources["products"]
     dearer = products.withColumn(
         "buy_price",
@@ -347,23 +358,45 @@ def sync_then_rebuild_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = spark.read.parquet(f"{sf_dir}/orders.parquet").where(
         F.col("o_orderpriority") != "5-LOW"
     )
-    fewer = retail.orders_from(kept)
-    old = {"products": products, "orders": sources["orders"]}
-    new = {"products": dearer, "orders": fewer}
+    return {"products": dearer, "orders": retail.orders_from(kept)}
+
+
+REBUILT = (
+    "sales_line_id", "order_line_number", "quantity_ordered", "price_each", "buy_price",
+    "gross_sales_amount", "cost_amount", "margin_amount",
+)
+
+
+def sync_then_rebuild_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dearer products and deleted orders at the source change the rebuilt sales fact."""
+    store = Warehouse(spark, new_folder(spark, "bronze"))
+    sources = retail.load_sources(spark, sf_dir, warehouse.inputs_of("fact_order_sales"))
+    new = _changed_sources(spark, sf_dir, sources)
+    old = {name: sources[name] for name in new}
     sync.sync_tables(store, old, SOURCE_KEYS, warehouse.load_time(FIRST), "first")
     sync.sync_tables(store, new, SOURCE_KEYS, warehouse.load_time(SECOND), "second")
     sources |= {name: sync.live(df) for name, df in store.read_all(*new).items()}
     fact = warehouse.build_table("fact_order_sales", sources, warehouse.load_time(SECOND))
-    return fact.select(
-        "sales_line_id",
-        "order_line_number",
-        "quantity_ordered",
-        "price_each",
-        "buy_price",
-        "gross_sales_amount",
-        "cost_amount",
-        "margin_amount",
-    )
+    return fact.select(*REBUILT)
+
+
+def sync_then_refresh_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes, with only the lines they affect joined again."""
+    store = Warehouse(spark, new_folder(spark, "bronze"))
+    names = warehouse.inputs_of("fact_order_sales")
+    sources = retail.load_sources(spark, sf_dir, names)
+    first, second = (warehouse.load_time(moment) for moment in (FIRST, SECOND))
+    # lines of the given tables repeat their key, so they are no bronze table that could be merged
+    store.replace("lines", {"orderdetails": sync.initial_load(sources.pop("orderdetails"), first)})
+    sync.sync_tables(store, sources, SOURCE_KEYS, first, "first")
+    inputs = store.paths(names)
+    built = {FACT: warehouse.build_table(FACT, jobs.bronze_sources(store, inputs), first)}
+    store.publish("first-build", store.stage("first-build", built, warehouse.layouts()), None, inputs)
+    sync.sync_tables(store, _changed_sources(spark, sf_dir, sources), SOURCE_KEYS, second, "second")
+    inputs = store.paths(names)
+    refreshed = refresh_order_sales(store, "second-build", inputs, second)
+    store.publish("second-build", [refreshed], None, inputs)
+    return store.read(FACT).select(*REBUILT)
 
 
 # --- streams -------------------------------------------------------------------------------
@@ -382,6 +415,24 @@ def stream_fact_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.read().drop("etl_loaded_at")
 
 
+def stream_payments_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments up to a day fed first, then all of them from another folder: each is held once."""
+    folder = new_folder(spark, "payments")
+    store = Warehouse(spark, folder)
+    payments = retail.payments_from(table_stream(spark, f"{sf_dir}/events.parquet"))
+    early = payments.where(F.col("payment_date") <= F.lit(REDELIVERED_FROM))
+    for delivery, rows in (("first", early), ("again", payments)):
+        feed = PaymentsFeed(
+            store,
+            f"{folder}/feed-{delivery}",
+            lambda: retail.customers(spark, sf_dir),
+            warehouse.load_time(FIRST),
+            KeyScheme.MURMUR32,
+        )
+        feed.run(rows)
+    return feed.read().drop("etl_loaded_at")
+
+
 def stream_then_build_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All payments fed, then built in full: together they hold each payment once."""
     folder = new_folder(spark, "payments")
@@ -398,7 +449,7 @@ def stream_then_build_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     built = warehouse.build_table(
         "fact_payments", sources, warehouse.load_time(SECOND), KeyScheme.MURMUR32
     )
-    store.replace("build", {"fact_payments": built})
+    store.replace("build", {"fact_payments": built}, warehouse.layouts())
     return current_payments(store).drop("etl_loaded_at")
 
 
@@ -467,6 +518,7 @@ _QUERIES: dict[str, Query] = {
     "hash_key_wide": _order_keys(KeyScheme.XXHASH64),
     "report_revenue_month_country_line": report_revenue_month_country_line,
     "report_revenue_recent_first": report_revenue_recent_first,
+    "report_revenue_one_year": report_revenue_one_year,
     "report_top_customers": report_top_customers,
     "build_warehouse": build_warehouse,
     "list_warehouse_tables": list_warehouse_tables,
@@ -482,7 +534,9 @@ _QUERIES: dict[str, Query] = {
     "sync_merge": sync_merge,
     "sync_soft_delete": sync_soft_delete,
     "sync_then_rebuild_fact": sync_then_rebuild_fact,
+    "sync_then_refresh_fact": sync_then_refresh_fact,
     "stream_fact_payments": stream_fact_payments,
+    "stream_payments_redelivered": stream_payments_redelivered,
     "stream_then_build_payments": stream_then_build_payments,
     "stream_customer_upsert": stream_customer_upsert,
 }

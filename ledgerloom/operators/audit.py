@@ -47,19 +47,6 @@ def key_uniqueness(tables: Mapping[str, tuple[DataFrame, tuple[str, ...]]]) -> D
     )
 
 
-def require_unique(df: DataFrame, keys: tuple[str, ...], what: str) -> None:
-    """Raise if a key is held by several rows or is NULL; a merge by key needs neither."""
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    bad = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .agg(_count_if((F.col("copies") > 1) | no_key))
-        .first()[0]
-    )
-    if bad:
-        raise ValueError(f"{what}: {bad} values of {', '.join(keys)} are repeated or NULL")
-
-
 def key_collisions(dimensions: Mapping[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """Surrogate keys that stand for more than one natural key.
 

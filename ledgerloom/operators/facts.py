@@ -19,6 +19,9 @@ from ledgerloom.functions import (
 
 DEFAULT_KEYS = KeyScheme.XXHASH64
 
+# Columns by which stored facts are cut into partitions.
+ORDER_YEAR, PAYMENT_YEAR = "order_year", "payment_year"
+
 # Fixed value: the order status that never becomes a sale.
 CANCELLED = "Cancelled"
 

@@ -1,22 +1,24 @@
 """Keeping a bronze copy of a source table in step with it.
 
-A bronze table holds the source columns, ``is_deleted`` and ``synced_at``. It is never
-updated in place: each operator gives the next version as a plan over the last one.
+A bronze table holds the source columns, ``is_deleted`` and ``synced_at``, in buckets of its key. It is never
+updated in place: a run writes the next version of those buckets in which something changes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.audit import require_unique
 from ledgerloom.operators.sizing import broadcast_if_small
-from ledgerloom.sinks.warehouse import Warehouse
+from ledgerloom.sinks.warehouse import ALL, BUCKET, Current, Layout, Warehouse, Written
 
 BOOKKEEPING = ("is_deleted", "synced_at")
+# Parts of a bronze table unless the caller says otherwise (``session.bucket_count``).
+BUCKETS = 16
 
 
 def _values(df: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
@@ -46,6 +48,18 @@ def _once_per_key(snapshot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame,
     return by_key.select(*columns), seen
 
 
+def _checked(snapshot: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """The snapshot by key; raises while it runs if a key is repeated or NULL."""
+    rest = [F.col(c) for c in snapshot.columns if c not in keys]
+    held = F.max(F.struct(F.lit(True).alias("present"), *rest)).alias("held")
+    by_key = snapshot.groupBy(*keys).agg(held, F.count(F.lit(1)).alias("copies"))
+    sound = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.col("copies") == 1)
+    message = F.lit(f"{what}: a value of {', '.join(keys)} is repeated or NULL")
+    by_key = by_key.where(F.when(sound, True).otherwise(F.raise_error(message).cast("boolean")))
+    columns = [F.col(c) if c in keys else F.col(f"held.{c}").alias(c) for c in snapshot.columns]
+    return by_key.select(*columns)
+
+
 def initial_load(snapshot: DataFrame, synced_at: Column) -> DataFrame:
     return snapshot.withColumns({"is_deleted": F.lit(False), "synced_at": synced_at})
 
@@ -58,10 +72,10 @@ def live(bronze: DataFrame) -> DataFrame:
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every key of either snapshot with what happened to it. NULLs compare as values.
 
-    Both snapshots must have unique keys, and are checked: repeated ones would pair up.
+    Both snapshots must have unique keys: repeated ones would pair up. The query raises where it meets a
+    repeated or NULL key; that is seen in the shuffle that the comparison needs anyway.
     """
-    require_unique(old, tuple(keys), "old snapshot")
-    require_unique(new, tuple(keys), "new snapshot")
+    old, new = _checked(old, keys, "old snapshot"), _checked(new, keys, "new snapshot")
     both = _values(old, keys, "before").join(_values(new, keys, "after"), list(keys), "full")
     before, after = F.col("before"), F.col("after")
     change = (
@@ -163,32 +177,95 @@ def upsert(
     return kept.unionByName(initial_load(changes, synced_at).select(*bronze.columns))
 
 
+def changed_rows(bronze: DataFrame, snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows that a full snapshot changes in a bronze table, as they are to be held from now on.
+
+    Source columns, ``is_deleted`` and ``change_type``: ``insert`` (also of a deleted row that is back),
+    ``update`` or ``delete``. Both sides must have unique keys.
+    """
+    both = _values(bronze, keys, "before").join(
+        _values(snapshot, keys, "after"), list(keys), "full"
+    )
+    before, after = F.col("before"), F.col("after")
+    was_deleted = F.col("before_is_deleted")
+    change = (
+        F.when(before.isNull(), "insert")
+        .when(after.isNull() & ~was_deleted, "delete")
+        .when(after.isNull(), None)
+        .when(was_deleted, "insert")
+        .when(~before.eqNullSafe(after), "update")
+    )
+    row = F.coalesce(after, before)
+    values = [
+        F.col(c) if c in keys else row[c].alias(c)
+        for c in bronze.columns
+        if c not in BOOKKEEPING
+    ]
+    changed = both.select(*values, after.isNull().alias("is_deleted"), change.alias("change_type"))
+    return changed.where(F.col("change_type").isNotNull())
+
+
+def merge_changes(
+    bronze: DataFrame, changes: DataFrame, keys: Sequence[str], synced_at: Column
+) -> DataFrame:
+    """Next version of some bronze rows after the changes to them, at most one per key."""
+    kept = bronze.join(broadcast_if_small(changes.select(*keys)), list(keys), "left_anti")
+    rows = changes.withColumn("synced_at", synced_at)
+    return kept.unionByName(rows.select(*bronze.columns))
+
+
 def sync_tables(
     warehouse: Warehouse,
     snapshots: Mapping[str, DataFrame],
     keys: Mapping[str, Sequence[str]],
     synced_at: Column,
     run_id: str,
+    buckets: int = BUCKETS,
 ) -> dict[str, int]:
     """Bring bronze tables in step with full snapshots and publish them together.
 
-    A table that is not there yet is loaded, any other is merged. Running the same ``run_id``
-    again starts from the versions before it. Repeated or NULL keys in a snapshot raise, and so
+    A table that is not there yet is loaded into ``buckets`` of its keys (``Layout.by_bucket``). Any
+    other is compared with its snapshot; what changed is written down, and only the buckets with a change are read
+    again and written anew. Gives the rows written.
+
+    Running the same ``run_id`` again starts from the versions before it. Repeated or NULL keys in a snapshot raise, and so
     does another run that published one of the tables meanwhile; nothing is published then.
     """
-    held = warehouse.paths(list(snapshots), other_than_run=run_id)
-    versions, checks = {}, {}
+    held = warehouse.current(list(snapshots), other_than_run=run_id)
+    first, compared, checks, layouts = {}, {}, {}, {}
     for name, snapshot in snapshots.items():
         rows, checks[name] = _once_per_key(snapshot, keys[name])
-        if held[name] is None:
-            versions[name] = initial_load(rows, synced_at)
+        if name not in held:
+            layouts[name] = Layout.by_bucket(keys[name], buckets)
+            first[name] = initial_load(rows, synced_at)
         else:
-            bronze = warehouse.spark.read.parquet(held[name])
-            versions[name] = merge_snapshot(bronze, rows, keys[name], synced_at)
-    written = warehouse.stage(run_id, versions)
+            layouts[name] = Layout.by_bucket(keys[name], held[name].buckets or buckets)
+            bronze = warehouse.open(name, held[name]).drop(BUCKET)
+            compared[name] = changed_rows(bronze, rows, keys[name])
+    loaded = warehouse.stage(run_id, first, layouts)
+    changes = warehouse.stage(f"{run_id}-changes", compared)
     for name, seen in checks.items():
         bad = seen.get.get("bad", 0)
         if bad:
             what = f"{bad} values of {', '.join(keys[name])} are repeated or NULL"
             raise ValueError(f"snapshot of {name}: {what}")
-    return warehouse.publish(run_id, written, held)
+
+    def merge(written: Written) -> Written:
+        name, layout = written.name, layouts[written.name]
+        rows = warehouse.read_written(written).drop("change_type")
+        touched = touched_parts(held[name], rows, layout)
+        bronze = warehouse.open(name, held[name], touched).drop(BUCKET)
+        merged = merge_changes(bronze, rows, keys[name], synced_at)
+        return warehouse.stage_parts(run_id, name, merged, layout, touched)
+
+    with ThreadPoolExecutor(max_workers=max(1, len(changes))) as pool:
+        merged = list(pool.map(merge, changes))
+    versions = {name: held[name].path if name in held else None for name in snapshots}
+    return warehouse.publish(run_id, [*loaded, *merged], versions)
+
+
+def touched_parts(table: Current, rows: DataFrame, layout: Layout) -> list[str]:
+    """The partitions of a table that the rows fall into; all of a table that isn't cut that way yet."""
+    if table.buckets != layout.buckets:
+        return [ALL]
+    return sorted(str(r[0]) for r in rows.select(layout.value).distinct().collect())

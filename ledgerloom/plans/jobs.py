@@ -8,10 +8,11 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.functions import KeyScheme
-from ledgerloom.operators.sync import live, sync_tables
+from ledgerloom.operators.sync import BUCKETS, live, sync_tables
 from ledgerloom.plans import reports, warehouse
+from ledgerloom.plans.refresh import FACT, refresh_order_sales, refreshable
 from ledgerloom.sinks.jdbc import CONNECTIONS, ensure_schema, register_catalog, replace_table
-from ledgerloom.sinks.warehouse import Warehouse
+from ledgerloom.sinks.warehouse import BUCKET, Warehouse
 from ledgerloom.sources import SOURCES, conform
 from ledgerloom.sources.jdbc import JdbcEndpoint
 from ledgerloom.streaming.changes import run_upserts
@@ -22,7 +23,11 @@ CATALOG = "ledgerloom_target"
 
 
 def sync_sources(
-    store: Warehouse, snapshots: Mapping[str, DataFrame], run_id: str, moment: datetime
+    store: Warehouse,
+    snapshots: Mapping[str, DataFrame],
+    run_id: str,
+    moment: datetime,
+    buckets: int = BUCKETS,
 ) -> dict[str, DataFrame]:
     """Land the snapshots, bring the bronze tables in step, give their live rows.
 
@@ -38,8 +43,14 @@ def sync_sources(
         {name: SOURCES[name].primary_key for name in snapshots},
         warehouse.load_time(moment),
         run_id,
+        buckets,
     )
-    return {name: live(df) for name, df in store.read_all(*snapshots).items()}
+    return bronze_sources(store, store.paths(list(snapshots)))
+
+
+def bronze_sources(store: Warehouse, versions: Mapping[str, str]) -> dict[str, DataFrame]:
+    """The live rows of bronze tables as they were at some versions."""
+    return {name: live(store.read(name, at=path).drop(BUCKET)) for name, path in versions.items()}
 
 
 def build(
@@ -49,19 +60,49 @@ def build(
     moment: datetime,
     keys: KeyScheme = KeyScheme.XXHASH64,
     verify: bool = True,
+    inputs: Mapping[str, str] | None = None,
 ) -> dict[str, int]:
     """Write all warehouse tables, check them as they were written, then publish them.
 
-    If a check fails, readers keep the tables they had.
+    If a check fails, or another build has published meanwhile, readers keep the tables they had. ``inputs``
+    are the bronze versions that the sources stand for; a later ``refresh`` starts from them.
 
     The checks recount the facts from the sources, which costs about as much as the facts.
     """
+    held = store.paths(list(warehouse.TABLES), other_than_run=run_id)
     tables = warehouse.build_all(sources, warehouse.load_time(moment), keys)
-    written = store.stage(run_id, tables)
+    written = store.stage(run_id, tables, warehouse.layouts())
     if verify:
-        stored = {name: store.spark.read.parquet(path) for name, path, _ in written}
+        stored = {w.name: store.read_written(w) for w in written}
         warehouse.verify(sources, stored)
-    return store.publish(run_id, written)
+    return store.publish(run_id, written, held, inputs)
+
+
+def refresh(
+    store: Warehouse,
+    run_id: str,
+    moment: datetime,
+    keys: KeyScheme = KeyScheme.XXHASH64,
+    verify: bool = True,
+) -> dict[str, int]:
+    """Bring the warehouse in step with its bronze tables, doing no more to the sales fact than they changed.
+
+    The sales fact is refreshed by ``refresh_order_sales``, all other tables are built anew. Without a sales
+    fact whose bronze versions are known this is a full build. Gives the rows written.
+    """
+    inputs = store.paths(list(SOURCES))
+    sources = bronze_sources(store, inputs)
+    if not refreshable(store):
+        return build(store, sources, run_id, moment, keys, verify, inputs)
+    held = store.paths(list(warehouse.TABLES), other_than_run=run_id)
+    loaded_at = warehouse.load_time(moment)
+    others = {n: warehouse.build_table(n, sources, loaded_at, keys) for n in warehouse.TABLES if n != FACT}
+    written = store.stage(run_id, others, warehouse.layouts())
+    refreshed = refresh_order_sales(store, run_id, inputs, loaded_at, keys)
+    if verify:
+        stored = {w.name: store.read_written(w) for w in written} | {FACT: store.read_with(refreshed)}
+        warehouse.verify(sources, stored, recount=False)
+    return store.publish(run_id, [*written, refreshed], held, inputs)
 
 
 def copy_to_database(
@@ -97,7 +138,7 @@ def feed_payments(store: Warehouse, path: str, moment: datetime) -> PaymentsFeed
     feed = PaymentsFeed(
         store,
         f"{store.root}/feeds/payments",
-        lambda: live(store.read("customers")),
+        lambda: live(store.read("customers").drop(BUCKET)),
         warehouse.load_time(moment),
     )
     feed.run(conform(table_stream(store.spark, path), SOURCES["payments"]))

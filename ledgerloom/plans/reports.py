@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.facts import ORDER_YEAR
+
 # A sum of decimal(12,2) widens to this; narrower types overflow on a large warehouse.
 REVENUE = "decimal(22,2)"
 TOP_CUSTOMERS = 20
@@ -19,16 +23,20 @@ def _revenue(
     days = dim_date.select(
         F.col("date_key").alias("order_date_key"), "calendar_year", "calendar_month"
     )
+    # a stored fact lies in partitions by year: a choice of days then chooses partitions, too
+    by = ["order_date_key", *(c for c in fact_order_sales.columns if c == ORDER_YEAR)]
+    if len(by) > 1:
+        days = days.withColumn(ORDER_YEAR, F.col("calendar_year"))
     return (
         fact_order_sales.select(
-            "order_date_key",
+            *by,
             "customer_key",
             "product_key",
             "quantity_ordered",
             "gross_sales_amount",
             "margin_amount",
         )
-        .join(days, "order_date_key")
+        .join(days, by)
         .join(dim_customer.select("customer_key", "country"), "customer_key")
         .join(dim_product.select("product_key", "product_line"), "product_key")
         .groupBy("calendar_year", "calendar_month", "country", "product_line")
@@ -65,6 +73,20 @@ def revenue_recent_first(
     )
 
 
+def revenue_between(
+    fact_order_sales: DataFrame,
+    dim_date: DataFrame,
+    dim_customer: DataFrame,
+    dim_product: DataFrame,
+    first: date,
+    last: date,
+) -> DataFrame:
+    """The same groups for orders of some days. Of a stored fact only the partitions of their years
+    are read: the years come from the calendar rows that the days leave, at run time."""
+    days = dim_date.where(F.col("calendar_date").between(F.lit(first), F.lit(last)))
+    return revenue_by_month_country_line(fact_order_sales, days, dim_customer, dim_product)
+
+
 def top_customers(
     fact_order_sales: DataFrame, dim_customer: DataFrame, k: int = TOP_CUSTOMERS
 ) -> DataFrame:

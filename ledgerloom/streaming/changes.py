@@ -8,8 +8,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.sync import latest_per_key, upsert
-from ledgerloom.sinks.warehouse import Warehouse
+from ledgerloom.operators.sync import BUCKETS, latest_per_key, touched_parts, upsert
+from ledgerloom.sinks.warehouse import BUCKET, Layout, Warehouse
 from ledgerloom.streaming.files import DELIVERY
 from ledgerloom.streaming.landing import Landing
 
@@ -30,7 +30,8 @@ def run_upserts(
     time and path of its file where the stream has these columns, else by its micro-batch. So
     the result does not depend on how files fall into micro-batches. Rows of one file that tie
     with different values raise, and nothing is published. A change older than what the table
-    holds does not count at all. The table is written anew once, not once per micro-batch.
+    holds does not count at all. Only the buckets that changes fall into are read and written anew, once per run, not once
+    per micro-batch.
     """
     landing = Landing(store, table, folder, keys)
     delivery = [c for c in DELIVERY if c in changes.columns]
@@ -48,5 +49,10 @@ def run_upserts(
             raise ValueError(f"changes of {table} with one key and order differ, such as {found}")
         latest = latest.drop(TIED, *delivery)
     now = F.lit(datetime.now(timezone.utc)).cast("timestamp")
-    held = store.paths([table])
-    landing.publish(upsert(store.read(table), latest, keys, now, order_by), last, held)
+    held = store.current([table])[table]
+    layout = Layout.by_bucket(keys, held.buckets or BUCKETS)
+    touched = touched_parts(held, latest, layout)
+    bronze = store.open(table, held, touched).drop(BUCKET)
+    rows = upsert(bronze, latest, keys, now, order_by)
+    written = store.stage_parts(landing.run_id(last), table, rows, layout, touched)
+    landing.publish(last, [written], {table: held.path})

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.operators.sync import latest_or_tied, latest_per_key
-from ledgerloom.sinks.warehouse import Warehouse
+from ledgerloom.sinks.warehouse import Warehouse, Written
 
 
 class Landing:
@@ -74,15 +74,17 @@ class Landing:
         rows = landed.where(F.col("batch_id") > self.applied())
         return rows, rows.agg(F.max("batch_id")).first()[0]
 
-    def settle(self, rows: DataFrame, through: int) -> DataFrame:
+    def settle(self, rows: DataFrame, through: int, step: str = "settled") -> DataFrame:
         """Write the rows about to be applied and read them back: they are used several times,
         and from here on a lost executor costs a read."""
-        path = f"{self.folder}/settled/through={through}"
+        path = f"{self.folder}/{step}/through={through}"
         rows.write.mode("overwrite").parquet(path)
-        return self.store.spark.read.parquet(path)
+        return self.store.spark.read.schema(rows.schema).parquet(path)
+
+    def run_id(self, through: int) -> str:
+        return f"{self.run_prefix}{through}"
 
     def publish(
-        self, rows: DataFrame, through: int, made_from: Mapping[str, str | None] | None = None
+        self, through: int, written: list[Written], made_from: Mapping[str, str | None] | None = None
     ) -> None:
-        run_id = f"{self.run_prefix}{through}"
-        self.store.publish(run_id, self.store.stage(run_id, {self.table: rows}), made_from)
+        self.store.publish(self.run_id(through), written, made_from)

@@ -471,6 +471,12 @@ def build() -> dict[str, str]:
             "sales",
             revenue=REVENUE_GROUPS,
         ),
+        "report_revenue_one_year": sql(
+            """SELECT * FROM revenue WHERE calendar_year = 1995
+               ORDER BY calendar_year, calendar_month, country, product_line""",
+            "sales",
+            revenue=REVENUE_GROUPS,
+        ),
         "report_top_customers": sql(
             """SELECT customer_name, country,
                       CAST(sum(gross_sales_amount) AS DECIMAL(22,2)) AS gross_revenue
@@ -516,6 +522,10 @@ def build() -> dict[str, str]:
         "sync_then_rebuild_fact": sql(
             REBUILT, "orderdetails", "sales_orders", "customers", "products"
         ),
+        "sync_then_refresh_fact": sql(
+            REBUILT, "orderdetails", "sales_orders", "customers", "products"
+        ),
+        "stream_payments_redelivered": sql(FACT_PAYMENTS, "paid", keys=murmur32(PAID_IDS)),
         "stream_fact_payments": sql(FACT_PAYMENTS, "paid", keys=murmur32(PAID_IDS)),
         "stream_then_build_payments": sql(FACT_PAYMENTS, "paid", keys=murmur32(PAID_IDS)),
         "stream_customer_upsert": sql("SELECT * FROM fed", "customers", fed=CHANGE_FEED),

@@ -67,7 +67,7 @@ def test_filters_reach_the_scan(sources):
 def test_report_reads_narrow_columns_of_the_stored_fact(spark):
     text = plan(registered.report_revenue_month_country_line(spark, SF_DIR))
     assert columns_read(text, "order_date_key") == {
-        "order_date_key", "customer_key", "product_key",
+        "order_date_key", "order_year", "part_run", "customer_key", "product_key",
         "quantity_ordered", "gross_sales_amount", "margin_amount",
     }
 

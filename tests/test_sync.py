@@ -157,9 +157,22 @@ def test_repeated_or_missing_keys_are_refused(spark, bad):
 
 def test_diff_refuses_repeated_keys(spark):
     twice = frame(spark, [OLD[0], OLD[0]])
-    for old, new in ((twice, frame(spark, NEW)), (frame(spark, OLD), twice)):
-        with pytest.raises(ValueError, match="repeated or NULL"):
-            sync.snapshot_diff(old, new, KEYS)
+    nameless = frame(spark, [(None, "a", "x", 1)])
+    for old, new in ((twice, frame(spark, NEW)), (frame(spark, OLD), twice), (nameless, twice)):
+        with pytest.raises(Exception, match="repeated or NULL"):
+            sync.snapshot_diff(old, new, KEYS).collect()
+
+
+def test_diff_is_one_job(spark):
+    """Keys are checked in the comparison's own shuffles; nothing runs before it."""
+    tracker = spark.sparkContext.statusTracker()
+    group = "diff-of-snapshots"
+    spark.sparkContext.setJobGroup(group, "")
+    diff = sync.snapshot_diff(frame(spark, OLD), frame(spark, NEW), KEYS)
+    assert list(tracker.getJobIdsForGroup(group)) == []
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_sync_tables_loads_then_merges_and_can_be_run_again(spark):
@@ -192,8 +205,8 @@ def test_sync_notices_an_overlapping_run(spark, monkeypatch):
     sync.sync_tables(store, {"t": frame(spark, OLD)}, {"t": KEYS}, day(1), "one")
     stage = store.stage
 
-    def stage_slowly(run_id, tables):
-        written = stage(run_id, tables)
+    def stage_slowly(run_id, tables, layouts=None):
+        written = stage(run_id, tables, layouts)
         other = Warehouse(spark, store.root)
         sync.sync_tables(other, {"t": frame(spark, NEW)}, {"t": KEYS}, day(2), "other")
         return written
