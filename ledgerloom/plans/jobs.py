@@ -50,7 +50,8 @@ def sync_sources(
 
 def bronze_sources(store: Warehouse, versions: Mapping[str, str]) -> dict[str, DataFrame]:
     """The live rows of bronze tables as they were at some versions."""
-    return {name: live(store.read(name, at=path).drop(BUCKET)) for name, path in versions.items()}
+    found = store.current(list(versions), at=versions)
+    return {name: live(store.open(name, found[name]).drop(BUCKET)) for name in versions}
 
 
 def build(

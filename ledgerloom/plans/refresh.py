@@ -19,7 +19,7 @@ from ledgerloom.operators.facts import ORDER_YEAR, fact_order_sales
 from ledgerloom.operators.sizing import broadcast_if_small
 from ledgerloom.operators.sync import live, snapshot_diff
 from ledgerloom.plans.warehouse import TABLES, layouts
-from ledgerloom.sinks.warehouse import BUCKET, Warehouse, Written
+from ledgerloom.sinks.warehouse import BUCKET, Current, Warehouse, Written
 
 FACT = "fact_order_sales"
 # What the fact reads of each table: its key, then the columns that matter.
@@ -44,25 +44,26 @@ def refreshable(store: Warehouse) -> bool:
     return store.exists(FACT) and set(TABLES[FACT].inputs) <= set(store.made_from(FACT))
 
 
-def changed_keys(store: Warehouse, name: str, since: str, until: str) -> DataFrame | None:
+def changed_keys(store: Warehouse, name: str, before: Current, after: Current) -> DataFrame | None:
     """Keys whose used columns differ between two versions of a bronze table; None without any new part."""
-    touched = store.touched(name, since)
-    if not touched or since == until:
+    touched = after.touched_since(before)
+    if not touched:
         return None
     columns = [*_KEYS[name], *_USED[name]]
-    before, after = (
-        live(store.read(name, values=touched, at=version).drop(BUCKET)).select(*columns)
-        for version in (since, until)
+    old, new = (
+        live(store.open(name, version, touched).drop(BUCKET)).select(*columns)
+        for version in (before, after)
     )
-    diff = snapshot_diff(before, after, _KEYS[name])
+    diff = snapshot_diff(old, new, _KEYS[name])
     return diff.where(F.col("change_type") != "unchanged").drop("change_type")
 
 
 def affected(
-    store: Warehouse, sources: Mapping[str, DataFrame], since: Mapping[str, str], until: Mapping[str, str], run_id: str
+    store: Warehouse, before: Mapping[str, Current], after: Mapping[str, Current], run_id: str
 ) -> tuple[DataFrame, DataFrame]:
     """Numbers of the orders and codes of the products whose lines may differ, as written tables."""
-    found = {n: changed_keys(store, n, since[n], until[n]) for n in TABLES[FACT].inputs}
+    sources = {n: live(store.open(n, version).drop(BUCKET)) for n, version in after.items()}
+    found = {n: changed_keys(store, n, before[n], after[n]) for n in after}
     written = store.stage(f"{run_id}-changes", {n: keys for n, keys in found.items() if keys is not None})
     changed = {w.name: store.read_written(w) for w in written}
     buyers = [changed["customers"]] if "customers" in changed else []
@@ -110,14 +111,17 @@ def refresh_order_sales(
     affected. Products are matched by their hashed key on both sides, so keys that collide are refreshed together.
     """
     names = TABLES[FACT].inputs
-    sources = {n: live(store.read(n, at=inputs[n]).drop(BUCKET)) for n in names}
-    orders, codes = affected(store, sources, store.made_from(FACT), inputs, run_id)
+    since = store.made_from(FACT)
+    before, after = (store.current(names, at={n: at[n] for n in names}) for at in (since, inputs))
+    sources = {n: live(store.open(n, after[n]).drop(BUCKET)) for n in names}
+    orders, codes = affected(store, before, after, run_id)
     products = codes.select(hash_key(F.col("product_code"), keys).alias("product_key")).distinct()
     # measured once; the hints then go with the frames
     orders, products = broadcast_if_small(orders), broadcast_if_small(products)
 
-    held = store.read(FACT)
-    gone = _of_either(held.select(ORDER_YEAR, "order_number", "product_key"), orders, products)
+    held = store.current([FACT])[FACT]
+    stored = store.open(FACT, held).select(ORDER_YEAR, "order_number", "product_key")
+    gone = _of_either(stored, orders, products)
 
     details = sources["orderdetails"].withColumn("product_key", hash_key(F.col("product_code"), keys))
     lines = _of_either(details, orders, products).drop("product_key")
@@ -130,5 +134,5 @@ def refresh_order_sales(
     # as many rows as the fact has years
     years = gone.select(ORDER_YEAR).unionByName(new.select(ORDER_YEAR)).distinct().collect()
     values = sorted(str(r[0]) for r in years)
-    kept = untouched(store.read(FACT, values=values), orders, products)
+    kept = untouched(store.open(FACT, held, values), orders, products)
     return store.stage_parts(run_id, FACT, kept.unionByName(new), layout, values)

@@ -71,6 +71,13 @@ class Current:
     buckets: int | None
     parts: dict[str, list[str]]
 
+    def touched_since(self, earlier: Current) -> list[str]:
+        """Partitions that have been written or emptied since; ``ALL`` stands for all of them."""
+        if (self.partition_column, self.buckets) != (earlier.partition_column, earlier.buckets):
+            return [ALL]
+        values = {*self.parts, *earlier.parts}
+        return sorted(v for v in values if self.parts.get(v) != earlier.parts.get(v))
+
 
 class Warehouse:
     """A folder of table versions and a list of the published ones.
@@ -262,11 +269,13 @@ class Warehouse:
         )
 
     def current(
-        self, names: Sequence[str], other_than_run: str | None = None, at: str | None = None
+        self,
+        names: Sequence[str],
+        other_than_run: str | None = None,
+        at: Mapping[str, str] | None = None,
     ) -> dict[str, Current]:
-        """Those of some tables that are there, as they are now, looked up at one moment.
-
-        A row for each partition reaches the driver.
+        """Those of some tables that are there, as they are now or were ``at`` versions, looked up
+        at one moment. A row for each partition reaches the driver.
         """
         found: dict[str, Current] = {}
         for r in self._live(self._versions_of(names, other_than_run, at)).collect():
@@ -289,26 +298,23 @@ class Warehouse:
         return dict.fromkeys(names) | {r["table_name"]: r["path"] for r in found}
 
     def _versions_of(
-        self, names: Sequence[str], other_than_run: str | None = None, at: str | None = None
+        self,
+        names: Sequence[str],
+        other_than_run: str | None = None,
+        at: Mapping[str, str] | None = None,
     ) -> DataFrame:
         versions = self.versions().where(F.col("table_name").isin(*names))
         if other_than_run is not None:
             versions = versions.where(F.col("run_id") != other_than_run)
         if at is not None:
             order = F.struct("published_at", "run_id")
-            then = versions.where(F.col("path") == at).select(order.alias("then"))
-            versions = versions.join(F.broadcast(then), order <= F.col("then")).drop("then")
+            then = versions.where(F.col("path").isin(*at.values())).select(
+                F.col("table_name").alias("then_name"), order.alias("then")
+            )
+            no_later = (F.col("table_name") == F.col("then_name")) & (order <= F.col("then"))
+            versions = versions.join(F.broadcast(then), no_later, "left_semi")
         return versions
 
-    def touched(self, name: str, since: str) -> list[str]:
-        """Partitions that runs after the version ``since`` wrote or emptied; ``ALL`` stands for all."""
-        order = F.struct("published_at", "run_id")
-        versions = self._versions_of([name])
-        then = versions.where(F.col("path") == since).select(order.alias("then"))
-        later = versions.join(F.broadcast(then), order > F.col("then"))
-        values = later.select(F.explode(F.array_union("replaced", F.map_keys("parts"))).alias("value")).distinct()
-        return sorted(r["value"] for r in values.collect())
-
     def made_from(self, name: str) -> dict[str, str]:
         """The versions of other tables that went into the current version (``inputs``)."""
         return self._last(name, "made_from") or {}
@@ -343,7 +349,8 @@ class Warehouse:
     ) -> DataFrame:
         """The current version, the newest that the given run did not write, or the table as it was
         ``at`` a version; of a table in partitions, those with the given values, or all."""
-        return self._open(name, self._known(name, self.current([name], other_than_run, at)), values)
+        found = self.current([name], other_than_run, None if at is None else {name: at})
+        return self._open(name, self._known(name, found), values)
 
     def open(self, name: str, table: Current, values: Iterable[str] | None = None) -> DataFrame:
         """A table as it was when it was looked up (``current``)."""

@@ -73,11 +73,13 @@ def test_parts_replace_and_add_up(spark, store):
 def test_touched_since_a_version(spark, store):
     layout = Layout("part", F.col("id") % 4)
     store.replace("one", {"t": spark.range(8)}, {"t": layout})
-    start = store.paths(["t"])["t"]
-    assert store.touched("t", start) == []
+    start = store.current(["t"])["t"]
+    assert start.touched_since(start) == []
     store.publish("two", [store.stage_parts("two", "t", spark.range(1, 2), layout, ["1", "3"])])
-    assert store.touched("t", start) == ["1", "3"]
-    assert store.touched("t", store.paths(["t"])["t"]) == []
+    assert store.current(["t"])["t"].touched_since(start) == ["1", "3"]
+    assert store.current(["t"], at={"t": start.path})["t"] == start
+    store.replace("three", {"t": spark.range(8)})
+    assert store.current(["t"])["t"].touched_since(start) == [ALL]
 
 
 def test_lists_of_older_versions_stay_readable(spark, store):
