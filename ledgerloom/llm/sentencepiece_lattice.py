@@ -39,20 +39,37 @@ SPACE_MARK = "▁"
 LEAST_SCORE = -1e8
 # Score of a character without a piece, below the least score, as in the public library.
 UNKNOWN_PENALTY = 10.0
-# Parts held in a worker's memory, and the longest of them; others are searched anew.
-CACHED_PARTS = 120_000
+# Parts held in a worker's memory, in two generations of half as many, and the longest of them; others are
+# searched anew.
+CACHED_PARTS = 300_000
 CACHED_LENGTH = 64
 
 PARTS = re.compile(r"\n| *[^ \n]+| +")
 
 
 class Firsts(dict):
-    """Best paths by part, found on demand; parts that end in a sign go by the part before it."""
+    """Best paths by part, found on demand; parts that end in a sign go by the part before it.
+
+    When the younger generation is full, it becomes the older one, whose parts are forgotten unless
+    they have come up again meanwhile.
+    """
 
     def __init__(self, pieces: Pieces) -> None:
         self.pieces = pieces
+        self.older: dict[str, tuple[bytes, float, float]] = {}
 
     def __missing__(self, part: str) -> tuple[bytes, float, float]:
+        held = self.older.get(part)
+        if held is None:
+            held = self._found(part)
+        if len(part) <= CACHED_LENGTH:
+            if len(self) >= CACHED_PARTS // 2:
+                self.older = dict(self)
+                self.clear()
+            self[part] = held
+        return held
+
+    def _found(self, part: str) -> tuple[bytes, float, float]:
         pairs, stop = self.pieces.pairs, len(part)
         if stop > 2 and part[-2:] not in pairs:  # a cut node: no piece crosses it
             stop -= 1
@@ -66,14 +83,8 @@ class Firsts(dict):
                 score += more
                 if loss < least:
                     least = loss
-            held = (b"".join(ids), score, least)
-        else:
-            held = self.pieces.first(part)
-        if len(part) <= CACHED_LENGTH:
-            if len(self) >= CACHED_PARTS:
-                self.clear()
-            self[part] = held
-        return held
+            return b"".join(ids), score, least
+        return self.pieces.first(part)
 
 
 @dataclass
@@ -188,13 +199,13 @@ class Pieces:
         The best path that is not expanded yet leaves the best one at some node, by that node's
         second best edge; so the smallest such loss on the way back is the second best's.
         """
-        n, longest = len(part), self.longest
+        n, longest, trie, known = len(part), self.longest, self.trie, self.of_text
         best, second, back = [-inf] * (n + 1), [-inf] * (n + 1), [None] * (n + 1)
         best[0] = 0.0
         for start in range(n):
             base, at = best[start], start + 1
-            kids = self.trie
-            if part[start] not in self.of_text:  # no piece for this character alone
+            kids = trie
+            if part[start] not in known:  # no piece for this character alone
                 ids = [self.byte_ids[b] for b in part[start].encode()]
                 total = base + self.unknown
                 if total > best[at]:
