@@ -25,6 +25,7 @@ from functools import lru_cache
 from itertools import accumulate
 from math import inf
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -99,18 +100,16 @@ class Pieces:
     pairs: set[str]
     best: Firsts = field(init=False)
     paths: dict[str, list] = field(default_factory=dict)
-    trie: dict = field(init=False)
+    signs: set[str] = field(init=False)  # those with a piece of their own
+    matches: ahocorasick.Automaton = field(init=False)  # signs before the last one, score, id
 
     def __post_init__(self) -> None:
         self.best = Firsts(self)
-        nodes: dict[str, list] = {"": [{}, 0.0, None]}
-        for text in sorted(self.of_text):
-            for k in range(len(text)):
-                if text[: k + 1] not in nodes:
-                    nodes[text[: k + 1]] = [{}, 0.0, None]
-                    nodes[text[:k]][0][text[k]] = nodes[text[: k + 1]]
-            nodes[text][1:] = [self.of_text[text][1], self.of_text[text][2]]
-        self.trie = nodes[""][0]
+        self.signs = {t for t in self.of_text if len(t) == 1}
+        self.matches = ahocorasick.Automaton()
+        for text, (_, score, own) in self.of_text.items():
+            self.matches.add_word(text, (len(text) - 1, score, own))
+        self.matches.make_automaton()
 
     @staticmethod
     def load(model: bytes) -> Pieces:
@@ -199,45 +198,38 @@ class Pieces:
         The best path that is not expanded yet leaves the best one at some node, by that node's
         second best edge; so the smallest such loss on the way back is the second best's.
         """
-        n, longest, trie, known = len(part), self.longest, self.trie, self.of_text
-        best, second, back = [-inf] * (n + 1), [-inf] * (n + 1), [None] * (n + 1)
+        n = len(part)
+        best, second = [-inf] * (n + 1), [-inf] * (n + 1)
+        back, came = [0] * (n + 1), [b""] * (n + 1)
         best[0] = 0.0
-        for start in range(n):
-            base, at = best[start], start + 1
-            kids = trie
-            if part[start] not in known:  # no piece for this character alone
-                ids = [self.byte_ids[b] for b in part[start].encode()]
-                total = base + self.unknown
-                if total > best[at]:
-                    second[at] = best[at]
-                    best[at] = total
-                    back[at] = (start, np.array(ids, np.int32).tobytes())
-                elif total > second[at]:
-                    second[at] = total
-            for sign in part[start : start + longest]:
-                hit = kids.get(sign)
-                if hit is None:
-                    break
-                kids, score, own = hit
-                if own is not None:
-                    total = base + score
-                    if total > best[at]:
-                        second[at] = best[at]
-                        best[at] = total
-                        back[at] = (start, own)
-                    elif total > second[at]:
-                        second[at] = total
-                at += 1
+        # edges by their last sign, longest first: the best path to where they start is known by then
+        known = self.signs.issuperset(part)
+        for end, (before, score, own) in self.matches.iter(part) if known else self._with_unknown(part):
+            start = end - before
+            end += 1
+            total = best[start] + score
+            if total > best[end]:
+                second[end] = best[end]
+                best[end], back[end], came[end] = total, start, own
+            elif total > second[end]:
+                second[end] = total
         ids, least, node = [], inf, n
         while node:
             less = best[node] - second[node]
             if less < least:
                 least = less
-            node, own = back[node]
-            ids.append(own)
+            ids.append(came[node])
+            node = back[node]
         ids.reverse()
         return b"".join(ids), best[n], least
 
+    def _with_unknown(self, part: str):
+        """Edges like ``matches`` gives them, and those of signs without a piece."""
+        _, into = self.edges(part)
+        for end, edges in enumerate(into):
+            for start, score, ids in edges:
+                yield end - 1, (end - 1 - start, score, np.array(ids, np.int32).tobytes())
+
     def n_best(self, part: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         held = self.paths.get(part)
         if held is None or held[0] < n:
@@ -335,7 +327,7 @@ def _encode(model, n: int):
                 own, found = pieces.encode(text, n)
                 ids.append(own)
                 listed = np.frombuffer(own, np.int32).tolist()
-                whole = b"".join([raw[i] for i in listed])
+                whole = b"".join(map(raw.__getitem__, listed))
                 good = whole[1:] == text.encode()
                 out = []
                 for score, edits in found:
