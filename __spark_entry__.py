@@ -20,6 +20,7 @@ from ledgerloom.functions import (  # noqa: E402
     gross_amount,
     hash_key,
     margin_amount,
+    nullable_hash_key,
 )
 from ledgerloom.operators import audit, dimensions, facts, sync  # noqa: E402
 from ledgerloom.plans import jobs, reports, warehouse  # noqa: E402
@@ -154,6 +155,16 @@ def _order_keys(scheme: KeyScheme) -> Query:
     return query
 
 
+def hash_key_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of a text column, as the products of a database have them, in both schemes."""
+    line = F.col("product_line")
+    return retail.products(spark, sf_dir).select(
+        "product_code",
+        nullable_hash_key(line, KeyScheme.MURMUR32).alias("narrow_key"),
+        nullable_hash_key(line, KeyScheme.XXHASH64).alias("wide_key"),
+    )
+
+
 # --- the written warehouse -----------------------------------------------------------------
 
 _built: dict[tuple[str, str, str], Warehouse] = {}
@@ -516,6 +527,7 @@ _QUERIES: dict[str, Query] = {
     "scalar_line_amounts": scalar_line_amounts,
     "hash_key_murmur": _order_keys(KeyScheme.MURMUR32),
     "hash_key_wide": _order_keys(KeyScheme.XXHASH64),
+    "hash_key_text": hash_key_text,
     "report_revenue_month_country_line": report_revenue_month_country_line,
     "report_revenue_recent_first": report_revenue_recent_first,
     "report_revenue_one_year": report_revenue_one_year,

@@ -158,6 +158,75 @@ def xxhash64(ids: str) -> str:
               FROM (SELECT DISTINCT id FROM ({ids}) WHERE id IS NOT NULL))"""
 
 
+def _little(at: str, size: int) -> str:
+    """The number in ``size`` bytes of a hexadecimal text, the first byte being the lowest."""
+    digits = " || ".join(f"substr(digits, 2 * ({at}) + {2 * k + 1}, 2)" for k in reversed(range(size)))
+    return f"CAST(CAST('0x' || {digits} AS UBIGINT) AS UHUGEINT)"
+
+
+def murmur32_text(texts: str) -> str:
+    """Absolute Murmur3 of the UTF-8 bytes of texts (seed 42), as id and key.
+
+    Words of four bytes, then every byte left over as a signed number of its own.
+    """
+    last = _little("place", 1)
+    return f"""
+        WITH RECURSIVE steps AS (
+          SELECT id, hex(id) AS digits, length(hex(id)) // 2 AS n, 0 AS place, CAST(42 AS UHUGEINT) AS h
+          FROM (SELECT DISTINCT id FROM ({texts}) WHERE id IS NOT NULL)
+          UNION ALL
+          SELECT id, digits, n, place + taken, ((((d << 13) & {M32}) | (d >> 19)) * 5 + 3864292196) & {M32}
+          FROM (SELECT *, xor(h, (b * 461845907) & {M32}) AS d
+                FROM (SELECT *, ((a << 15) & {M32}) | (a >> 17) AS b
+                      FROM (SELECT *, (word * 3432918353) & {M32} AS a
+                            FROM (SELECT *, CASE WHEN n - place >= 4 THEN 4 ELSE 1 END AS taken,
+                                    CASE WHEN n - place >= 4 THEN {_little("place", 4)}
+                                         WHEN {last} >= 128 THEN {last} + 4294967040 ELSE {last} END AS word
+                                  FROM steps WHERE place < n)))))
+        SELECT id, abs(CASE WHEN f >= 2147483648 THEN CAST(f AS BIGINT) - 4294967296 ELSE CAST(f AS BIGINT) END) AS key
+        FROM (SELECT id, xor(h, CAST(n AS UHUGEINT)) AS f0, (xor(f0, f0 >> 16) * 2246822507) & {M32} AS f1,
+                     (xor(f1, f1 >> 13) * 3266489909) & {M32} AS f2, xor(f2, f2 >> 16) AS f
+              FROM steps WHERE place = n)"""
+
+
+def xxhash64_text(texts: str) -> str:
+    """64-bit xxHash of the UTF-8 bytes of texts of fewer than 32 bytes (seed 42), as id and key."""
+    p1, p2, p3 = "11400714785074694791", "14029467366897019727", "1609587929392839161"
+    p4, p5 = "9650029242287828579", "2870177450012600261"
+
+    def u(n: str) -> str:
+        return f"CAST({n} AS UHUGEINT)"
+
+    def turned(x: str, by: int) -> str:
+        return f"((({x} << {by}) & {u(M64)}) | ({x} >> {64 - by}))"
+
+    def times(x: str, by: str) -> str:
+        # a product of two 64-bit numbers fits in 128 bits
+        return f"(({x} * {u(by)}) & {u(M64)})"
+
+    return f"""
+        WITH RECURSIVE steps AS (
+          SELECT id, hex(id) AS digits, length(hex(id)) // 2 AS n, 0 AS place,
+                 ({u('42')} + {u(p5)} + CAST(length(hex(id)) // 2 AS UHUGEINT)) & {u(M64)} AS h
+          FROM (SELECT DISTINCT id FROM ({texts}) WHERE id IS NOT NULL)
+          UNION ALL
+          SELECT id, digits, n, place + taken,
+            CASE taken WHEN 8 THEN ({times(turned("x", 27), p1)} + {u(p4)}) & {u(M64)}
+                       WHEN 4 THEN ({times(turned("x", 23), p2)} + {u(p3)}) & {u(M64)}
+                       ELSE {times(turned("x", 11), p1)} END
+          FROM (SELECT *, CASE taken WHEN 8 THEN xor(h, {times(turned(times("word", p2), 31), p1)})
+                            WHEN 4 THEN xor(h, {times("word", p1)}) ELSE xor(h, {times("word", p5)}) END AS x
+                FROM (SELECT *, CASE taken WHEN 8 THEN {_little("place", 8)} WHEN 4 THEN {_little("place", 4)}
+                                ELSE {_little("place", 1)} END AS word
+                      FROM (SELECT *, CASE WHEN n - place >= 8 THEN 8 WHEN n - place >= 4 THEN 4 ELSE 1 END AS taken
+                            FROM steps WHERE place < n))))
+        SELECT id, CAST(CASE WHEN f >= {u('9223372036854775808')} THEN CAST(f AS HUGEINT) - 18446744073709551616
+                             ELSE CAST(f AS HUGEINT) END AS BIGINT) AS key
+        FROM (SELECT id, xor(h, h >> 33) AS f0, {times("f0", p2)} AS f1, xor(f1, f1 >> 29) AS f2,
+                     {times("f2", p3)} AS f3, xor(f3, f3 >> 32) AS f
+              FROM steps WHERE place = n)"""
+
+
 NO_TEXT = "CAST(NULL AS VARCHAR)"
 
 DIM_CUSTOMER = f"""
@@ -459,6 +528,12 @@ def build() -> dict[str, str]:
             "SELECT id AS order_number, key AS order_key FROM keys",
             keys=xxhash64("SELECT o_orderkey AS id FROM orders"),
         ),
+        "hash_key_text": sql(
+            """SELECT p_partkey AS product_code, m.key AS narrow_key, x.key AS wide_key
+               FROM part LEFT JOIN narrow m ON m.id = p_type LEFT JOIN wide x ON x.id = p_type""",
+            narrow=murmur32_text("SELECT p_type AS id FROM part"),
+            wide=xxhash64_text("SELECT p_type AS id FROM part"),
+        ),
         "report_revenue_month_country_line": sql(
             """SELECT * FROM revenue
                ORDER BY calendar_year, calendar_month, country, product_line""",

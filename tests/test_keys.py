@@ -1,5 +1,7 @@
+import random
 from datetime import date
 
+import xxhash
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import KeyScheme, date_key, hash_key, nullable_hash_key
@@ -14,10 +16,62 @@ def test_murmur_keys_have_their_published_values(spark):
     assert keys.dtypes == [("key", "bigint")]
 
 
-def test_murmur_key_survives_the_smallest_hash(spark):
-    # The absolute value of the smallest 32-bit number needs 64 bits.
-    value = spark.range(1).select(F.abs(F.lit(-(2**31)).cast("int").cast("bigint"))).first()[0]
-    assert value == 2**31
+M32, M64 = (1 << 32) - 1, (1 << 64) - 1
+
+
+def plain_murmur(data: bytes) -> int:
+    """Murmur3 over words of four bytes, then over each byte left as a signed number; absolute."""
+
+    def turned(x, by):
+        return ((x << by) | (x >> (32 - by))) & M32
+
+    whole = len(data) // 4 * 4
+    words = [int.from_bytes(data[i : i + 4], "little") for i in range(0, whole, 4)]
+    words += [b - 256 if b > 127 else b for b in data[whole:]]
+    h = 42
+    for word in words:
+        h ^= turned(word * 0xCC9E2D51 & M32, 15) * 0x1B873593 & M32
+        h = (turned(h, 13) * 5 + 0xE6546B64) & M32
+    h ^= len(data)
+    h = (h ^ (h >> 16)) * 0x85EBCA6B & M32
+    h = (h ^ (h >> 13)) * 0xC2B2AE35 & M32
+    h ^= h >> 16
+    return abs(h - (1 << 32) if h >> 31 else h)
+
+
+def texts():
+    shuffled = random.Random(6)
+    signs = "abcXYZ0189_- é߀語🙂"
+    return ["", "S10_1678", "1", *("".join(shuffled.choices(signs, k=n)) for n in range(90) for _ in range(2))]
+
+
+def test_text_keys_equal_independent_hashes(spark):
+    """Keys of UTF-8 texts of any length, and of 32-bit numbers, as the sources have them."""
+    rows = spark.createDataFrame([(t,) for t in texts()], "t string").select(
+        "t", *(hash_key(F.col("t"), s).alias(s.value) for s in KeyScheme)
+    )
+    for row in rows.collect():
+        data = row.t.encode()
+        assert row.murmur32 == plain_murmur(data), row.t
+        wide = xxhash.xxh64_intdigest(data, 42)
+        assert row.xxhash64 == (wide - (1 << 64) if wide >> 63 else wide), row.t
+    numbers = [0, 1, 103, -1, 2**31 - 1, -(2**31)]
+    rows = spark.createDataFrame([(n,) for n in numbers], "n int").select(
+        "n", *(hash_key(F.col("n"), s).alias(s.value) for s in KeyScheme)
+    )
+    for row in rows.collect():
+        data = row.n.to_bytes(4, "little", signed=True)
+        assert row.murmur32 == plain_murmur(data)
+        wide = xxhash.xxh64_intdigest(data, 42)
+        assert row.xxhash64 == (wide - (1 << 64) if wide >> 63 else wide)
+
+
+def test_murmur_key_of_the_smallest_hash(spark):
+    """The absolute value of the smallest 32-bit number needs 64 bits."""
+    row = spark.range(1957873941, 1957873942).select(
+        F.hash("id").alias("hashed"), hash_key(F.col("id"), KeyScheme.MURMUR32).alias("key")
+    ).first()
+    assert (row.hashed, row.key) == (-(2**31), 2**31)
 
 
 def test_key_depends_on_type(spark):
