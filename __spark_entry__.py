@@ -7,7 +7,6 @@ import sys
 from collections.abc import Callable
 from datetime import date, datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +25,9 @@ from ledgerloom.operators import audit, dimensions, facts, sync  # noqa: E402
 from ledgerloom.plans import jobs, reports, warehouse  # noqa: E402
 from ledgerloom.plans.refresh import FACT, refresh_order_sales  # noqa: E402
 from ledgerloom.session import (  # noqa: E402
-    fit_shuffles,
+    fingerprint,
     new_folder,
+    scoped_session,
     shared_folder,
     stored_bytes,
 )
@@ -167,7 +167,7 @@ def hash_key_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- the written warehouse -----------------------------------------------------------------
 
-_built: dict[tuple[str, str, str], Warehouse] = {}
+_built: dict[tuple[str, str, str, int], str] = {}
 
 
 def _build(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -179,16 +179,12 @@ def _build(spark: SparkSession, sf_dir: str) -> Warehouse:
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse of these tables: written once per application, then read."""
-    key = (spark.sparkContext.applicationId, shared_folder(spark), sf_dir)
-    if key in _built:
-        try:
-            if _built[key].exists("fact_order_sales"):
-                return _built[key]
-        except AnalysisException:
-            pass  # the shared folder was cleared in between
-    _built[key] = _build(spark, sf_dir)
-    return _built[key]
+    """The warehouse of these tables: written once per application for the files they have now."""
+    files = fingerprint(spark, *retail.raw_paths(sf_dir))
+    key = (spark.sparkContext.applicationId, shared_folder(spark), sf_dir, files)
+    if key not in _built:
+        _built[key] = _build(spark, sf_dir).root
+    return Warehouse(spark, _built[key])
 
 
 def _stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -493,26 +489,35 @@ def sync_columns(bronze: DataFrame, loaded_at: Column) -> DataFrame:
 _input_bytes: dict[tuple[str, str], int] = {}
 
 
-def _fitted(query: Query) -> Query:
-    """The query, run with shuffles sized for its tables; they are listed once."""
+def _fitted(query: Query, paths: Callable[[str], list[str]]) -> Query:
+    """The query, run in a session of its own with shuffles sized for its tables; they are listed once."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, sf_dir)
+        tables = paths(sf_dir)
+        key = (spark.sparkContext.applicationId, ",".join(tables))
         if key not in _input_bytes:
-            _input_bytes[key] = stored_bytes(spark, *retail.raw_paths(sf_dir))
-        fit_shuffles(spark, _input_bytes[key])
-        return query(spark, sf_dir)
+            _input_bytes[key] = stored_bytes(spark, *tables)
+        return query(scoped_session(spark, _input_bytes[key]), sf_dir)
 
     return run
 
 
+# The tables that the corpus queries read.
+CORPUS_TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+
+def _corpus_paths(sf_dir: str) -> list[str]:
+    return [f"{sf_dir}/{name}.parquet" for name in CORPUS_TABLES]
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Revenue by month, country and product line."""
     return queries()["report_revenue_month_country_line"](spark, SMOKE_DIR)
 
 
 def queries() -> dict[str, Query]:
-    return {name: _fitted(query) for name, query in _QUERIES.items()} | LLM_QUERIES
+    own = {name: _fitted(query, retail.raw_paths) for name, query in _QUERIES.items()}
+    return own | {name: _fitted(query, _corpus_paths) for name, query in LLM_QUERIES.items()}
 
 
 _QUERIES: dict[str, Query] = {

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from ledgerloom.functions import KeyScheme
 from ledgerloom.plans import jobs
-from ledgerloom.session import fit_shuffles, stored_bytes
+from ledgerloom.session import bucket_count, scoped_session, stored_bytes
 from ledgerloom.sinks.jdbc import CONNECTIONS
 from ledgerloom.sinks.warehouse import Warehouse
 from ledgerloom.sources import SOURCES, files, jdbc
@@ -30,6 +30,9 @@ def _arguments() -> argparse.Namespace:
     build.add_argument(
         "--keys", choices=[k.name.lower() for k in KeyScheme], default=KeyScheme.XXHASH64.name.lower()
     )
+    build.add_argument(
+        "--whole", action="store_true", help="join all sales lines again, not only the changed ones"
+    )
     build.add_argument("--no-verify", action="store_true", help="skip the checks after the build")
     feed = commands.add_parser("feed")
     feed.add_argument("--table", required=True, choices=sorted(SOURCES))
@@ -44,28 +47,28 @@ def _arguments() -> argparse.Namespace:
 
 def main() -> None:
     arguments = _arguments()
-    builder = SparkSession.builder.appName(f"ledgerloom-{arguments.command}")
-    spark = builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    store = Warehouse(spark, arguments.warehouse)
+    spark = SparkSession.builder.appName(f"ledgerloom-{arguments.command}").getOrCreate()
     if arguments.command == "build":
         moment = datetime.now(timezone.utc)
         run_id = jobs.new_run_id(moment)
+        size = stored_bytes(spark, arguments.source_folder) if arguments.source_folder else 0
+        spark = scoped_session(spark, size)
+        store = Warehouse(spark, arguments.warehouse)
         if arguments.source_folder:
-            fit_shuffles(spark, stored_bytes(spark, arguments.source_folder))
             snapshots = files.load_sources(spark, arguments.source_folder)
         else:
             snapshots = jdbc.load_sources(
                 spark, jdbc.mysql_endpoint(), arguments.read_partitions, "CRC32({column})"
             )
-        sources = jobs.sync_sources(store, snapshots, f"{run_id}-sync", moment)
-        counts = jobs.build(
-            store,
-            sources,
-            f"{run_id}-build",
-            moment,
-            KeyScheme[arguments.keys.upper()],
-            verify=not arguments.no_verify,
-        )
+        landed = jobs.land(store, snapshots, f"{run_id}-sync")
+        # a database can't be listed; what was read of it can
+        size = size or stored_bytes(spark, *store.paths(list(landed.values())).values())
+        spark = scoped_session(spark, size)
+        store = Warehouse(spark, arguments.warehouse)
+        jobs.sync_landed(store, landed, f"{run_id}-sync", moment, bucket_count(size))
+        run = jobs.build_from_bronze if arguments.whole else jobs.refresh
+        keys = KeyScheme[arguments.keys.upper()]
+        counts = run(store, f"{run_id}-build", moment, keys, verify=not arguments.no_verify)
         if arguments.database_schema:
             jobs.copy_to_database(
                 spark,
@@ -77,21 +80,23 @@ def main() -> None:
         for name, rows in counts.items():
             print(f"{name}: {rows} rows")
     elif arguments.command == "feed":
-        fit_shuffles(spark, stored_bytes(spark, arguments.files))
+        spark = scoped_session(spark, stored_bytes(spark, arguments.files))
+        store = Warehouse(spark, arguments.warehouse)
         if arguments.table == "payments":
             jobs.feed_payments(store, arguments.files, datetime.now(timezone.utc))
         else:
             jobs.feed_changes(store, arguments.table, arguments.files, arguments.order_by)
     else:
+        store = Warehouse(spark, arguments.warehouse)
         current = [r["path"] for r in store.tables().select("path").collect()]
-        if current:
-            fit_shuffles(spark, stored_bytes(spark, *current))
+        spark = scoped_session(spark, stored_bytes(spark, *current) if current else 0)
+        store = Warehouse(spark, arguments.warehouse)
         revenue = jobs.revenue_report(store)
         if arguments.output:
             revenue.write.parquet(arguments.output)
             revenue = spark.read.parquet(arguments.output)
         total = revenue.count()
-        shown = total if arguments.rows is None else min(arguments.rows, total)
+        shown = min(arguments.rows, total)
         print(f"Revenue per month, country and product line: {shown} of {total} rows")
         revenue.show(shown, truncate=False)
         print(f"The {arguments.top} customers with the highest revenue")

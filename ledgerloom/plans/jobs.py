@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.functions import KeyScheme
 from ledgerloom.operators.sync import BUCKETS, live, sync_tables
 from ledgerloom.plans import reports, warehouse
-from ledgerloom.plans.refresh import FACT, refresh_order_sales, refreshable
+from ledgerloom.plans.refresh import FACT, inputs_with_scheme, refresh_order_sales, refreshable
 from ledgerloom.sinks.jdbc import CONNECTIONS, ensure_schema, register_catalog, replace_table
 from ledgerloom.sinks.warehouse import BUCKET, Warehouse
 from ledgerloom.sources import SOURCES, conform
@@ -22,6 +22,29 @@ from ledgerloom.streaming.payments import PaymentsFeed
 CATALOG = "ledgerloom_target"
 
 
+def land(store: Warehouse, snapshots: Mapping[str, DataFrame], run_id: str) -> dict[str, str]:
+    """Read each source once and write it down; gives the landed table of each source."""
+    landed = {name: f"landed_{name}" for name in snapshots}
+    store.replace(f"{run_id}-landing", {landed[name]: df for name, df in snapshots.items()})
+    return landed
+
+
+def sync_landed(
+    store: Warehouse, landed: Mapping[str, str], run_id: str, moment: datetime, buckets: int = BUCKETS
+) -> dict[str, DataFrame]:
+    """Bring the bronze tables in step with landed snapshots, give their live rows."""
+    current = store.read_all(*landed.values())
+    sync_tables(
+        store,
+        {name: current[table] for name, table in landed.items()},
+        {name: SOURCES[name].primary_key for name in landed},
+        warehouse.load_time(moment),
+        run_id,
+        buckets,
+    )
+    return bronze_sources(store, store.paths(list(landed)))
+
+
 def sync_sources(
     store: Warehouse,
     snapshots: Mapping[str, DataFrame],
@@ -34,18 +57,7 @@ def sync_sources(
     Landing reads each source once; the key check and the merge then read the landed files, so
     they see the same rows even while the source changes.
     """
-    landed = {f"landed_{name}": df for name, df in snapshots.items()}
-    store.replace(f"{run_id}-landing", landed)
-    current = store.read_all(*landed)
-    sync_tables(
-        store,
-        {name: current[f"landed_{name}"] for name in snapshots},
-        {name: SOURCES[name].primary_key for name in snapshots},
-        warehouse.load_time(moment),
-        run_id,
-        buckets,
-    )
-    return bronze_sources(store, store.paths(list(snapshots)))
+    return sync_landed(store, land(store, snapshots, run_id), run_id, moment, buckets)
 
 
 def bronze_sources(store: Warehouse, versions: Mapping[str, str]) -> dict[str, DataFrame]:
@@ -76,7 +88,19 @@ def build(
     if verify:
         stored = {w.name: store.read_written(w) for w in written}
         warehouse.verify(sources, stored)
-    return store.publish(run_id, written, held, inputs)
+    return store.publish(run_id, written, held, inputs and inputs_with_scheme(inputs, keys))
+
+
+def build_from_bronze(
+    store: Warehouse,
+    run_id: str,
+    moment: datetime,
+    keys: KeyScheme = KeyScheme.XXHASH64,
+    verify: bool = True,
+) -> dict[str, int]:
+    """Write all warehouse tables from the bronze tables as they are now."""
+    inputs = store.paths(list(SOURCES))
+    return build(store, bronze_sources(store, inputs), run_id, moment, keys, verify, inputs)
 
 
 def refresh(
@@ -89,12 +113,12 @@ def refresh(
     """Bring the warehouse in step with its bronze tables, doing no more to the sales fact than they changed.
 
     The sales fact is refreshed by ``refresh_order_sales``, all other tables are built anew. Without a sales
-    fact whose bronze versions are known this is a full build. Gives the rows written.
+    fact of this key scheme whose bronze versions are known this is a full build. Gives the rows written.
     """
+    if not refreshable(store, keys):
+        return build_from_bronze(store, run_id, moment, keys, verify)
     inputs = store.paths(list(SOURCES))
     sources = bronze_sources(store, inputs)
-    if not refreshable(store):
-        return build(store, sources, run_id, moment, keys, verify, inputs)
     held = store.paths(list(warehouse.TABLES), other_than_run=run_id)
     loaded_at = warehouse.load_time(moment)
     others = {n: warehouse.build_table(n, sources, loaded_at, keys) for n in warehouse.TABLES if n != FACT}
@@ -103,7 +127,7 @@ def refresh(
     if verify:
         stored = {w.name: store.read_written(w) for w in written} | {FACT: store.read_with(refreshed)}
         warehouse.verify(sources, stored, recount=False)
-    return store.publish(run_id, [*written, refreshed], held, inputs)
+    return store.publish(run_id, [*written, refreshed], held, inputs_with_scheme(inputs, keys))
 
 
 def copy_to_database(

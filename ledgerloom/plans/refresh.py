@@ -22,6 +22,7 @@ from ledgerloom.plans.warehouse import TABLES, layouts
 from ledgerloom.sinks.warehouse import BUCKET, Current, Warehouse, Written
 
 FACT = "fact_order_sales"
+SCHEME = "key_scheme"
 # What the fact reads of each table: its key, then the columns that matter.
 _KEYS = {
     "orderdetails": ("order_number", "product_code"),
@@ -39,9 +40,17 @@ _USED = {
 }
 
 
-def refreshable(store: Warehouse) -> bool:
-    """Whether there is a sales fact that is known to be made from bronze versions."""
-    return store.exists(FACT) and set(TABLES[FACT].inputs) <= set(store.made_from(FACT))
+def inputs_with_scheme(inputs: Mapping[str, str], keys: KeyScheme) -> dict[str, str]:
+    """What a build leaves for a refresh: the bronze versions and the key scheme."""
+    return {**inputs, SCHEME: keys.value}
+
+
+def refreshable(store: Warehouse, keys: KeyScheme = KeyScheme.XXHASH64) -> bool:
+    """Whether there is a sales fact that is known to be made from bronze versions, with these keys."""
+    if not store.exists(FACT):
+        return False
+    made_from = store.made_from(FACT)
+    return set(TABLES[FACT].inputs) <= set(made_from) and made_from.get(SCHEME) == keys.value
 
 
 def changed_keys(store: Warehouse, name: str, before: Current, after: Current) -> DataFrame | None:

@@ -9,6 +9,7 @@ import samples
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
+from ledgerloom.functions import KeyScheme
 from ledgerloom.operators import sync
 from ledgerloom.operators.facts import ORDER_YEAR
 from ledgerloom.plans import jobs, refresh, reports, warehouse
@@ -273,6 +274,7 @@ def test_refresh_equals_a_full_build(spark, store):
         assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
         if not tables:
             assert before == after
+    assert refresh.refreshable(store) and not refresh.refreshable(store, KeyScheme.MURMUR32)
 
 
 def test_untouched_lines_are_copied_and_other_years_stay(spark, store):

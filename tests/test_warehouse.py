@@ -4,15 +4,21 @@ import pytest
 import samples
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registered
 from ledgerloom.plans import jobs, warehouse
 from ledgerloom.session import (
     INITIAL_PARTITIONS,
     PARTITION_BYTES,
     SCAN_BYTES,
     SHUFFLE_PARTITIONS,
+    TIME_ZONE,
+    Ceilings,
+    bucket_count,
+    fingerprint,
     fit_shuffles,
     new_folder,
     recommended_options,
+    scoped_session,
     shared_folder,
     stored_bytes,
 )
@@ -192,6 +198,39 @@ def test_running_session_is_fitted_to_the_input(spark, options):
     assert int(spark.conf.get(SCAN_BYTES)) > PARTITION_BYTES
 
 
+def test_a_job_has_its_own_sizes_and_leaves_the_callers(spark, options):
+    options(**{INITIAL_PARTITIONS: "8", "spark.sql.ansi.enabled": "true", TIME_ZONE: "Asia/Tokyo"})
+    before = dict(spark.conf.getAll)
+    job = scoped_session(spark, 500 * PARTITION_BYTES)
+    assert job.conf.get(INITIAL_PARTITIONS) == "500" and job.conf.get(TIME_ZONE) == "UTC"
+    assert job.conf.get("spark.sql.ansi.enabled") == "true"
+    assert shared_folder(job) == shared_folder(spark)
+    small = Ceilings(partition_bytes=1000, shuffle_partitions=7, scan_task_bytes=5000)
+    job = scoped_session(spark, 10**6, small)
+    assert job.conf.get(INITIAL_PARTITIONS) == "8"  # never below what the caller has
+    assert scoped_session(spark, 10**6, Ceilings(partition_bytes=1000, shuffle_partitions=70)).conf.get(
+        INITIAL_PARTITIONS
+    ) == "70"
+    assert dict(spark.conf.getAll) == before
+    assert bucket_count(1) == 16 and bucket_count(10**14) == 20_000
+
+
+def test_queries_leave_the_session_as_it_was(spark):
+    before = dict(spark.conf.getAll)
+    registered.queries()["src_sql_view"](spark, registered.SMOKE_DIR).collect()
+    assert dict(spark.conf.getAll) == before
+    assert "ledgerloom_orders" not in [t.name for t in spark.catalog.listTables()]
+
+
+def test_fingerprint_follows_the_files(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    assert fingerprint(spark, f"{tmp_path}/a") == 0
+    (tmp_path / "a" / "x").write_bytes(b"1")
+    one = fingerprint(spark, f"{tmp_path}/a")
+    (tmp_path / "a" / "x").write_bytes(b"12")
+    assert len({0, one, fingerprint(spark, f"{tmp_path}/a")}) == 3
+
+
 def test_stored_bytes_counts_files_and_folders(spark, tmp_path):
     (tmp_path / "a" / "b").mkdir(parents=True)
     (tmp_path / "a" / "b" / "x.parquet").write_bytes(b"12345")
