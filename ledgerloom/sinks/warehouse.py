@@ -95,10 +95,10 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         # An empty list makes the folder a warehouse; an existing one stays as it is.
-        spark.createDataFrame([], PUBLISHED).write.mode("ignore").parquet(self._list_path)
+        spark.createDataFrame([], PUBLISHED).write.mode("ignore").parquet(self.list_path)
 
     @property
-    def _list_path(self) -> str:
+    def list_path(self) -> str:
         return f"{self.root}/published"
 
     # --- writing ---------------------------------------------------------------------------
@@ -199,7 +199,7 @@ class Warehouse:
             for w in written
         ]
         self.spark.createDataFrame(rows, PUBLISHED).coalesce(1).write.mode("append").parquet(
-            self._list_path
+            self.list_path
         )
         return {w.name: w.rows for w in written}
 
@@ -215,7 +215,7 @@ class Warehouse:
 
     def versions(self) -> DataFrame:
         """Every published version of every table. What a run publishes again takes its former place."""
-        listed = self.spark.read.schema(PUBLISHED).parquet(self._list_path)
+        listed = self.spark.read.schema(PUBLISHED).parquet(self.list_path)
         columns = [c for c in listed.columns if c not in ("run_id", "table_name")]
         last = F.max_by(F.struct(*columns), "published_at").alias("last")
         once = listed.groupBy("run_id", "table_name").agg(last).select("run_id", "table_name", "last.*")
@@ -227,6 +227,10 @@ class Warehouse:
             }
         ).select(*listed.columns)
 
+    def list_files(self) -> list[str]:
+        """The files that the list consists of."""
+        return self.spark.read.schema(PUBLISHED).parquet(self.list_path).inputFiles()
+
     def _live(self, versions: DataFrame) -> DataFrame:
         """Every partition with its parts that count, those published no earlier than what replaced it last.
 

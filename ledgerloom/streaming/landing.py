@@ -74,6 +74,10 @@ class Landing:
         rows = landed.where(F.col("batch_id") > self.applied())
         return rows, rows.agg(F.max("batch_id")).first()[0]
 
+    def landed_batches(self) -> list[int]:
+        landed = self.store.spark.read.parquet(f"{self.folder}/landed")
+        return sorted(r[0] for r in landed.select("batch_id").distinct().collect())
+
     def settle(self, rows: DataFrame, through: int, step: str = "settled") -> DataFrame:
         """Write the rows about to be applied and read them back: they are used several times,
         and from here on a lost executor costs a read."""

@@ -3,6 +3,7 @@
 import random
 from datetime import date, datetime, timezone
 from decimal import Decimal as D
+from pathlib import Path
 
 import pytest
 import samples
@@ -14,6 +15,7 @@ from ledgerloom.operators import sync
 from ledgerloom.operators.facts import ORDER_YEAR
 from ledgerloom.plans import jobs, refresh, reports, warehouse
 from ledgerloom.session import new_folder
+from ledgerloom.sinks import expiry
 from ledgerloom.sinks.warehouse import ALL, BUCKET, Layout, Warehouse
 from ledgerloom.streaming.changes import run_upserts
 from ledgerloom.streaming.files import table_stream
@@ -319,6 +321,70 @@ def test_a_build_refuses_to_follow_a_newer_one(spark, store, monkeypatch):
         jobs.build(store, sources, "slow", MOMENT, verify=False)
 
 
+# --- expiry -------------------------------------------------------------------------------------
+
+
+def exists(path):
+    return Path(path.removeprefix("file:")).exists()
+
+
+def test_expiry_keeps_what_current_tables_need(spark, store):
+    rng = random.Random(4)
+    rows = random_sources(spark, rng, lines=30)
+    source = new_folder(spark, "payments")
+    known = {"now": samples.sources(spark)["customers"].where("customer_number <> 2")}
+
+    def feed():
+        return PaymentsFeed(store, f"{store.root}/feed", lambda: known["now"], loaded(), buckets=2)
+
+    for run in range(3):
+        rows = changed_at(rng, rows, ["products", "orders"]) if run else rows
+        used = {n: samples.sources(spark, **{n: r})[n] for n, r in rows.items()}
+        jobs.sync_sources(store, used, f"sync-{run}", MOMENT, buckets=2)
+        if run < 2:
+            jobs.refresh(store, f"build-{run}", MOMENT, verify=False)
+        deliver(spark, source, 3 * run, 3 * run + 1, 3 * run + 2)
+        feed().run(table_stream(spark, source))
+    names = [r["table_name"] for r in store.tables().collect()]
+    before = {n: sorted(map(str, store.read(n).collect())) for n in names}
+    landed = next(r["path"] for r in store.versions().where("run_id = 'sync-0-landing'").collect())
+    base = store.made_from(refresh.FACT)["products"]
+    assert base != store.paths(["products"])["products"] and exists(landed)
+    gone = expiry.expire(store, keep=1)
+    assert gone.entries > 0 and gone.folders > 0 and not exists(landed)
+    assert len(store.list_files()) == 1
+    assert {n: sorted(map(str, store.read(n).collect())) for n in names} == before
+    # a refresh still finds the versions it has to compare with
+    jobs.refresh(store, "build-3", MOMENT, verify=False)
+    bronze = jobs.bronze_sources(store, store.paths(list(rows)))
+    whole = warehouse.build_table(refresh.FACT, bronze, loaded())
+    got = store.read(refresh.FACT).drop(ORDER_YEAR)
+    assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+    # the feed goes on where it was, and payments that waited are taken in
+    waited = feed().waiting().count()
+    assert waited > 0 and expiry.expire_landed(feed().landing) > 0
+    known["now"] = samples.sources(spark)["customers"]
+    deliver(spark, source, 50)
+    feed().run(table_stream(spark, source))
+    assert feed().read().count() == 10 and feed().waiting().count() == 0
+    # running it again changes nothing that can be read
+    now = {n: store.read(n).count() for n in names}
+    expiry.expire(store, keep=1)
+    assert expiry.expire(store, keep=1).folders == 0
+    assert {n: store.read(n).count() for n in names} == now
+    with pytest.raises(ValueError):
+        expiry.expire(store, keep=0)
+
+
+def test_expiry_remembers_partitions_that_were_emptied(spark, store):
+    layout = Layout("half", F.col("id") % 2)
+    store.replace("one", {"t": spark.range(6)}, {"t": layout})
+    store.publish("two", [store.stage_parts("two", "t", spark.range(0), layout, ["1"])])
+    store.publish("three", [store.stage_parts("three", "t", spark.range(0, 2, 2), layout, ["0"])])
+    expiry.expire(store, keep=1)
+    assert numbers(store.read("t")) == [0]
+
+
 # --- facts by year ------------------------------------------------------------------------------
 
 
