@@ -23,14 +23,16 @@ SPACES = " \t\n\x0b\x0c\r"
 
 @dataclass(frozen=True)
 class Settings:
-    """Limits of the rules, and the shrunk failure rate above which a host is rejected."""
+    """Limits of the rules. A host is rejected if its shrunk failure rate lies above ``reject_factor``
+    times the rate of all documents, by ``reject_deviations`` standard deviations of its posterior."""
 
     min_words: int = 20
     max_repeat_percent: int = 30
     max_symbol_percent: int = 10
     max_dup_line_percent: int = 30
     max_mean_word: int = 25
-    max_host_rate: float = 0.5
+    reject_factor: float = 2.0
+    reject_deviations: float = 2.0
     least_strength: float = 1.0
     most_strength: float = 1000.0
 
@@ -143,6 +145,10 @@ def host_verdicts(rules: DataFrame, host_col: str, settings: Settings = Settings
     The beta prior has the failure rate of all documents as its mean. Its strength comes from the
     spread of the hosts' rates around that mean, less what chance alone would give, by moments:
     hosts that are all alike give the strongest prior, hosts that differ widely the weakest.
+
+    A host's posterior is a beta distribution as well. The host is rejected where even a rate some
+    standard deviations below the posterior's mean is a multiple of the rate of all documents: a host with a few documents
+    stays unless hosts differ widely in general, one with many goes by its own failures.
     """
     hosts = rules.groupBy(F.col(host_col).alias("host")).agg(
         F.count("*").alias("host_docs"), F.sum(F.col("any_failed").cast("long")).alias("host_failed")
@@ -161,8 +167,10 @@ def host_verdicts(rules: DataFrame, host_col: str, settings: Settings = Settings
         if variance * (settings.most_strength + 1) > mean * (1 - mean):
             strength = max(settings.least_strength, mean * (1 - mean) / variance - 1)
     shrunk = (F.col("host_failed") + mean * strength) / (F.col("host_docs") + strength)
+    rate = F.col("host_rate")
+    deviation = F.sqrt(rate * (1 - rate) / (F.col("host_docs") + strength + 1))
     return hosts.withColumn("host_rate", shrunk).withColumn(
-        "host_rejected", F.col("host_rate") > settings.max_host_rate
+        "host_rejected", rate - settings.reject_deviations * deviation > settings.reject_factor * mean
     )
 
 

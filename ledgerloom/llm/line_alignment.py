@@ -11,8 +11,9 @@
    run of their places, and each anchor grows over equal neighbours on both sides. Between anchors
    the same goes on with the lines unique there; where none is, the longest common run anchors.
 3. Aligned blocks with enough words are deleted from the later document. An alignment has each
-   line once and in order; what it leaves out (further copies, moved lines) is deleted as well
-   where a shared line, or adjacent ones with the same blank lines between, have enough words.
+   line once and in order, so what is left is aligned with the earlier document again, until
+   a pass finds no block: moved lines and further copies go in these passes. A shared line that no alignment
+   has in a block stays, whatever its hash.
 
 Documents are ordered by id, then by a hash of their text; the first one keeps its lines.
 """
@@ -266,15 +267,31 @@ def _alike(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> dict[int, int]
 
 
 def align(shared: list[tuple[list[int], list[int], int | list[int]]], min_block_words: int) -> list[int]:
-    """Lines of the later text in aligned blocks, and in keys that are a block by themselves.
+    """Lines of the later text in aligned blocks, over as many passes as find one.
+
+    A pass aligns what earlier passes have left of the later text with the whole earlier one, so moved blocks and
+    further copies are aligned in their turn. What no pass aligns in a block stays.
 
     ``shared`` has for each common key its places in the earlier and the later text, and its words:
     a number, or one for each line of a block (0 for a blank line). Lines between that the pair
     does not share (blank ones, or ones first held elsewhere) don't end a block as long as both
     sides advance alike.
     """
-    a, b, words = _lines_of(shared)
-    matched = _alike(a, b)
+    a, left, words = _lines_of(shared)
+    gone: list[int] = []
+    while True:
+        found = _blocks(_alike(a, left), words, min_block_words)
+        if not found:
+            return gone
+        taken = set(found)
+        # a line that is a block by itself: later passes would align its copies one by one
+        whole = {line for place, line in left if place in taken and words[place] >= min_block_words}
+        gone += found + [place for place, line in left if line in whole and place not in taken]
+        left = [(place, line) for place, line in left if place not in taken and line not in whole]
+
+
+def _blocks(matched: dict[int, int], words: dict[int, int], min_block_words: int) -> list[int]:
+    """Places in the later text of aligned lines that advance alike and have the words of a block together."""
     gone, block, shift = [], [], None
     for b in sorted(matched):
         if matched[b] - b != shift:
@@ -284,12 +301,7 @@ def align(shared: list[tuple[list[int], list[int], int | list[int]]], min_block_
         block.append(b)
     if sum(words[x] for x in block) >= min_block_words:
         gone += block
-    whole = set(gone)
-    for _, in_b, sizes in shared:
-        sizes = [sizes] if isinstance(sizes, int) else sizes
-        if sum(sizes) >= min_block_words:
-            whole.update(b + step for b in in_b for step, n in enumerate(sizes) if n)
-    return gone + sorted(whole.difference(gone))
+    return gone
 
 
 def _align(min_block_words: int):

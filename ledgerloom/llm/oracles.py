@@ -48,12 +48,16 @@ prior AS (
   SELECT mean, CASE WHEN variance * 1001 > one THEN greatest(1.0, one / variance - 1)
                     ELSE 1000.0 END AS strength
   FROM spread),
+shrunk AS (
+  SELECT source, mean, docs, strength, (failed + mean * strength) / (docs + strength) AS host_rate FROM hosts, prior),
 verdicts AS (
-  SELECT source, (failed + mean * strength) / (docs + strength) AS host_rate FROM hosts, prior)
+  SELECT source, host_rate,
+    host_rate - 2 * sqrt(host_rate * (1 - host_rate) / (docs + strength + 1)) > 2 * mean AS host_rejected
+  FROM shrunk)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
-  base_failed, any_failed, round(host_rate, 6) AS host_rate, host_rate > 0.5 AS host_rejected,
-  NOT base_failed AND NOT host_rate > 0.5 AS kept
+  base_failed, any_failed, round(host_rate, 6) AS host_rate, host_rejected,
+  NOT base_failed AND NOT host_rejected AS kept
 FROM rules JOIN verdicts ON rules.source IS NOT DISTINCT FROM verdicts.source
 """
 

@@ -220,24 +220,29 @@ def aligned_by_definition(a, b):
 
 
 def deleted_by_definition(first, later, least):
+    """Blocks that an alignment has, pass by pass over what is left of the later text."""
+
+    def size(places):
+        return sum(len(later[y].split()) for y in places)
+
     a, b = ([(i, line) for i, line in enumerate(t) if line] for t in (first, later))
     common = {line for _, line in a} & {line for _, line in b}
     a, b = ([x for x in t if x[1] in common] for t in (a, b))
-    blocks, shift = [], None
-    for y, x in aligned_by_definition(a, b):
-        if x - y != shift:
-            blocks.append([])
-            shift = x - y
-        blocks[-1].append(y)
-    gone = {y for block in blocks if sum(len(later[y].split()) for y in block) >= least for y in block}
-    for y, _ in b:
-        for x, _ in a:
-            n = 0
-            while x + n < len(first) and y + n < len(later) and first[x + n] == later[y + n]:
-                n += 1
-                if sum(len(line.split()) for line in later[y : y + n]) >= least:
-                    gone.update(k for k in range(y, y + n) if later[k])
-    return gone
+    gone = set()
+    while True:
+        blocks, shift = [], None
+        for y, x in aligned_by_definition(a, b):
+            if x - y != shift:
+                blocks.append([])
+                shift = x - y
+            blocks[-1].append(y)
+        found = {y for block in blocks if size(block) >= least for y in block}
+        if not found:
+            return gone
+        whole = {later[y] for y in found if size([y]) >= least}
+        found |= {y for y, line in b if line in whole}
+        gone |= found
+        b = [x for x in b if x[0] not in found]
 
 
 def test_line_deletion_equals_its_definition(spark):
@@ -256,6 +261,39 @@ def test_line_deletion_equals_its_definition(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["kept_text"] for r in line_alignment.delete_shared_lines(docs).collect()}
     assert got == {**dict(rows), **want}
+    # looking up equal lines instead of aligning them gives something else
+    texts = dict(rows)
+    looked_up = {b: deleted_by_lookup(texts[b - 1].split("\n"), texts[b].split("\n"), 8) for b in want}
+    kept = {b: "\n".join(x for i, x in enumerate(texts[b].split("\n")) if i not in gone) for b, gone in looked_up.items()}
+    assert sum(kept[b] != want[b] for b in want) > 5
+
+
+def deleted_by_lookup(first, later, least):
+    """Lines in any run of equal lines with the words of a block, aligned or not."""
+    gone = set()
+    for y in range(len(later)):
+        for x in range(len(first)):
+            n = 0
+            while x + n < len(first) and y + n < len(later) and first[x + n] == later[y + n]:
+                n += 1
+            if sum(len(line.split()) for line in later[y : y + n]) >= least:
+                gone.update(k for k in range(y, y + n) if later[k])
+    return gone
+
+
+def test_three_holders_with_moved_and_repeated_blocks(spark):
+    one, two, three = ([f"block {b} line {i} has six words" for i in range(3)] for b in range(3))
+    rows = [
+        (1, "\n".join([*one, "only the first text says this", *two])),
+        (2, "\n".join([*three, "only the second text says this", *one])),
+        # moved against the first text, and twice; the third block comes from the second
+        (3, "\n".join([*two, "a line of the third", *one, *one, *three])),
+        (4, "\n".join([*three, *two, "a line of the fourth", *two])),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_text"] for r in line_alignment.delete_shared_lines(docs).collect()}
+    second = "\n".join([*three, "only the second text says this"])
+    assert got == {1: rows[0][1], 2: second, 3: "a line of the third", 4: "a line of the fourth"}
 
 
 def test_blocks_whose_lines_are_first_held_elsewhere(spark):

@@ -87,6 +87,20 @@ def test_stages_take_the_edges(spark, docs, name, function):
         assert result.count() <= table.count()
 
 
+@pytest.mark.parametrize("name, function", corpus_pipeline.STAGES[:-1])
+def test_stages_keep_the_columns_they_are_given(spark, name, function):
+    """Columns with the names that operators add keep their own values."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    added = ("kept", "n_words", "n_deleted", "Kept_Text", "contaminated", "top_coverage", "class_id", "host", "text_id", "row")
+    mine = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in added})
+    result = function(spark, mine, "/root/testdata/sf0.001")
+    assert result.columns == mine.columns
+    rows = result.collect()
+    assert rows and all(r[c] == f"{c} of {r['doc_id']}" for r in rows for c in added)
+    without = function(spark, docs, "/root/testdata/sf0.001")
+    assert sorted(map(str, result.select(*docs.columns).collect())) == sorted(map(str, without.collect()))
+
+
 def test_defined_results(spark, docs):
     spans = OPERATORS["spans"](spark, docs).collect()
     assert {(r["n_words"], r["n_removed"]) for r in spans if r["doc_id"] == 2} == {(60, 60)}
