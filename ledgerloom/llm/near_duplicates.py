@@ -283,9 +283,9 @@ def _prefixes(levels, private, settings: Settings):
             rare = weigh.levels[(shingles >> weigh.shift).astype(np.int64)].astype(np.int64)
             alone = private.value[(shingles >> private_shift).astype(np.int64)]
             found: list[tuple[int, int, int, float, float, np.ndarray]] = []
+            stops = np.cumsum(sizes)
             for i in np.flatnonzero(sizes):
-                stop = int(sizes[: i + 1].sum())
-                own = slice(stop - sizes[i], stop)
+                own = slice(stops[i] - sizes[i], stops[i])
                 order = np.lexsort((shingles[own], -rare[own]))
                 order = order[~alone[own][order]]
                 ranked = shingles[own][order]

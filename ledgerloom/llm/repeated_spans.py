@@ -11,20 +11,24 @@ piece; equal edges have equal minimizers, so all that can be equal meets under o
    that class.
 3. Where a minimizer has several classes the path branches: the first place of each class is
    opened into single edges, which find their own first place.
-4. What does not start at its first place becomes a span of its document. Every span carries its
-   words' hash, which is taken again from the words at its own coordinates before it is removed;
-   the words at its first place are not read.
+4. What does not start at its first place becomes a span of its document, with the coordinates of that place, its
+   source. The words at the source are read, once for each different span of it, and their SHA-256 goes to the
+   copies. A span is removed only where the words at its own coordinates have the same.
 
-Classes and edges are told apart by two 64-bit hashes over one 64-bit hash per word. No group of places is ever
+Classes and edges are told apart by two 64-bit hashes over one 64-bit hash per word until then. Documents go by id
+and text, so rows that share an id (or have none) are read apart. No group of places is ever
 collected: hot passages are counted with partial aggregation and joined, and a skewed join is
 split by AQE. Only the spans of one document meet in one row.
 """
 
 from __future__ import annotations
 
+import hashlib
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import (
@@ -98,20 +102,20 @@ def _emit_anchors(window: int, anchor_words: int):
 
 def _emit_pieces(window: int, anchor_words: int):
     def run(batch: pa.RecordBatch):
-        for at, _, words in word_blocks(batch.column(1)):
+        for at, _, words in word_blocks(batch.column(2)):
             starts, counts, anchors = _pieces(words, window, anchor_words)
             stops = starts + counts + window - 1
             rows = np.searchsorted(words.first, starts, "right") - 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array(rows + at)),
+                    *[batch.column(c).take(pa.array(rows + at)) for c in (0, 1)],
                     pa.array((starts - words.first[rows]).astype(np.int32)),
                     pa.array(counts.astype(np.int32)),
                     longs(anchors),
                     longs(span_hashes(words.hashes, starts, stops, FIRST_BASE)),
                     longs(span_hashes(words.hashes, starts, stops, SECOND_BASE)),
                 ],
-                ["doc_id", "start", "windows", "anchor", "h1", "h2"],
+                ["doc_id", "text_hash", "start", "windows", "anchor", "h1", "h2"],
             )
 
     return run
@@ -128,8 +132,8 @@ def _emit_windows(window: int):
     """Single edges of the opened pieces, after a check that the piece stands where it says."""
 
     def run(batch: pa.RecordBatch):
-        offsets, (start, count, check) = _spans_of(batch.column(2), ("start", "windows", "h1"))
-        for at, to, words in word_blocks(batch.column(1)):
+        offsets, (start, count, check) = _spans_of(batch.column(3), ("start", "windows", "h1"))
+        for at, to, words in word_blocks(batch.column(2)):
             own = slice(offsets[at], offsets[to])
             row = np.repeat(np.arange(to - at), np.diff(offsets[at : to + 1]))
             begin = words.first[row] + start[own]
@@ -143,19 +147,46 @@ def _emit_windows(window: int):
             rows = np.repeat(row[fits], n)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0).take(pa.array(rows + at)),
+                    *[batch.column(c).take(pa.array(rows + at)) for c in (0, 1)],
                     pa.array((places - words.first[rows]).astype(np.int32)),
                     longs(span_hashes(words.hashes, places, places + window, FIRST_BASE)),
                     longs(span_hashes(words.hashes, places, places + window, SECOND_BASE)),
                 ],
-                ["doc_id", "start", "h1", "h2"],
+                ["doc_id", "text_hash", "start", "h1", "h2"],
             )
 
     return run
 
 
+def _sha256(words: Words, begin: int, stop: int) -> bytes:
+    """Digest of some words of a text, joined by one space."""
+    raw = words.data[words.starts[begin] : words.ends[stop - 1]].tobytes()
+    return hashlib.sha256(b" ".join(raw.split())).digest()
+
+
+def _read_sources(batch: pa.RecordBatch):
+    """The digest of each wanted span (start, length) of some texts."""
+    offsets, (start, length) = _spans_of(batch.column(3), ("start", "length"))
+    for at, to, words in word_blocks(batch.column(2)):
+        own = slice(offsets[at], offsets[to])
+        row = np.repeat(np.arange(to - at), np.diff(offsets[at : to + 1]))
+        begin = words.first[row] + start[own]
+        stop = begin + length[own]
+        fits = np.flatnonzero(stop <= words.first[row + 1])
+        yield pa.RecordBatch.from_arrays(
+            [
+                *[batch.column(c).take(pa.array(row[fits] + at)) for c in (0, 1)],
+                pa.array(start[own][fits].astype(np.int32)),
+                pa.array(length[own][fits].astype(np.int32)),
+                pa.array([_sha256(words, a, b) for a, b in zip(begin[fits], stop[fits])], pa.binary()),
+            ],
+            ["source_id", "source_hash", "source_start", "length", "digest"],
+        )
+
+
 def _remove(batch: pa.RecordBatch):
-    offsets, (start, length, check) = _spans_of(batch.column(1), ("start", "length", "h1"))
+    offsets, (start, length) = _spans_of(batch.column(1), ("start", "length"))
+    check = batch.column(1).values.field("digest")
     valid = batch.column(1).is_valid().to_numpy(zero_copy_only=False)
     for at, to, words in word_blocks(batch.column(0)):
         own = slice(offsets[at], offsets[to])
@@ -164,8 +195,8 @@ def _remove(batch: pa.RecordBatch):
         begin = words.first[row] + start[own]
         stop = begin + length[own]
         fits = np.flatnonzero(stop <= words.first[row + 1])
-        hashes = span_hashes(words.hashes, begin[fits], stop[fits], FIRST_BASE).view(np.int64)
-        fits = fits[hashes == check[own][fits]]
+        wanted = check.slice(own.start, own.stop - own.start).to_pylist()
+        fits = [i for i in fits if _sha256(words, begin[i], stop[i]) == wanted[i]]
         size = len(words.hashes) + 1
         cover = np.bincount(begin[fits], minlength=size) - np.bincount(stop[fits], minlength=size)
         keep = np.cumsum(cover)[:-1] == 0
@@ -217,7 +248,7 @@ def repeated_spans(
     window: int = WINDOW,
     anchor_words: int = ANCHOR_WORDS,
 ) -> DataFrame:
-    """Spans of words that also start earlier: ``doc_id, spans`` (start, length, h1).
+    """Spans of words that also start earlier: ``doc_id, text_hash, spans`` (start, length, digest of the source).
 
     "Earlier" is a smaller id, or the same id and an earlier word. Null ids come before all
     others. Rows with one id stand at one place: none of them is earlier than another, but each
@@ -225,7 +256,11 @@ def repeated_spans(
     """
     if not 1 <= anchor_words <= window:
         raise ValueError("anchor_words must lie between 1 and the window")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(text_col).alias("text_hash"),
+        F.col(text_col).alias("text"),
+    )
     texts = texts.where(F.col("text").isNotNull())
     anchors = map_arrow(texts.select("text"), _emit_anchors(window, anchor_words), "anchor long")
     anchors = stage(
@@ -234,51 +269,71 @@ def repeated_spans(
     pieces = map_arrow(
         texts,
         _emit_pieces(window, anchor_words),
-        "doc_id long, start int, windows int, anchor long, h1 long, h2 long",
+        "doc_id long, text_hash long, start int, windows int, anchor long, h1 long, h2 long",
     )
     pieces = stage(pieces.join(anchors, "anchor", "left_semi"), "repeat-pieces")
 
     key = ["anchor", "h1", "h2", "windows"]
     classes = pieces.groupBy(key).agg(
-        F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("places")
-    )
-    shapes = classes.groupBy("anchor").agg((F.count("*") > 1).alias("branching"))
-    classes = stage(classes.join(shapes, "anchor"), "repeat-classes")
-
-    whole = (
-        pieces.join(classes.where("places > 1").select(*key, "first"), key)
-        .where(~same(F.struct("doc_id", "start"), F.col("first")))
-        .select("doc_id", "start", (F.col("windows") + (window - 1)).alias("length"), "h1")
+        F.min(F.struct("doc_id", "start", "text_hash")).alias("first"), F.count("*").alias("places")
     )
+    # written tables, so that the joins have exchanges of their own, which AQE can split
+    classes = stage(classes, "repeat-classes")
+    shapes = stage(classes.groupBy("anchor").agg((F.count("*") > 1).alias("branching")), "repeat-shapes")
+    classes = stage(classes.join(shapes, "anchor"), "repeat-branches")
+
+    def copies(places: DataFrame, length: Column) -> DataFrame:
+        """Places other than the first one of their words, and that one as their source."""
+        return places.where(
+            ~same(F.struct("doc_id", "start"), F.struct("first.doc_id", "first.start"))
+        ).select(
+            "doc_id", "text_hash", "start", length.cast("int").alias("length"),
+            F.col("first.doc_id").alias("source_id"), F.col("first.text_hash").alias("source_hash"),
+            F.col("first.start").alias("source_start"),
+        )
+
+    repeated = classes.where("places > 1").select(*key, "first")
+    whole = copies(pieces.join(repeated, key), F.col("windows") + (window - 1))
 
     opened = (
         classes.where("branching")
         .select("first.*", "windows", "h1")
-        .groupBy("doc_id")
+        .groupBy(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"))
         .agg(F.collect_list(F.struct("start", "windows", "h1")).alias("pieces"))
-        .withColumnRenamed("doc_id", "at_id")
     )
-    edges = texts.join(opened, same(F.col("doc_id"), F.col("at_id"))).select("doc_id", "text", "pieces")
+    at_text = same(F.col("doc_id"), F.col("at_id")) & (F.col("text_hash") == F.col("at_hash"))
+    edges = texts.join(opened, at_text).select("doc_id", "text_hash", "text", "pieces")
     edges = stage(
-        map_arrow(edges, _emit_windows(window), "doc_id long, start int, h1 long, h2 long"),
+        map_arrow(edges, _emit_windows(window), "doc_id long, text_hash long, start int, h1 long, h2 long"),
         "repeat-edges",
     )
-    # a written table, so that the join has exchanges of its own, which AQE can split
     firsts = stage(
         edges.groupBy("h1", "h2")
-        .agg(F.min(F.struct("doc_id", "start")).alias("first"), F.count("*").alias("places"))
+        .agg(F.min(F.struct("doc_id", "start", "text_hash")).alias("first"), F.count("*").alias("places"))
         .where("places > 1")
         .drop("places"),
         "repeat-firsts",
     )
-    single = (
-        edges.join(firsts, ["h1", "h2"])
-        .where(~same(F.struct("doc_id", "start"), F.col("first")))
-        .select("doc_id", "start", F.lit(window).alias("length"), "h1")
+    single = copies(edges.join(firsts, ["h1", "h2"]), F.lit(window))
+    # rows that repeat id and text have the same spans
+    spans = stage(whole.union(single).distinct(), "repeat-copies")
+
+    wanted = (
+        spans.select("source_id", "source_hash", "source_start", "length")
+        .distinct()
+        .groupBy(F.col("source_id").alias("at_id"), F.col("source_hash").alias("at_hash"))
+        .agg(F.collect_list(F.struct(F.col("source_start").alias("start"), "length")).alias("wanted"))
+    )
+    sources = texts.join(wanted, at_text).select("doc_id", "text_hash", "text", "wanted")
+    place = ["source_id", "source_hash", "source_start", "length"]
+    read = map_arrow(
+        sources, _read_sources, "source_id long, source_hash long, source_start int, length int, digest binary"
     )
-    spans = whole.union(single).groupBy("doc_id")
+    read = stage(read.distinct(), "repeat-sources").toDF(*[f"at_{c}" for c in place], "digest")
+    at_place = reduce(lambda a, b: a & b, [same(F.col(c), F.col(f"at_{c}")) for c in place])
+    spans = spans.join(read, at_place).groupBy("doc_id", "text_hash")
     return stage(
-        spans.agg(F.collect_list(F.struct("start", "length", "h1")).alias("spans")),
+        spans.agg(F.collect_list(F.struct("start", "length", "digest")).alias("spans")),
         "repeat-spans",
     )
 
@@ -301,10 +356,12 @@ def remove_repeats(
     new = ("kept_text", "n_words", "n_removed", "removed_spans")
     own = [c for c in (docs.columns if carry is None else carry) if c.lower() not in new]
     spans = repeated_spans(docs, id_col, text_col, window, anchor_words)
-    found, at_id = fresh_name(docs, "found_spans"), fresh_name(docs, "found_id")
+    names = ("found_id", "found_hash", "found_spans")
+    at_id, at_hash, found = (fresh_name(docs, n) for n in names)
     text = fresh_name(docs, "words_of")
-    spans = spans.select(F.col("doc_id").alias(at_id), F.col("spans").alias(found))
-    joined = docs.join(spans, same(docs[id_col].cast("long"), F.col(at_id)), "left")
+    spans = spans.toDF(at_id, at_hash, found)
+    at_text = same(docs[id_col].cast("long"), F.col(at_id)) & (F.xxhash64(docs[text_col]) == F.col(at_hash))
+    joined = docs.join(spans, at_text, "left")
     joined = joined.select(F.col(text_col).alias(text), found, *own)
     schema = joined.select(*own).schema
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)

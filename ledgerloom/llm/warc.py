@@ -44,6 +44,10 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-dig
 # --- records -------------------------------------------------------------------------------
 
 
+# Tasks that read archives back; beyond, a task reads several pieces.
+MOST_TASKS = 100_000
+
+
 def record_id(key: str) -> str:
     return f"<urn:x-page:{key}>"
 
@@ -329,7 +333,11 @@ def read_archives(index: DataFrame, with_payload: bool = True, chunk_bytes: int
 
     ship(index.sparkSession)
     piece = (F.col("offset") / chunk_bytes).cast("long")
-    dealt = index.select("path", "offset", "length", piece.alias("piece")).repartition("path", "piece")
+    # a task for each piece of an archive: sizes of the index say nothing of the bytes it stands for
+    pieces = index.select("path", piece.alias("piece")).distinct().count()
+    dealt = index.select("path", "offset", "length", piece.alias("piece")).repartition(
+        max(1, min(pieces, MOST_TASKS)), "path", "piece"
+    )
     ordered = dealt.sortWithinPartitions("path", "offset").select("path", "offset", "length")
     return ordered.mapInArrow(run, RECORDS)
 

@@ -1,5 +1,6 @@
 """Operators against plain definitions on small data."""
 
+import hashlib
 import random
 from collections import Counter
 
@@ -45,6 +46,29 @@ def test_repeated_spans(spark, seed):
     assert got == removed(texts, 20)
 
 
+def test_spans_go_only_where_the_source_has_the_same_words():
+    text = " ".join(f"w{i}" for i in range(30))
+    own = hashlib.sha256(" ".join(text.split()[:20]).encode()).digest()
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("digest", pa.binary())]))
+    for digest, left in ((own, 10), (hashlib.sha256(b"other words").digest(), 30)):
+        spans = pa.array([[{"start": 0, "length": 20, "digest": digest}], None], kind)
+        batch = pa.RecordBatch.from_arrays([pa.array([text, text]), spans], ["text", "spans"])
+        (got,) = repeated_spans._remove(batch)
+        assert [len(t.split()) for t in got.column("kept_text").to_pylist()] == [left, 30]
+
+
+def test_texts_that_share_an_id_keep_their_own_spans(spark):
+    rng = random.Random(9)
+    shared, other = (" ".join(words(rng, 40, 10_000)) for _ in range(2))
+    rows = [(None, f"{shared} none"), (None, f"other {other}"), (7, f"x y z {shared}"), (7, f"{other} end"),
+            (7, "not repeated at all"), (8, f"{shared} {other}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["doc_id"], r["kept_text"]) for r in repeated_spans.remove_repeats(docs).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(None, rows[0][1]), (None, rows[1][1]), (7, "x y z"), (7, "end"), (7, rows[4][1]), (8, "")], key=str
+    )
+
+
 def test_words_of_long_texts_are_hashed_alike():
     text = " ".join(str(i % 977) for i in range(900_000))  # longer than a piece
     column = pa.array([text, "7 8 9", text])
