@@ -249,3 +249,14 @@ QUERIES = {
         op13_license_scan,
     )
 }
+
+# The tables that each query reads.
+TABLES = {name: ("documents",) for name in QUERIES} | {
+    "op5_toxicity": ("documents", "labels"),
+    "op6_decontamination": ("documents", "benchmark"),
+    "op7_quality_model": ("documents", "labels"),
+    "op8_warc": ("pages",),
+    "op10_chat_format": ("conversations",),
+    "op11_conversation_repair": ("conversations",),
+    "op12_centroid_clusters": ("embeddings",),
+}
