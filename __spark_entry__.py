@@ -42,12 +42,14 @@ try:  # the subpackage is optional: without it, its queries are left out
     import corpus_pipeline
     from ledgerloom.llm.oracles import ORACLES as LLM_ORACLES
     from ledgerloom.llm.queries import QUERIES as LLM_QUERIES
+    from ledgerloom.llm.queries import TABLES as LLM_TABLES
 except ModuleNotFoundError as error:
     if error.name not in ("corpus_pipeline", "ledgerloom.llm"):
         raise
-    LLM_QUERIES, LLM_ORACLES = {}, {}
+    LLM_QUERIES, LLM_TABLES, LLM_ORACLES = {}, {}, {}
 else:
     LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    LLM_TABLES = {**LLM_TABLES, "pipeline": ("documents", "benchmark")}
     if corpus_pipeline.ORACLE_SQL:
         LLM_ORACLES = {**LLM_ORACLES, "pipeline": corpus_pipeline.ORACLE_SQL}
 
@@ -502,12 +504,8 @@ def _fitted(query: Query, paths: Callable[[str], list[str]]) -> Query:
     return run
 
 
-# The tables that the corpus queries read.
-CORPUS_TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
-
-
-def _corpus_paths(sf_dir: str) -> list[str]:
-    return [f"{sf_dir}/{name}.parquet" for name in CORPUS_TABLES]
+def _corpus_paths(name: str) -> Callable[[str], list[str]]:
+    return lambda sf_dir: [f"{sf_dir}/{table}.parquet" for table in LLM_TABLES[name]]
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -517,7 +515,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     own = {name: _fitted(query, retail.raw_paths) for name, query in _QUERIES.items()}
-    return own | {name: _fitted(query, _corpus_paths) for name, query in LLM_QUERIES.items()}
+    return own | {name: _fitted(query, _corpus_paths(name)) for name, query in LLM_QUERIES.items()}
 
 
 _QUERIES: dict[str, Query] = {
