@@ -31,6 +31,7 @@ from ledgerloom.session import (  # noqa: E402
     shared_folder,
     stored_bytes,
 )
+from ledgerloom.sinks.names import listed_tables, register_tables  # noqa: E402
 from ledgerloom.sinks.warehouse import Warehouse  # noqa: E402
 from ledgerloom.sources import SOURCES, retail  # noqa: E402
 from ledgerloom.sources.files import register_views  # noqa: E402
@@ -199,7 +200,22 @@ def build_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_warehouse_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(spark, sf_dir).tables().select("table_name", "row_count")
+    store = _stored(spark, sf_dir)
+    register_tables(store, prefix="stored_")
+    return listed_tables(store, prefix="stored_")
+
+
+def report_by_table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue by year and country as a user asks for it in SQL, over the tables' names."""
+    register_tables(_stored(spark, sf_dir), STAR)
+    return spark.sql(
+        """SELECT d.calendar_year, c.country, sum(f.gross_sales_amount) AS gross_revenue
+           FROM fact_order_sales f
+           JOIN dim_date d ON f.order_date_key = d.date_key
+           JOIN dim_customer c USING (customer_key)
+           JOIN dim_product p USING (product_key)
+           GROUP BY d.calendar_year, c.country"""
+    )
 
 
 def stored_fact_order_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -535,6 +551,7 @@ _QUERIES: dict[str, Query] = {
     "report_revenue_recent_first": report_revenue_recent_first,
     "report_revenue_one_year": report_revenue_one_year,
     "report_top_customers": report_top_customers,
+    "report_by_table_names": report_by_table_names,
     "build_warehouse": build_warehouse,
     "list_warehouse_tables": list_warehouse_tables,
     "stored_fact_order_sales": stored_fact_order_sales,

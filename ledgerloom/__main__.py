@@ -1,5 +1,6 @@
 """spark-submit entry: ``build`` syncs and rebuilds the warehouse, ``feed`` takes in new files of
-payments or changed rows, ``report`` prints from the warehouse."""
+payments or changed rows, ``report`` prints from the warehouse, ``sql`` answers a query over its tables by
+name, ``expire`` deletes old versions."""
 
 from __future__ import annotations
 
@@ -11,7 +12,9 @@ from pyspark.sql import SparkSession
 from ledgerloom.functions import KeyScheme
 from ledgerloom.plans import jobs
 from ledgerloom.session import bucket_count, scoped_session, stored_bytes
+from ledgerloom.sinks.expiry import expire
 from ledgerloom.sinks.jdbc import CONNECTIONS
+from ledgerloom.sinks.names import register_tables
 from ledgerloom.sinks.warehouse import Warehouse
 from ledgerloom.sources import SOURCES, files, jdbc
 
@@ -42,6 +45,12 @@ def _arguments() -> argparse.Namespace:
     report.add_argument("--output", help="write the whole revenue report to this folder")
     report.add_argument("--rows", type=int, default=100, help="rows of it to print")
     report.add_argument("--top", type=int, default=20)
+    query = commands.add_parser("sql", help="a query over the tables by name")
+    query.add_argument("query")
+    query.add_argument("--output", help="write the whole result to this folder")
+    query.add_argument("--rows", type=int, default=100, help="rows of it to print")
+    expiry_of = commands.add_parser("expire", help="delete old versions while no other job runs")
+    expiry_of.add_argument("--keep", type=int, default=2, help="versions of each table that stay")
     return parser.parse_args()
 
 
@@ -86,6 +95,18 @@ def main() -> None:
             jobs.feed_payments(store, arguments.files, datetime.now(timezone.utc))
         else:
             jobs.feed_changes(store, arguments.table, arguments.files, arguments.order_by)
+    elif arguments.command == "expire":
+        gone = expire(Warehouse(spark, arguments.warehouse), arguments.keep)
+        print(f"{gone.folders} folders and {gone.entries} entries deleted")
+    elif arguments.command == "sql":
+        current = Warehouse(spark, arguments.warehouse).tables().select("path").collect()
+        spark = scoped_session(spark, stored_bytes(spark, *[r["path"] for r in current]) if current else 0)
+        register_tables(Warehouse(spark, arguments.warehouse))
+        result = spark.sql(arguments.query)
+        if arguments.output:
+            result.write.parquet(arguments.output)
+            result = spark.read.parquet(arguments.output)
+        result.show(arguments.rows, truncate=False)
     else:
         store = Warehouse(spark, arguments.warehouse)
         current = [r["path"] for r in store.tables().select("path").collect()]

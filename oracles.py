@@ -552,6 +552,12 @@ def build() -> dict[str, str]:
             "sales",
             revenue=REVENUE_GROUPS,
         ),
+        "report_by_table_names": sql(
+            """SELECT calendar_year, country, CAST(sum(gross_revenue) AS DECIMAL(22,2)) AS gross_revenue
+               FROM revenue GROUP BY ALL""",
+            "sales",
+            revenue=REVENUE_GROUPS,
+        ),
         "report_top_customers": sql(
             """SELECT customer_name, country,
                       CAST(sum(gross_sales_amount) AS DECIMAL(22,2)) AS gross_revenue

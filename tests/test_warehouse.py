@@ -309,3 +309,34 @@ def test_integrity_reads_each_fact_once(spark, store):
     empty = {**stored, "fact_payments": stored["fact_payments"].limit(0)}
     rows = {tuple(r) for r in audit.fact_dim_integrity(empty).collect()}
     assert ("fact_payments", "customer_key", "dim_customer", 0, 0, 0) in rows and len(rows) == 10
+
+
+def test_tables_by_name(spark, store, capsys, monkeypatch):
+    from ledgerloom import __main__ as command
+    from ledgerloom.sinks.names import listed_tables, register_tables
+
+    job = scoped_session(spark, 0)
+    own = Warehouse(job, store.root)
+    jobs.build(store, sellable(spark), "one", MOMENT)
+    assert not job.catalog.tableExists("dim_customer")
+    assert set(register_tables(own)) == set(warehouse.TABLES)
+    assert job.catalog.tableExists("dim_customer") and not spark.catalog.tableExists("dim_customer")
+    counts = {r.table_name: r.row_count for r in listed_tables(own).collect()}
+    assert set(counts) == set(warehouse.TABLES) and counts["fact_order_sales"] == 4
+    asked = "SELECT country, sum(quantity_ordered) AS n FROM fact_order_sales JOIN dim_customer USING (customer_key) GROUP BY 1"
+    before = sorted(map(tuple, job.sql(asked).collect()))
+    smaller = {n: df if n != "orderdetails" else df.limit(0) for n, df in sellable(spark).items()}
+    jobs.build(store, smaller, "two", MOMENT)
+    # names stay with the versions they were given for, until they are given again
+    assert sorted(map(tuple, job.sql(asked).collect())) == before
+    register_tables(own)
+    assert job.sql(asked).count() == 0
+    with pytest.raises(LookupError):
+        register_tables(own, ["nowhere"])
+    monkeypatch.setattr(type(spark), "stop", lambda self: None)
+    monkeypatch.setattr("sys.argv", ["ledgerloom", "--warehouse", store.root, "sql", "SELECT count(*) AS days FROM dim_date"])
+    command.main()
+    assert "50" in capsys.readouterr().out
+    monkeypatch.setattr("sys.argv", ["ledgerloom", "--warehouse", store.root, "expire", "--keep", "1"])
+    command.main()
+    assert "folders and" in capsys.readouterr().out and store.read("dim_customer").count() == 4
