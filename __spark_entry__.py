@@ -176,8 +176,8 @@ _built: dict[tuple[str, str, str, int], str] = {}
 def _build(spark: SparkSession, sf_dir: str) -> Warehouse:
     store = Warehouse(spark, new_folder(spark, "warehouse"))
     sources = retail.load_sources(spark, sf_dir)
-    tables = warehouse.build_all(sources, warehouse.load_time(FIRST))
-    store.replace("build", tables, warehouse.layouts())
+    written = warehouse.stage_all(store, "build", sources, warehouse.load_time(FIRST))
+    store.publish("build", written)
     return store
 
 
@@ -262,9 +262,10 @@ def report_top_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_target_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.target_counts(
-        retail.load_sources(spark, sf_dir), _stored_tables(spark, sf_dir)
-    )
+    store = _stored(spark, sf_dir)
+    counted = warehouse.counted_rows({name: store.metrics(name) for name in warehouse.TABLES})
+    stored = store.read_all(*warehouse.TABLES)
+    return audit.target_counts(retail.load_sources(spark, sf_dir), stored, counted)
 
 
 def audit_pk_unique(spark: SparkSession, sf_dir: str) -> DataFrame:

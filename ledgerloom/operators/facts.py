@@ -16,6 +16,7 @@ from ledgerloom.functions import (
     margin_amount,
     nullable_hash_key,
 )
+from ledgerloom.operators.branches import Branches, inner_join
 
 DEFAULT_KEYS = KeyScheme.XXHASH64
 
@@ -48,12 +49,14 @@ def fact_order_sales(
     employees: DataFrame,
     loaded_at: Column,
     keys: KeyScheme = DEFAULT_KEYS,
+    branches: Branches | None = None,
 ) -> DataFrame:
     """One row per line of an order that was not cancelled.
 
     Representative and customer are joined at customer and order grain, so that the lines, by
     far the largest table, are shuffled only for their own two keys. Hot orders, customers and
     products are split by AQE: every join here is inner or left with the big side on the left.
+    ``branches`` counts the lines that enter and those without an order that counts or a product.
     """
     buyers = with_rep_office(
         customers.select("customer_number", "sales_rep_employee_number"), employees
@@ -76,9 +79,14 @@ def fact_order_sales(
     quantity = F.col("quantity_ordered").cast("int")
     price = F.col("price_each").cast(PRICE)
     unit_cost = F.col("buy_price")
+    lines = orderdetails
+    if branches is not None:
+        lines = branches.enter(
+            lines.select("order_number", "product_code", "order_line_number", "quantity_ordered", "price_each")
+        )
+    sold = inner_join(lines, headers, "order_number", branches, "no_order")
     return (
-        orderdetails.join(headers, "order_number")
-        .join(prices, "product_code")
+        inner_join(sold, prices, "product_code", branches, "no_product")
         .select(
             F.concat(
                 F.col("order_number").cast("string"),
@@ -140,8 +148,12 @@ def fact_payments(
     customers: DataFrame,
     loaded_at: Column,
     keys: KeyScheme = DEFAULT_KEYS,
+    branches: Branches | None = None,
 ) -> DataFrame:
-    """One row per payment of a known customer."""
-    return payments.join(payers(customers), "customer_number").select(
-        *payment_columns(loaded_at, keys)
-    )
+    """One row per payment of a known customer; ``branches`` counts those of others."""
+    if branches is not None:
+        payments = branches.enter(
+            payments.select("customer_number", "check_number", "payment_date", "amount")
+        )
+    paid = inner_join(payments, payers(customers), "customer_number", branches, "no_customer")
+    return paid.select(*payment_columns(loaded_at, keys))
