@@ -370,8 +370,69 @@ def tiles_by_definition(a, b, least):
 def test_tiles_equal_their_definition(seed):
     rng = random.Random(seed)
     a, b = ([rng.randrange(3) for _ in range(30)] for _ in range(2))
-    hits = [(i, j) for i in range(28) for j in range(28) if a[i : i + 3] == b[j : j + 3]]
-    assert decontamination.tile(hits, 3) == tiles_by_definition(a, b, 3) if hits else True
+    assert decontamination.tile(seed_places(a, b, 3), 3) == tiles_by_definition(a, b, 3)
+
+
+def seed_places(a, b, least):
+    def places(words):
+        return {tuple(words[i : i + least]): [] for i in range(len(words) - least + 1)}
+
+    in_a, in_b = places(a), places(b)
+    for words, found in ((a, in_a), (b, in_b)):
+        for i in range(len(words) - least + 1):
+            found[tuple(words[i : i + least])].append(i)
+    return [(in_a[seed], in_b[seed]) for seed in in_a if seed in in_b]
+
+
+@pytest.mark.parametrize("seed", range(300))
+def test_tiles_of_repetitive_texts(seed):
+    """Periods, long runs of one token, sides of different length: ties and leftovers of all kinds."""
+    rng = random.Random(seed)
+
+    def text(n):
+        own = [rng.randrange(2) for _ in range(rng.randint(1, 6))]
+        plain = [rng.randrange(3) for _ in range(n)]
+        at = rng.randrange(n)
+        return plain[:at] + own * rng.randint(0, 8) + plain[at:]
+
+    a, b, least = text(rng.randint(1, 40)), text(rng.randint(1, 25)), rng.randint(1, 5)
+    assert decontamination.tile(seed_places(a, b, least), least) == tiles_by_definition(a, b, least)
+
+
+def test_tiles_of_a_dump_of_one_token_stay_small():
+    """200,000 equal tokens against 300: 60 million pairs of places, none of which is listed."""
+    import tracemalloc
+
+    tracemalloc.start()
+    tiles = decontamination.tile([(list(range(199_996)), list(range(296)))], 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tiles == [(0, 0, 300)]
+    assert peak < 100 * 2**20
+
+
+def test_leaks_equal_their_definition(spark):
+    """Items of every length, those of fewer tokens than a seed included, over texts of few words."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(6)]
+
+    def text(n):
+        return [rng.choice(vocabulary) for _ in range(n)]
+
+    items = [text(n) for n in (1, 2, 2, 3, 4, 4, 5, 6, 9, 14, 30)] + [["rare"], ["rare", "w1"], ["never", "w0", "w1"]]
+    texts = [text(rng.randrange(60)) for _ in range(40)] + [["rare", "w1"], ["w1", "rare"], ["rare"], []]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    table = spark.createDataFrame([(i, ", ".join(t).upper()) for i, t in enumerate(items)], "item_id long, text string")
+    want = {}
+    for d, words_of_doc in enumerate(texts):
+        shares = []
+        for item in items:
+            least = min(5, len(item))
+            shares.append(sum(t[2] for t in tiles_by_definition(words_of_doc, item, least)) / len(item))
+        want[d] = ([i for i, share in enumerate(shares) if share >= 0.5], pytest.approx(max(shares)))
+    got = {r["doc_id"]: (r["leaked_items"], r["top_coverage"]) for r in decontamination.mark_leaks(docs, table).collect()}
+    assert got == want
+    assert any(0 in items for items, _ in got.values()) and got[42][0] == [11] and got[43][0] == []
 
 
 def test_reordered_items_leak(spark):
