@@ -6,9 +6,10 @@ or word stems, and match at word starts only. Where an exception phrase matches,
 it don't count.
 
 The lexicon is learned from labelled documents: an entry is kept if it occurs in enough toxic
-documents and nearly only in those; its weight is its smoothed log odds. A few entries and
-exceptions can be given by hand as well. The score is a logistic function of the weights found,
-normalised by the text's length.
+documents and nearly only in those; its weight is its smoothed log odds. Where an entry occurs in clean
+documents, the word before or after it makes an exception phrase if enough clean documents have the phrase
+and no toxic one does. Entries and exceptions can be given by hand as well. The score is a logistic
+function of the weights found, normalised by the text's length.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ SIGNS = str.maketrans(
 # Signs stand for letters before a letter; digits after one, too.
 SIGN_RUNS = re.compile(r"[013457@$!|]+(?=[a-z])|(?<=[a-z])[013457]+")
 
-# Phrases in which a lexicon word is meant otherwise.
+# Phrases in which a lexicon word is meant otherwise, beside the learned ones.
 EXCEPTIONS = ("clown fish", "clownfish", "trash can", "trash bin", "lose weight", "sore loser clause")
 
 WORD = re.compile(r"\w+")
@@ -52,15 +53,18 @@ WORD = re.compile(r"\w+")
 class Settings:
     """``sample``: bound on the labelled rows that are learned from, taken by a hash of their id.
 
-    An entry needs ``support`` toxic documents and a share of at least ``precision`` of them;
-    stems have between ``least_stem`` and ``most_stem`` letters. At most ``entries`` are kept."""
+    An entry needs ``support`` toxic documents and a share of at least ``precision`` of them. All such entries are
+    kept; ``learn`` raises beyond ``entries``, as they are held by every task. Stems have between
+    ``least_stem`` and ``most_stem`` letters: a longer one only tells apart words that share its first
+    ``most_stem``, and those are entries as whole words. An exception needs ``exception_support`` clean documents."""
 
     sample: int = 20_000
     support: int = 6
     precision: float = 0.97
     least_stem: int = 4
     most_stem: int = 8
-    entries: int = 5_000
+    entries: int = 100_000
+    exception_support: int = 3
     exceptions: tuple[str, ...] = EXCEPTIONS
     given: tuple[tuple[str, float], ...] = ()
 
@@ -216,6 +220,51 @@ def _calibrate(rates: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(max(w[1], 0.0))
 
 
+def phrases_around(automaton, folded: str) -> set[str]:
+    """Every word that an entry matches with the word before and with the word after, one space between."""
+    spans = [m.span() for m in WORD.finditer(folded)]
+    found = set()
+    for i, (start, stop) in enumerate(spans):
+        if not find(automaton, folded[start:stop]):
+            continue
+        for first, last in ((i - 1, i), (i, i + 1)):
+            if first < 0 or last == len(spans):
+                continue
+            (left, end), (begin, right) = spans[first], spans[last]
+            if folded[end:begin] == " ":
+                found.add(folded[left:right])
+    return found
+
+
+def _exceptions(rows: DataFrame, lexicon, settings: Settings) -> list[str]:
+    """Phrases around entries that only clean documents have."""
+
+    def run(batch: pa.RecordBatch):
+        automaton = _automaton(lexicon.value) if lexicon.value.entries else None
+        phrases, labels = [], []
+        for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
+            text = text.as_py()
+            if text and automaton is not None:
+                found = phrases_around(automaton, fold(text))
+                phrases.extend(found)
+                labels.extend([label] * len(found))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(phrases, pa.string()), pa.array(labels, pa.int32())], ["phrase", "label"]
+        )
+
+    kept = (
+        map_arrow(rows.select("text", "label"), run, "phrase string, label int")
+        .groupBy("phrase")
+        .agg(F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("documents"))
+        .where((F.col("toxic") == 0) & (F.col("documents") >= settings.exception_support))
+        .limit(settings.entries + 1)
+        .collect()
+    )
+    if len(kept) > settings.entries:
+        raise ValueError(f"more than {settings.entries} exception phrases; ask for more exception_support")
+    return [r["phrase"] for r in kept]
+
+
 def learn(rows: DataFrame, settings: Settings = Settings()) -> Lexicon:
     """Lexicon and calibration from rows (train_id, text, label), a bounded number of them."""
     rows = stage(rows, "toxic-training")
@@ -230,10 +279,11 @@ def learn(rows: DataFrame, settings: Settings = Settings()) -> Lexicon:
         counts.groupBy("term")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where((F.col("toxic") >= settings.support) & (F.col("toxic") >= settings.precision * (F.col("toxic") + F.col("clean"))))
-        .orderBy(F.desc("toxic"), F.length("term"), "term")
-        .limit(settings.entries)
+        .limit(settings.entries + 1)
         .collect()
     )
+    if len(kept) > settings.entries:
+        raise ValueError(f"more than {settings.entries} lexicon entries; ask for more support or precision")
     entries: dict[str, float] = {}
     stems: set[str] = set()
     for row in sorted(kept, key=lambda r: (len(r["term"].rstrip("*")), not r["term"].endswith("*"), r["term"])):
@@ -252,6 +302,8 @@ def learn(rows: DataFrame, settings: Settings = Settings()) -> Lexicon:
     if not clean or not toxic:
         return lexicon
     spark = rows.sparkSession
+    phrases = _exceptions(rows, spark.sparkContext.broadcast(lexicon), settings)
+    lexicon = Lexicon(lexicon.entries, tuple(sorted({*settings.exceptions, *phrases})))
     held = spark.sparkContext.broadcast(lexicon)
     scored = map_arrow(rows.select("text", "label"), _features(held), "label int, lexicon_rate double").collect()
     rates = np.array([r["lexicon_rate"] for r in scored])

@@ -523,3 +523,64 @@ def test_folding_and_exceptions():
     assert weight("a clown, no clown fish and no idiots") == 1.0
     assert weight("scumbag") == 3.0
     assert weight("uncrowned 100% 5x$") == 0.0
+
+
+def weight_by_definition(lexicon, folded):
+    """Sum of weights by looking for every entry and exception at every place of the text."""
+
+    def places(term, whole):
+        for start in range(len(folded) - len(term) + 1):
+            stop = start + len(term)
+            if folded[start:stop] != term or (start and folded[start - 1].isalnum()):
+                continue
+            if not (whole and stop < len(folded) and folded[stop].isalnum()):
+                yield start, stop
+
+    found = [(s, -e, w) for t, w in lexicon.entries for s, e in places(t.rstrip("*"), not t.endswith("*"))]
+    found += [(s, -e, 0.0) for p in lexicon.exceptions for s, e in places(toxicity.fold(p), True)]
+    total, guarded = 0.0, -1
+    for start in sorted({f[0] for f in found}):
+        _, stop, weight = min(f for f in found if f[0] == start)
+        if weight == 0.0:
+            guarded = max(guarded, -stop)
+        elif start >= guarded:
+            total += weight
+    return total
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_weights_equal_a_plain_search(seed):
+    rng = random.Random(seed)
+    lexicon = toxicity.Lexicon((("bad", 2.0), ("badly*", 3.5), ("ugh", 1.25), ("scum*", 3.0)), ("bad luck", "not ugh"))
+    automaton = lexicon.automaton()
+    parts = ["bad", "b4d", "badly", "badlands", "ugh", "u9h", "not", "luck", "scumbag", "scum", "SCUM", "ѕcum", "x1"]
+    for _ in range(50):
+        text = "".join(rng.choice(parts) + rng.choice([" ", " ", ", ", "", "\n"]) for _ in range(rng.randrange(12)))
+        folded = toxicity.fold(text)
+        want = weight_by_definition(lexicon, folded) if folded else 0.0
+        assert toxicity.find(automaton, folded) == pytest.approx(want)
+
+
+def toxic_rows():
+    """An entry that clean documents have in one phrase only, and one that they have by chance."""
+    toxic = [f"you {w} of a thing {i}" for i in range(120) for w in ("blighter", "wretch")]
+    clean = [f"the blighter moth flew {i}" for i in range(3)] + [f"a plain page {i}" for i in range(200)]
+    clean += ["a poor wretch came", "some wretch or other"]
+    return [(i, t, 1) for i, t in enumerate(toxic)] + [(1000 + i, t, 0) for i, t in enumerate(clean)]
+
+
+def test_exceptions_are_learned_from_clean_texts(spark):
+    rows = spark.createDataFrame(toxic_rows(), "train_id long, text string, label int")
+    lexicon = toxicity.learn(rows)
+    learned = set(lexicon.exceptions) - set(toxicity.EXCEPTIONS)
+    assert learned == {"the blighter", "blighter moth"}
+    texts = [(1, "one blighter moth"), (2, "one blighter here"), (3, "a poor wretch came")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    rates = {r["doc_id"]: r["lexicon_rate"] for r in toxicity.score_toxicity(docs, lexicon).collect()}
+    assert rates[1] == 0 and rates[2] > 0 and rates[3] > 0
+
+
+def test_entries_beyond_the_bound_raise(spark):
+    rows = spark.createDataFrame(toxic_rows(), "train_id long, text string, label int")
+    with pytest.raises(ValueError, match="lexicon entries"):
+        toxicity.learn(rows, toxicity.Settings(entries=1))
