@@ -26,6 +26,7 @@ def _arguments() -> argparse.Namespace:
     build = commands.add_parser("build")
     build.add_argument("--source-folder", help="parquet sources; default is the MySQL database")
     build.add_argument("--read-partitions", type=int, default=16)
+    build.add_argument("--equal-height", action="store_true", help="split tables at keys that the database finds")
     build.add_argument("--database-schema", help="also replace the tables of this schema")
     build.add_argument(
         "--database-writers", type=int, default=CONNECTIONS, help="connections per table of it"
@@ -67,7 +68,8 @@ def main() -> None:
             snapshots = files.load_sources(spark, arguments.source_folder)
         else:
             snapshots = jdbc.load_sources(
-                spark, jdbc.mysql_endpoint(), arguments.read_partitions, "CRC32({column})"
+                spark, jdbc.mysql_endpoint(), arguments.read_partitions, "CRC32({column})",
+                arguments.equal_height,
             )
         landed = jobs.land(store, snapshots, f"{run_id}-sync")
         # a database can't be listed; what was read of it can

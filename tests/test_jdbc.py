@@ -1,7 +1,10 @@
 """What the JDBC connectors ask of Spark; no database runs here."""
 
+from collections import Counter
+from datetime import date, datetime
 from types import SimpleNamespace
 
+import duckdb
 import pytest
 
 from ledgerloom.sinks import jdbc as sink
@@ -122,6 +125,83 @@ def test_tables_are_split_by_their_leading_key(monkeypatch):
     assert {detail for _, detail in asked.values()} == {None}
 
 
+def parted(database, table, key, partitions):
+    """Rows of each part; every row is in exactly one."""
+    starts = database.execute(jdbc.heights_query(table, key, partitions)).fetchall()
+    sizes, found = [], Counter()
+    for predicate in jdbc.height_predicates(key, starts):
+        rows = database.execute(f"SELECT row_id FROM {table} WHERE {predicate}").fetchall()
+        sizes.append(len(rows))
+        found.update(r[0] for r in rows)
+    assert len(found) == database.execute(f"SELECT count(*) FROM {table}").fetchone()[0]
+    assert set(found.values()) <= {1}
+    return sizes
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 7, 32])
+def test_heights_of_lines_with_a_hot_order(partitions):
+    database = duckdb.connect()
+    database.execute(
+        r"""CREATE TABLE lines AS SELECT row_number() OVER () AS row_id,
+              CASE WHEN hash(l_orderkey) % 3 = 0 THEN 77 ELSE l_orderkey END AS l_orderkey,
+              concat(l_partkey, '''\', l_suppkey, '-', row_number() OVER ()) AS code
+            FROM read_parquet('/root/testdata/sf0.01/lineitem.parquet')"""
+    )
+    assert database.execute("SELECT avg((l_orderkey = 77)::int) FROM lines").fetchone()[0] > 0.3
+    for key in (["l_orderkey", "code"], ["code"]):
+        sizes = parted(database, "lines", key, partitions)
+        assert len(sizes) == partitions and max(sizes) - min(sizes) <= 1
+
+
+def test_heights_of_odd_tables():
+    database = duckdb.connect()
+    database.execute("CREATE TABLE t (row_id int, a int, b date)")
+    assert parted(database, "t", ["a", "b"], 4) == [0]
+    days = [None, date(2020, 1, 1), date(2020, 1, 2)]
+    rows = [(a, b) for a in (None, -5, 0, 3) for b in days] * 2
+    database.executemany("INSERT INTO t VALUES (?, ?, ?)", [(i, *row) for i, row in enumerate(rows)])
+    database.execute("DELETE FROM t WHERE a IS NULL OR b IS NULL")
+    # repeated keys stay together
+    assert parted(database, "t", ["a", "b"], 3) == [4, 4, 4]
+    assert parted(database, "t", ["a", "b"], 50) == [2] * 6
+    # rows that come after the keys were asked for, NULLs among them, are in one part each
+    predicates = jdbc.height_predicates(["a", "b"], [(-5, days[1]), (0, days[1]), (3, days[2])])
+    for row in [*rows, (-99, days[1]), (99, days[2])]:
+        database.execute("CREATE OR REPLACE TABLE one AS SELECT ?::int AS a, ?::date AS b", row)
+        held = [database.execute(f"SELECT count(*) FROM one WHERE {p}").fetchone()[0] for p in predicates]
+        assert sum(held) == 1
+
+
+def test_literals_of_keys():
+    assert jdbc.literal("it's a \\") == "'it''s a \\'"
+    assert jdbc.literal("a\\' OR 1=1", backslash_escapes=True) == "'a\\\\'' OR 1=1'"
+    assert jdbc.literal(date(2020, 1, 2)) == "DATE '2020-01-02'" and jdbc.literal(-4) == "-4"
+    for odd in (True, 1.5, None, datetime(2020, 1, 2)):
+        with pytest.raises(TypeError):
+            jdbc.literal(odd)
+
+
+def test_tables_are_split_by_height_of_their_whole_key(monkeypatch):
+    asked = {}
+    monkeypatch.setattr(jdbc, "conform", lambda df, table: df)
+    monkeypatch.setattr(
+        jdbc, "read_table_by_height", lambda s, e, table, key, n: asked.setdefault(table, (key, n))
+    )
+    jdbc.load_sources(None, ENDPOINT, 5, equal_height=True)
+    assert set(asked) == set(SOURCES)
+    assert asked["orderdetails"] == (["orderNumber", "productCode"], 5)
+    assert asked["payments"] == (["customerNumber", "checkNumber"], 5)
+
+
+def test_table_read_by_height(session, monkeypatch):
+    starts = [(1, "a"), (2, "b\\")]
+    monkeypatch.setattr(jdbc, "read_query", lambda s, e, q: SimpleNamespace(collect=lambda: starts))
+    mysql = jdbc.JdbcEndpoint("jdbc:mysql://h/d", "a.Driver", "me", "secret")
+    told = jdbc.read_table_by_height(session, mysql, "payments", ["k", "c"], 2)
+    assert told["table"] == "payments" and len(told["predicates"]) == 2
+    assert "'b\\\\'" in told["predicates"][1]
+
+
 def test_table_write():
     writer = Recorder()
     df = SimpleNamespace(write=writer)
