@@ -41,17 +41,15 @@ def with_rep_office(customers: DataFrame, employees: DataFrame) -> DataFrame:
     return customers.join(reps, "sales_rep_employee_number", "left")
 
 
-def fact_order_sales(
+def sold_lines(
     orderdetails: DataFrame,
     orders: DataFrame,
     customers: DataFrame,
     products: DataFrame,
     employees: DataFrame,
-    loaded_at: Column,
-    keys: KeyScheme = DEFAULT_KEYS,
     branches: Branches | None = None,
 ) -> DataFrame:
-    """One row per line of an order that was not cancelled.
+    """The lines of orders that were not cancelled with their header and product, before any column is computed.
 
     Representative and customer are joined at customer and order grain, so that the lines, by
     far the largest table, are shuffled only for their own two keys. Hot orders, customers and
@@ -76,48 +74,65 @@ def fact_order_sales(
     prices = products.select(
         "product_code", F.col("buy_price").cast(PRICE), F.col("msrp").cast(PRICE)
     )
-    quantity = F.col("quantity_ordered").cast("int")
-    price = F.col("price_each").cast(PRICE)
-    unit_cost = F.col("buy_price")
     lines = orderdetails
     if branches is not None:
         lines = branches.enter(
             lines.select("order_number", "product_code", "order_line_number", "quantity_ordered", "price_each")
         )
     sold = inner_join(lines, headers, "order_number", branches, "no_order")
-    return (
-        inner_join(sold, prices, "product_code", branches, "no_product")
-        .select(
-            F.concat(
-                F.col("order_number").cast("string"),
-                F.lit("-"),
-                F.col("product_code").cast("string"),
-            ).alias("sales_line_id"),
-            "order_number",
-            "order_line_number",
-            hash_key(F.col("customer_number"), keys).alias("customer_key"),
-            hash_key(F.col("product_code"), keys).alias("product_key"),
-            nullable_hash_key(F.col("sales_rep_employee_number"), keys).alias(
-                "sales_rep_employee_key"
-            ),
-            nullable_hash_key(F.col("rep_office_code"), keys).alias("sales_office_key"),
-            date_key(F.col("order_date")).alias("order_date_key"),
-            date_key(F.col("required_date")).alias("required_date_key"),
-            date_key(F.col("shipped_date")).alias("shipped_date_key"),
-            "order_date",
-            "required_date",
-            "shipped_date",
-            F.col("status").alias("order_status"),
-            quantity.alias("quantity_ordered"),
-            price.alias("price_each"),
-            "buy_price",
-            "msrp",
-            gross_amount(quantity, price).alias("gross_sales_amount"),
-            cost_amount(quantity, unit_cost).alias("cost_amount"),
-            margin_amount(quantity, price, unit_cost).alias("margin_amount"),
-            loaded_at.alias("etl_loaded_at"),
-        )
-    )
+    return inner_join(sold, prices, "product_code", branches, "no_product")
+
+
+def sales_columns(loaded_at: Column, keys: KeyScheme = DEFAULT_KEYS) -> list[Column]:
+    """The sales fact as columns over sold lines."""
+    quantity = F.col("quantity_ordered").cast("int")
+    price = F.col("price_each").cast(PRICE)
+    unit_cost = F.col("buy_price")
+    return [
+        F.concat(
+            F.col("order_number").cast("string"),
+            F.lit("-"),
+            F.col("product_code").cast("string"),
+        ).alias("sales_line_id"),
+        F.col("order_number"),
+        F.col("order_line_number"),
+        hash_key(F.col("customer_number"), keys).alias("customer_key"),
+        hash_key(F.col("product_code"), keys).alias("product_key"),
+        nullable_hash_key(F.col("sales_rep_employee_number"), keys).alias(
+            "sales_rep_employee_key"
+        ),
+        nullable_hash_key(F.col("rep_office_code"), keys).alias("sales_office_key"),
+        date_key(F.col("order_date")).alias("order_date_key"),
+        date_key(F.col("required_date")).alias("required_date_key"),
+        date_key(F.col("shipped_date")).alias("shipped_date_key"),
+        F.col("order_date"),
+        F.col("required_date"),
+        F.col("shipped_date"),
+        F.col("status").alias("order_status"),
+        quantity.alias("quantity_ordered"),
+        price.alias("price_each"),
+        F.col("buy_price"),
+        F.col("msrp"),
+        gross_amount(quantity, price).alias("gross_sales_amount"),
+        cost_amount(quantity, unit_cost).alias("cost_amount"),
+        margin_amount(quantity, price, unit_cost).alias("margin_amount"),
+        loaded_at.alias("etl_loaded_at"),
+    ]
+
+
+def fact_order_sales(
+    orderdetails: DataFrame,
+    orders: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    employees: DataFrame,
+    loaded_at: Column,
+    keys: KeyScheme = DEFAULT_KEYS,
+    branches: Branches | None = None,
+) -> DataFrame:
+    """One row per line of an order that was not cancelled."""
+    lines = sold_lines(orderdetails, orders, customers, products, employees, branches)
+    return lines.select(*sales_columns(loaded_at, keys))
 
 
 def payers(customers: DataFrame) -> DataFrame:

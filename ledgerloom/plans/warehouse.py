@@ -24,18 +24,26 @@ from ledgerloom.operators.facts import (
     PAYMENT_YEAR,
     fact_order_sales,
     fact_payments,
+    sales_columns,
+    sold_lines,
 )
 from ledgerloom.sinks.warehouse import Layout, Warehouse, Written
 
 
 @dataclass(frozen=True)
 class WarehouseTable:
-    """A table of the warehouse: the source tables it reads, in order, and its operator."""
+    """A table of the warehouse: the source tables it reads, in order, and its operator.
+
+    ``joined`` and ``columns`` are the two halves of an operator whose columns are computed after its rows have
+    been gathered for the write.
+    """
 
     inputs: tuple[str, ...]
     build: Callable[..., DataFrame]
     has_load_time: bool = True
     counts_joins: bool = False
+    joined: Callable[..., DataFrame] | None = None
+    columns: Callable[..., list[Column]] | None = None
 
 
 # The warehouse tables, dimensions first.
@@ -46,7 +54,11 @@ TABLES = {
     "dim_office": WarehouseTable(("offices",), dim_office),
     "dim_date": WarehouseTable(("orders", "payments"), dim_date, has_load_time=False),
     "fact_order_sales": WarehouseTable(
-        ("orderdetails", "orders", "customers", "products", "employees"), fact_order_sales, counts_joins=True
+        ("orderdetails", "orders", "customers", "products", "employees"),
+        fact_order_sales,
+        counts_joins=True,
+        joined=sold_lines,
+        columns=sales_columns,
     ),
     "fact_payments": WarehouseTable(("payments", "customers"), fact_payments, counts_joins=True),
 }
@@ -101,6 +113,25 @@ def build_table(
     return table.build(*frames, loaded_at, keys, **counting)
 
 
+def for_writing(
+    name: str,
+    sources: Mapping[str, DataFrame],
+    loaded_at: Column,
+    keys: KeyScheme = KeyScheme.XXHASH64,
+    branches: Branches | None = None,
+) -> tuple[DataFrame, Layout | None]:
+    """Rows that give a warehouse table once they are written with the layout.
+
+    Where the operator has two halves, these are the joined rows: narrower than the table, and all that is shuffled
+    to gather its partitions.
+    """
+    table, layout = TABLES[name], layouts().get(name)
+    if layout is None or table.joined is None:
+        return build_table(name, sources, loaded_at, keys, branches), layout
+    rows = table.joined(*[sources[i] for i in table.inputs], branches=branches)
+    return rows, replace(layout, finish=lambda _: table.columns(loaded_at, keys))
+
+
 def build_all(
     sources: Mapping[str, DataFrame],
     loaded_at: Column,
@@ -122,10 +153,12 @@ def stage_all(
     Counts that do not give the rows written are left out, so that audits count from the sources.
     """
     branches = {name: Branches() for name in names if TABLES[name].counts_joins}
-    tables = {n: build_table(n, sources, loaded_at, keys, branches.get(n)) for n in names}
+    tables = {n: for_writing(n, sources, loaded_at, keys, branches.get(n)) for n in names}
+    rows = {n: df for n, (df, _) in tables.items()}
+    cut = {n: layout for n, (_, layout) in tables.items() if layout is not None}
     return [
         replace(w, metrics=branches[w.name].agreed(w.rows)) if w.name in branches else w
-        for w in store.stage(run_id, tables, layouts())
+        for w in store.stage(run_id, rows, cut)
     ]
 
 

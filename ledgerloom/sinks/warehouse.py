@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -20,6 +20,8 @@ PUBLISHED = (
 )
 # Stands for all partitions of a table in ``replaced``, and for the one part of a table without any.
 ALL = "*"
+# Parquet codec of table files: a quarter smaller than the default, at a few percent of the write's time.
+COMPRESSION = "zstd"
 RUN = "part_run"
 BUCKET = "bucket"
 # A partition that grows by a part per run is written anew when it has this many.
@@ -45,12 +47,14 @@ class Written:
 class Layout:
     """How a table is cut into partitions: by a column that is added, or by buckets of its keys.
 
-    The value is never NULL.
+    The value is never NULL. ``finish`` gives the stored columns from those of the rows that are written; it
+    comes after the shuffle that gathers a partition, so what it computes is not shuffled.
     """
 
     column: str
     value: Column
     buckets: int | None = None
+    finish: Callable[[Sequence[str]], list[Column]] | None = None
 
     @classmethod
     def by_bucket(cls, keys: Sequence[str], buckets: int) -> Layout:
@@ -61,6 +65,15 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def gathered(df: DataFrame, layout: Layout) -> DataFrame:
+    """The rows by partition; columns that the layout computes come after the shuffle."""
+    rows = df.withColumn(layout.column, layout.value).hint("rebalance", layout.column)
+    if layout.finish is None:
+        return rows
+    own = [c for c in df.columns if c != layout.column]
+    return rows.select(*layout.finish(own), layout.column)
+
+
 @dataclass(frozen=True)
 class Current:
     """A published table: its newest version and the folders of its parts, by partition."""
@@ -122,7 +135,8 @@ class Warehouse:
             path = f"{folder}/{name}"
             # Counted in the writing stage itself, so the plan runs once.
             written = Observation()
-            df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+            counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+            counted.write.option("compression", COMPRESSION).parquet(path)
             return Written(name, path, written.get.get("rows", 0))
 
         with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
@@ -141,8 +155,8 @@ class Warehouse:
         The rows of a partition are gathered for the write; a large one is split again by AQE.
         """
         path = f"{self._table_path(name)}/{RUN}={run_id}-{uuid.uuid4().hex}"
-        rows = df.withColumn(layout.column, layout.value)
-        rows.hint("rebalance", layout.column).write.partitionBy(layout.column).parquet(path)
+        rows = gathered(df, layout)
+        rows.write.option("compression", COMPRESSION).partitionBy(layout.column).parquet(path)
         # from the files' footers; as many rows as partitions
         counted = self.spark.read.schema(rows.schema).parquet(path).groupBy(layout.column).count()
         parts = {str(r[0]): r["count"] for r in counted.collect()}
