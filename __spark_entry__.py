@@ -416,8 +416,8 @@ def sync_then_refresh_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.replace("lines", {"orderdetails": sync.initial_load(sources.pop("orderdetails"), first)})
     sync.sync_tables(store, sources, SOURCE_KEYS, first, "first")
     inputs = store.paths(names)
-    built = {FACT: warehouse.build_table(FACT, jobs.bronze_sources(store, inputs), first)}
-    store.publish("first-build", store.stage("first-build", built, warehouse.layouts()), None, inputs)
+    built = warehouse.stage_all(store, "first-build", jobs.bronze_sources(store, inputs), first, names=[FACT])
+    store.publish("first-build", built, None, inputs)
     sync.sync_tables(store, _changed_sources(spark, sf_dir, sources), SOURCE_KEYS, second, "second")
     inputs = store.paths(names)
     refreshed = refresh_order_sales(store, "second-build", inputs, second)

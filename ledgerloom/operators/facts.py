@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,6 +122,20 @@ def sales_columns(loaded_at: Column, keys: KeyScheme = DEFAULT_KEYS) -> list[Col
     ]
 
 
+def recomputed_sales_columns(columns: Sequence[str]) -> list[Column]:
+    """The sales fact over rows of its own: what follows from other columns of a row is computed from them."""
+    quantity, price, unit_cost = (F.col(c) for c in ("quantity_ordered", "price_each", "buy_price"))
+    computed = {
+        "order_date_key": date_key(F.col("order_date")),
+        "required_date_key": date_key(F.col("required_date")),
+        "shipped_date_key": date_key(F.col("shipped_date")),
+        "gross_sales_amount": gross_amount(quantity, price),
+        "cost_amount": cost_amount(quantity, unit_cost),
+        "margin_amount": margin_amount(quantity, price, unit_cost),
+    }
+    return [computed[c].alias(c) if c in computed else F.col(c) for c in columns]
+
+
 def fact_order_sales(
     orderdetails: DataFrame,
     orders: DataFrame,

@@ -24,6 +24,7 @@ from ledgerloom.operators.facts import (
     PAYMENT_YEAR,
     fact_order_sales,
     fact_payments,
+    recomputed_sales_columns,
     sales_columns,
     sold_lines,
 )
@@ -75,11 +76,11 @@ HASHED_KEYS = {
 def layouts() -> dict[str, Layout]:
     """How stored tables are cut into partitions: facts by year; a fact without a date goes to year 0."""
 
-    def by_year(column: str, day: str) -> Layout:
-        return Layout(column, F.coalesce(F.year(day), F.lit(0)))
+    def by_year(column: str, day: str, finish=None) -> Layout:
+        return Layout(column, F.coalesce(F.year(day), F.lit(0)), finish=finish)
 
     return {
-        "fact_order_sales": by_year(ORDER_YEAR, "order_date"),
+        "fact_order_sales": by_year(ORDER_YEAR, "order_date", recomputed_sales_columns),
         "fact_payments": by_year(PAYMENT_YEAR, "payment_date"),
     }
 
