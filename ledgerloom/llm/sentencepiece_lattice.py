@@ -42,7 +42,7 @@ LEAST_SCORE = -1e8
 UNKNOWN_PENALTY = 10.0
 # Parts held in a worker's memory, in two generations of half as many, and the longest of them; others are
 # searched anew.
-CACHED_PARTS = 300_000
+CACHED_PARTS = 450_000
 CACHED_LENGTH = 64
 
 PARTS = re.compile(r"\n| *[^ \n]+| +")
