@@ -34,12 +34,12 @@ from ledgerloom.llm.common import (
     Words,
     fresh_name,
     hashed_counts,
-    hashed_ranges,
     lists,
     longs,
     map_arrow,
     mixed,
     same,
+    single_marks,
     span_hashes,
     stage,
     word_blocks,
@@ -54,6 +54,8 @@ HUB_GROWTH = 4
 SMALL_BUCKET = 32
 # Slots that tell which shingles only one class of compared texts has, as a power of two.
 PRIVATE_BITS = 22
+# Texts are worked on in blocks of about this many bytes: what a worker takes counts beside the JVM.
+TEXT_BLOCK = 256 * 1024
 # Width of a weight class, as a natural logarithm.
 CLASS_STEP = 0.03
 
@@ -75,6 +77,10 @@ class Settings:
 # --- shingles ------------------------------------------------------------------------------
 
 
+def _blocks(column: pa.Array):
+    return word_blocks(column, block=TEXT_BLOCK)
+
+
 def _shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Text and hash of every shingle; a text of fewer than k words is one shingle."""
     counts = words.counts
@@ -108,7 +114,7 @@ def _distinct(rows: np.ndarray, hashes: np.ndarray, n_rows: int):
 
 def _document_hashes(settings: Settings):
     def run(batch: pa.RecordBatch):
-        for at, to, words in word_blocks(batch.column(0)):
+        for at, to, words in _blocks(batch.column(0)):
             yield _distinct(*_shingles(words, settings.words), to - at)[1]
 
     return run
@@ -144,12 +150,18 @@ class Weights:
 def _variates(samples: int, seed: int):
     """For each sample and shingle class: r, 1/r, beta and ln c - r."""
     random = np.random.default_rng(seed)
-    size = (samples, 1 << POOL_BITS)
-    r = random.gamma(2.0, size=size).astype(np.float32)
-    c = random.gamma(2.0, size=size).astype(np.float32)
-    beta = random.random(size, dtype=np.float32)
+    shape = (samples, 1 << POOL_BITS)
+    r, c, beta = (np.empty(shape, np.float32) for _ in range(3))
+    # row by row: the generator's numbers of double width would take more than what is kept
+    for out in (r, c):
+        for row in out:
+            row[:] = random.gamma(2.0, size=len(row))
+    random.random(dtype=np.float32, out=beta)
     multipliers = random.integers(1 << 62, 1 << 63, samples, dtype=np.uint64) | np.uint64(1)
-    return r, 1 / r, beta, np.log(c) - r, multipliers
+    inverse = 1 / r
+    np.log(c, out=c)
+    c -= r
+    return r, inverse, beta, c, multipliers
 
 
 def sample(shingles: np.ndarray, weights: np.ndarray, sizes: np.ndarray, samples: int, seed: int) -> np.ndarray:
@@ -186,7 +198,7 @@ def band_hashes(samples: np.ndarray, bands: int, rows: int) -> np.ndarray:
 def _sign(levels, settings: Settings):
     def run(batch: pa.RecordBatch):
         weigh = Weights(levels.value, settings)
-        for at, to, words in word_blocks(batch.column(2)):
+        for at, to, words in _blocks(batch.column(2)):
             sizes, shingles, tf = _distinct(*_shingles(words, settings.words), to - at)
             rows = np.flatnonzero(sizes)
             bands = np.zeros((0, settings.bands), np.uint64)
@@ -220,7 +232,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def _verify(levels, settings: Settings):
     def features(column: pa.Array, weigh: Weights) -> list:
         found = []
-        for at, to, words in word_blocks(column):
+        for at, to, words in _blocks(column):
             sizes, shingles, tf = _distinct(*_shingles(words, settings.words), to - at)
             weights = weigh(shingles, tf)
             stops = np.cumsum(sizes)
@@ -228,6 +240,7 @@ def _verify(levels, settings: Settings):
         return found
 
     def run(batch: pa.RecordBatch):
+        _variates.cache_clear()  # a worker that verifies signs no more
         weigh = Weights(levels.value, settings)
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
@@ -252,8 +265,9 @@ def _rooted_hashes(settings: Settings):
     """Shingles of each text with the hash of its root, from rows of root hash and text."""
 
     def run(batch: pa.RecordBatch):
+        _variates.cache_clear()
         roots = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
-        for at, to, words in word_blocks(batch.column(1)):
+        for at, to, words in _blocks(batch.column(1)):
             rows, shingles = _shingles(words, settings.words)
             yield shingles, roots[at:to][rows]
 
@@ -277,7 +291,7 @@ def _prefixes(levels, private, settings: Settings):
 
     def run(batch: pa.RecordBatch):
         weigh = Weights(levels.value, settings)
-        for at, to, words in word_blocks(batch.column(1)):
+        for at, to, words in _blocks(batch.column(1)):
             sizes, shingles, tf = _distinct(*_shingles(words, settings.words), to - at)
             weights = weigh(shingles, tf).astype(np.float64)
             rare = weigh.levels[(shingles >> weigh.shift).astype(np.int64)].astype(np.int64)
@@ -411,8 +425,8 @@ class _Linker:
             compared = self.texts.join(large.select("text_id", "root").distinct(), "text_id")
             compared = stage(compared, "near-large")
             rooted = compared.select(F.xxhash64("root").alias("root_hash"), "text")
-            low, high = hashed_ranges(rooted, _rooted_hashes(self.settings), PRIVATE_BITS)
-            private = compared.sparkSession.sparkContext.broadcast(low == high)
+            alone = single_marks(rooted, _rooted_hashes(self.settings), PRIVATE_BITS)
+            private = compared.sparkSession.sparkContext.broadcast(alone)
             rare = map_arrow(
                 compared.select("text_id", "text").repartition("text_id"),
                 _prefixes(self.levels, private, self.settings),
