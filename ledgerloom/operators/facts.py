@@ -19,6 +19,7 @@ from ledgerloom.functions import (
     nullable_hash_key,
 )
 from ledgerloom.operators.branches import Branches, inner_join
+from ledgerloom.operators.sizing import is_small, shuffle_if_large
 
 DEFAULT_KEYS = KeyScheme.XXHASH64
 
@@ -56,11 +57,11 @@ def sold_lines(
     Representative and customer are joined at customer and order grain, so that the lines, by
     far the largest table, are shuffled only for their own two keys. Hot orders, customers and
     products are split by AQE: every join here is inner or left with the big side on the left.
+    Representatives and products are measured here, so that none is broadcast that only looks small on disk.
     ``branches`` counts the lines that enter and those without an order that counts or a product.
     """
-    buyers = with_rep_office(
-        customers.select("customer_number", "sales_rep_employee_number"), employees
-    )
+    reps = shuffle_if_large(employees.select("employee_number", "office_code"))
+    buyers = with_rep_office(customers.select("customer_number", "sales_rep_employee_number"), reps)
     headers = (
         not_cancelled(orders)
         .select(
@@ -81,8 +82,12 @@ def sold_lines(
         lines = branches.enter(
             lines.select("order_number", "product_code", "order_line_number", "quantity_ordered", "price_each")
         )
-    sold = inner_join(lines, headers, "order_number", branches, "no_order")
-    return inner_join(sold, prices, "product_code", branches, "no_product")
+    if is_small(prices):
+        sold = inner_join(lines, headers, "order_number", branches, "no_order")
+        return inner_join(sold, prices, "product_code", branches, "no_product")
+    # two prices are less to shuffle than a header, and rows in the order of their orders compress better
+    priced = inner_join(lines, prices.hint("merge"), "product_code", branches, "no_product")
+    return inner_join(priced, headers, "order_number", branches, "no_order")
 
 
 def sales_columns(loaded_at: Column, keys: KeyScheme = DEFAULT_KEYS) -> list[Column]:

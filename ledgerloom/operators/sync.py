@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.sizing import broadcast_if_small
+from ledgerloom.operators.sizing import broadcast_or_shuffle
 from ledgerloom.sinks.warehouse import ALL, BUCKET, Current, Layout, Warehouse, Written
 
 BOOKKEEPING = ("is_deleted", "synced_at")
@@ -167,12 +167,12 @@ def upsert(
     The changes are read several times, so they should be a stored table.
     """
     if order_by:
-        held = bronze.join(broadcast_if_small(changes.select(*keys)), list(keys), "left_semi")
+        held = bronze.join(broadcast_or_shuffle(changes.select(*keys)), list(keys), "left_semi")
         newer = held.select(*keys, F.struct(*order_by).alias("held_order"))
         change_order = F.struct(*[changes[c] for c in order_by])
         same_key = reduce(lambda a, b: a & b, [changes[k] == newer[k] for k in keys])
         changes = changes.join(newer, same_key & (newer["held_order"] > change_order), "left_anti")
-    changed_keys = broadcast_if_small(changes.select(*keys))
+    changed_keys = broadcast_or_shuffle(changes.select(*keys))
     kept = bronze.join(changed_keys, list(keys), "left_anti")
     return kept.unionByName(initial_load(changes, synced_at).select(*bronze.columns))
 
@@ -209,7 +209,7 @@ def merge_changes(
     bronze: DataFrame, changes: DataFrame, keys: Sequence[str], synced_at: Column
 ) -> DataFrame:
     """Next version of some bronze rows after the changes to them, at most one per key."""
-    kept = bronze.join(broadcast_if_small(changes.select(*keys)), list(keys), "left_anti")
+    kept = bronze.join(broadcast_or_shuffle(changes.select(*keys)), list(keys), "left_anti")
     rows = changes.withColumn("synced_at", synced_at)
     return kept.unionByName(rows.select(*bronze.columns))
 

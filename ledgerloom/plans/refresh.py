@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import KeyScheme, hash_key
 from ledgerloom.operators.facts import ORDER_YEAR, fact_order_sales
-from ledgerloom.operators.sizing import broadcast_if_small
+from ledgerloom.operators.marks import Keys, having_any, lacking_all, marks_of
+from ledgerloom.operators.sizing import broadcast_or_shuffle, is_small
 from ledgerloom.operators.sync import live, snapshot_diff
 from ledgerloom.plans.warehouse import TABLES, layouts
 from ledgerloom.sinks.warehouse import BUCKET, Current, Warehouse, Written
@@ -79,14 +80,14 @@ def affected(
     if "employees" in changed:
         reps = changed["employees"].select(F.col("employee_number").alias("sales_rep_employee_number"))
         customers = sources["customers"].select("customer_number", "sales_rep_employee_number")
-        of_reps = customers.join(broadcast_if_small(reps), "sales_rep_employee_number", "left_semi")
+        of_reps = customers.join(broadcast_or_shuffle(reps), "sales_rep_employee_number", "left_semi")
         buyers.append(of_reps.select("customer_number"))
     numbers = [changed[n].select("order_number") for n in ("orders", "orderdetails") if n in changed]
     if buyers:
         buyer = reduce(DataFrame.unionByName, buyers).distinct()
         buyer = store.read_written(store.stage(f"{run_id}-buyers", {"buyers": buyer})[0])
         orders = sources["orders"].select("order_number", "customer_number")
-        of_buyers = orders.join(broadcast_if_small(buyer), "customer_number", "left_semi")
+        of_buyers = orders.join(broadcast_or_shuffle(buyer), "customer_number", "left_semi")
         numbers.append(of_buyers.select("order_number"))
     none = {n: sources[n].select(*_KEYS[n]).limit(0) for n in ("orders", "products")}
     distinct = reduce(DataFrame.unionByName, numbers, none["orders"]).distinct()
@@ -94,17 +95,18 @@ def affected(
     return store.read_written(orders_written), changed.get("products", none["products"])
 
 
-def _of_either(rows: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Rows of these orders or product keys; both sides of the union are disjoint."""
-    of_orders = rows.join(orders, "order_number", "left_semi")
-    others = rows.join(orders, "order_number", "left_anti")
-    return of_orders.unionByName(others.join(products, "product_key", "left_semi"))
+def keys_to_join(store: Warehouse, run_id: str, keys: DataFrame) -> Keys:
+    """Distinct keys with the way they are to be joined, measured once: broadcast, or shuffled behind their marks."""
+    if is_small(keys):
+        return Keys(F.broadcast(keys))
+    written = store.stage(f"{run_id}-marks", {keys.columns[0]: marks_of(keys)})[0]
+    return Keys(keys.hint("merge"), store.read_written(written))
 
 
-def untouched(fact: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
+def untouched(fact: DataFrame, *affected_keys: DataFrame | Keys) -> DataFrame:
     """Stored lines that no change can reach; nothing is joined to them."""
-    kept = fact.join(orders, "order_number", "left_anti")
-    return kept.join(products, "product_key", "left_anti").select(*fact.columns)
+    sets = [keys if isinstance(keys, Keys) else Keys(keys) for keys in affected_keys]
+    return lacking_all(fact, *sets)
 
 
 def refresh_order_sales(
@@ -125,15 +127,15 @@ def refresh_order_sales(
     sources = {n: live(store.open(n, after[n]).drop(BUCKET)) for n in names}
     orders, codes = affected(store, before, after, run_id)
     products = codes.select(hash_key(F.col("product_code"), keys).alias("product_key")).distinct()
-    # measured once; the hints then go with the frames
-    orders, products = broadcast_if_small(orders), broadcast_if_small(products)
+    # a set that is shuffled comes last, so that it meets the rows that the other one left
+    sets = sorted((keys_to_join(store, run_id, k) for k in (orders, products)), key=lambda k: k.marks is not None)
 
     held = store.current([FACT])[FACT]
     stored = store.open(FACT, held).select(ORDER_YEAR, "order_number", "product_key")
-    gone = _of_either(stored, orders, products)
+    gone = having_any(stored, *sets)
 
     details = sources["orderdetails"].withColumn("product_key", hash_key(F.col("product_code"), keys))
-    lines = _of_either(details, orders, products).drop("product_key")
+    lines = having_any(details, *sets).drop("product_key")
     wanted = {**sources, "orderdetails": lines}
     new = fact_order_sales(*(wanted[n] for n in names), loaded_at, keys)
     layout = layouts()[FACT]
@@ -143,5 +145,5 @@ def refresh_order_sales(
     # as many rows as the fact has years
     years = gone.select(ORDER_YEAR).unionByName(new.select(ORDER_YEAR)).distinct().collect()
     values = sorted(str(r[0]) for r in years)
-    kept = untouched(store.open(FACT, held, values), orders, products)
+    kept = untouched(store.open(FACT, held, values), *sets)
     return store.stage_parts(run_id, FACT, kept.unionByName(new), layout, values)
